@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import op4_language
+from .quality import op8_quality
 from .toxicity import op1_toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_language": op4_language,
+    "op8_quality": op8_quality,
+}
 ORACLES: dict[str, str] = {}
