@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language import op4_language
 from .quality import op8_quality
+from .setsketch import op3_setsketch_dedup
 from .toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_language": op4_language,
     "op8_quality": op8_quality,
 }
