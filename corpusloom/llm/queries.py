@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language import op4_language
 from .quality import op8_quality
+from .runindex import op7_run_index_dedup
 from .setsketch import op3_setsketch_dedup
 from .toxicity import op1_toxicity
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_language": op4_language,
+    "op7_run_index_dedup": op7_run_index_dedup,
     "op8_quality": op8_quality,
 }
 ORACLES: dict[str, str] = {}
