@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -54,3 +54,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows:
         .limit(max_rows)
     )
     return rows.select("text", "label").toArrow()
+
+
+def window(*keys: str):
+    return Window.partitionBy(*keys)

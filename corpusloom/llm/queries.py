@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP9_SQL, op9_decontamination
 from .language import op4_language
+from .neighbours import OP6_SQL, op6_block_neighbours
 from .quality import op8_quality
 from .runindex import op7_run_index_dedup
 from .setsketch import op3_setsketch_dedup
@@ -16,7 +18,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_language": op4_language,
+    "op6_block_neighbours": op6_block_neighbours,
     "op7_run_index_dedup": op7_run_index_dedup,
     "op8_quality": op8_quality,
+    "op9_decontamination": op9_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_block_neighbours": OP6_SQL, "op9_decontamination": OP9_SQL}
