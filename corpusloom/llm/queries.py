@@ -11,6 +11,7 @@ from .language import op4_language
 from .neighbours import OP6_SQL, op6_block_neighbours
 from .quality import op8_quality
 from .runindex import op7_run_index_dedup
+from .secrets import OP10_SQL, op10_secret_ledger
 from .setsketch import op3_setsketch_dedup
 from .toxicity import op1_toxicity
 
@@ -22,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_run_index_dedup": op7_run_index_dedup,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_secret_ledger": op10_secret_ledger,
 }
-ORACLES: dict[str, str] = {"op6_block_neighbours": OP6_SQL, "op9_decontamination": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_block_neighbours": OP6_SQL, "op9_decontamination": OP9_SQL, "op10_secret_ledger": OP10_SQL}
