@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP9_SQL, op9_decontamination
 from .language import op4_language
+from .mixing import op5_entropy_mix
 from .neighbours import OP6_SQL, op6_block_neighbours
 from .quality import op8_quality
 from .runindex import op7_run_index_dedup
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_language": op4_language,
+    "op5_entropy_mix": op5_entropy_mix,
     "op6_block_neighbours": op6_block_neighbours,
     "op7_run_index_dedup": op7_run_index_dedup,
     "op8_quality": op8_quality,
