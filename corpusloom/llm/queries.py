@@ -10,6 +10,7 @@ from .decontaminate import OP9_SQL, op9_decontamination
 from .language import op4_language
 from .mixing import op5_entropy_mix
 from .neighbours import OP6_SQL, op6_block_neighbours
+from .pii import op2_skip_chain_pii
 from .quality import op8_quality
 from .runindex import op7_run_index_dedup
 from .secrets import OP10_SQL, op10_secret_ledger
@@ -18,6 +19,7 @@ from .toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_skip_chain_pii": op2_skip_chain_pii,
     "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_language": op4_language,
     "op5_entropy_mix": op5_entropy_mix,
