@@ -126,6 +126,18 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def keep_clean(documents: DataFrame, model: ToxicityModel, below: float = 0.5) -> DataFrame:
+    """The rows of documents, all columns as they are, whose text scores below `below`."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in tv.chunks(batch, "text"):
+                yield batch.slice(a, b - a).filter(pa.array(score_texts(data, offsets, shared.value) < below))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     model = fit(documents, labels.where(common.remainder("doc_id", 5) != 0))
