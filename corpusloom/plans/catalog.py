@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import cleaning, corpus, dedup, domains, files, lm, transcripts  # noqa: F401  each registers its queries
+from .registry import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
