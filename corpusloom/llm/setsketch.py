@@ -10,8 +10,8 @@ share, with as many bands as keep the chance to miss a pair at the threshold bel
 3. Pairs pass if the maximum-likelihood J of the counts (greater, less, equal registers; sizes known) isn't further
    than `sigmas` standard errors below the threshold; then the exact J of the full sets decides.
 4. Components of the links. A bucket whose members are all in one component is settled. The members of other buckets of
-   three or more are compared by sketch in blocks, across components only, and what passes is verified likewise; so hot
-   buckets need no cap, and pairs that are not similar are never rows.
+   three or more are compared in blocks, across components only, by estimate and then by exact counts; only links that
+   join two components leave a block, so hot buckets need no cap and their pairs are never rows.
 
 Defined cases: null or empty texts and texts without words have an empty set and are linked with nothing; fewer words
 than the shingle length make one shingle; repeated rows are copies; an empty table gives no rows.
@@ -35,7 +35,8 @@ from .graph import components
 
 BASE = 1.01  # b of the sketch
 RATE = 20.0  # a of the sketch
-BLOCK = 1024  # members of an unsettled bucket that are compared at once
+BLOCK = 512  # members of an unsettled bucket in one block
+BLOCK_SHINGLES = 1 << 21  # shingles of a block, about
 
 
 @dataclass(frozen=True)
@@ -193,41 +194,65 @@ def verified(pairs: DataFrame, documents: DataFrame, config: NearDupConfig) -> D
     return full.select("a", "b", "t1", "t2").mapInArrow(run, "a long, b long")
 
 
-def unsettled_pairs(buckets: DataFrame, sizes: DataFrame, sketch: DataFrame, labels: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Pairs of members of one bucket in two components that the joint estimate lets pass, hub pairs left out.
+def block_links(frame: pd.DataFrame, band: int, across: bool, config: NearDupConfig) -> list[tuple[int, int]]:
+    """Links between members of a block (or across its two halves) that are in different components so far.
 
-    Buckets are cut into blocks of about BLOCK members; a group is one pair of blocks of one bucket.
+    A pair is looked at in the first band that it shares only. Its sketch estimate comes first; then the shared shingles
+    are counted exactly, one member against all at once. Pairs that links found here join already are passed over.
+    """
+    frame = frame.drop_duplicates("doc_id")
+    ids, size, mine = (frame[c].to_numpy() for c in ("doc_id", "n_shingles", "mine"))
+    bands, regs = np.stack(frame["bands"]), np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(ids), -1)
+    _, root = np.unique(frame["component"].to_numpy(), return_inverse=True)
+    raw = pa.array(frame["text"], pa.large_string())
+    sets = [s for _, _, data, at in tv.chunks(pa.record_batch([raw], ["text"]), "text") for s in shingle_sets(data, at, config.shingle)]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    kinds, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, num, den, links = np.zeros(len(kinds), bool), *config.threshold, []
+    for x in range(len(ids) - 1):
+        y = np.flatnonzero(root[x + 1 :] != root[x]) + x + 1
+        y = y[(mine[y] != mine[x]) | (not across)]
+        y = y[np.minimum(size[y], size[x]) * den >= np.maximum(size[y], size[x]) * num]
+        same = bands[y] == bands[x]
+        y = y[(bands[x][same.argmax(axis=1)] == band) & same.any(axis=1)] if len(y) else y
+        if len(y):
+            y = y[passes(np.broadcast_to(regs[x], (len(y), regs.shape[1])), regs[y], np.full(len(y), size[x]), size[y], config)]
+        if not len(y):
+            continue
+        mark[inverse[offsets[x] : offsets[x + 1]]] = True
+        both = np.array([mark[inverse[offsets[i] : offsets[i + 1]]].sum() for i in y])
+        mark[inverse[offsets[x] : offsets[x + 1]]] = False
+        for i in y[den * both >= num * (size[x] + size[y] - both)]:
+            if root[i] != root[x]:
+                root[root == root[i]] = root[x]
+                links.append((int(min(ids[x], ids[i])), int(max(ids[x], ids[i]))))
+    return links
+
+
+def unsettled_links(buckets: DataFrame, sizes: DataFrame, reps: DataFrame, texts: DataFrame, labels: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Links (a, b) across components inside buckets of three or more that are not in one component yet.
+
+    Buckets are cut into blocks of a bounded number of members and shingles; a group is one pair of blocks of a bucket,
+    and gives at most a link for each member.
     """
     named = (
-        buckets.join(sizes.where("n > 2").select("band", "hub", "n"), "band")
+        buckets.join(sizes.where("n > 2").select("band", "n", "shingles"), "band")
         .join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
     spread = named.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    rows = named.join(spread.select("band"), "band", "left_semi").where("doc_id <> hub")
-    # a set of members that shares several bands is compared once for each of these; the same pairs come out
-    rows = common.materialize(rows.select("band", "doc_id", "component", "n"), "unsettled")
-    rows = rows.join(sketch.select("doc_id", "n_shingles", "regs"), "doc_id")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = common.materialize(named.join(spread.select("band"), "band", "left_semi"), "unsettled")
+    ids = rows.select("doc_id").distinct()
+    full = reps.join(ids, "doc_id", "left_semi").join(texts, "doc_id").select("doc_id", "n_shingles", "regs", "bands", "text")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+    rows = rows.select("band", "i", "j", "mine", "doc_id", "component").join(common.materialize(full, "unsettled-texts"), "doc_id")
 
     def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("doc_id")
-        ids, comp, n = (frame[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        regs = np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(ids), -1)
-        mine, found = frame["mine"].to_numpy(), []
-        for x in range(len(ids) - 1):
-            y = np.flatnonzero(comp[x + 1 :] != comp[x]) + x + 1
-            y = y[mine[y] != mine[x]] if key[1] != key[2] else y
-            size = np.minimum(n[y], n[x]) * config.threshold[1] >= np.maximum(n[y], n[x]) * config.threshold[0]
-            y = y[size]
-            if len(y):
-                y = y[passes(np.broadcast_to(regs[x], (len(y), regs.shape[1])), regs[y], np.full(len(y), n[x]), n[y], config)]
-                found += [(min(ids[x], z), max(ids[x], z)) for z in ids[y]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("band", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        return pd.DataFrame(block_links(frame, key[0], key[1] != key[2], config), columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("band", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -> DataFrame:
@@ -240,16 +265,16 @@ def near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -
     members = common.materialize(members.select("doc_id", "n_shingles", F.coalesce("rep", own).alias("rep")), "members")
     reps = sketch.join(members.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = common.materialize(reps.where("n_shingles > 0"), "representatives")
-    buckets = reps.select("doc_id", F.explode("bands").alias("band"))
-    sizes = buckets.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    buckets = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
     sizes = common.materialize(sizes, "buckets")
     stars = buckets.join(sizes, "band").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     texts = documents.select(own.cast("long").alias("doc_id"), "text").join(reps.select("doc_id"), "doc_id", "left_semi")
     links = common.materialize(verified(estimated(stars, reps, config), texts, config), "star-links")
     labels = components(links)
-    more = common.materialize(unsettled_pairs(buckets, sizes, reps, labels, config), "unsettled-pairs")
+    more = common.materialize(unsettled_links(buckets.select("doc_id", "band"), sizes, reps, texts, labels, config), "more-links")
     if more.limit(1).count():
-        labels = components(links.union(common.materialize(verified(more, texts, config), "more-links")))
+        labels = components(links.union(more))
     return (
         members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
         .withColumn("component_id", F.coalesce("component", "rep"))
@@ -257,5 +282,16 @@ def near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -
     )
 
 
+def drop_near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -> DataFrame:
+    """documents with one row of each group (the smallest id); rows without an id stay, an id's repeats don't."""
+    groups = near_duplicates(documents, config)
+    gone = groups.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    ids = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    if ids.where("count > 1").limit(1).count():
+        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    return kept
+
+
 def op3_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "documents"), NearDupConfig(shingle=3, threshold=(85, 100)))
