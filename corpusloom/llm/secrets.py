@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import common
 
@@ -103,7 +102,7 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 class BlobLedger:
     """The table of what has been scanned: blob, rules (keys), findings."""
 
-    schema = T._parse_datatype_string(f"blob string, rules array<string>, findings {SPANS}")
+    schema = f"blob string, rules array<string>, findings {SPANS}"
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
