@@ -1 +1,132 @@
-"""Placeholder."""
+"""Files written and read again, and incremental ingestion."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import stats as s
+from ..operators.tables import load, shared_path
+from ..sources import readers, sinks
+from ..streaming import ingest
+from .registry import query
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SAME = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@query("csv_roundtrip", SAME)
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.write_csv(_docs(spark, sf_dir), path := shared_path(spark, "csv"))
+    return readers.read_csv(spark, path, SCHEMA)
+
+
+@query("tsv_roundtrip", "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(9), ' ') AS text, lang FROM documents")
+def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = F.translate("text", "\n\t", "  ").alias("text")
+    sinks.write_tsv(_docs(spark, sf_dir).select("doc_id", flat, "lang"), path := shared_path(spark, "tsv"))
+    return readers.read_tsv(spark, path, "doc_id long, text string, lang string")
+
+
+@query("jsonl_roundtrip", SAME)
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain JSON lines, written in two batches that append."""
+    path, docs = shared_path(spark, "jsonl"), _docs(spark, sf_dir)
+    for half in (0, 1):
+        sinks.write_jsonl(docs.where(F.col("doc_id") % 2 == half), path, mode="append")
+    return readers.read_jsonl(spark, path, SCHEMA)
+
+
+@query("jsonl_bz2_roundtrip", SAME)
+def jsonl_bz2_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.write_jsonl(_docs(spark, sf_dir), path := shared_path(spark, "jsonl-bz2"), compression="bzip2")
+    return readers.read_jsonl(spark, path, SCHEMA)
+
+
+@query("sharded_jsonl_gz", "SELECT lpad(CAST((row_number() OVER (ORDER BY doc_id) - 1) // 300 + 1 AS VARCHAR), 12, '0') AS shard, doc_id, text FROM documents")
+def sharded_jsonl_gz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.write_shards(_docs(spark, sf_dir), path := shared_path(spark, "shards"), "doc_id", 300)
+    rows = readers.read_jsonl(spark, f"{path}/*", "doc_id long, text string")
+    return rows.select(F.regexp_extract("_metadata.file_path", "shard=([0-9]+)", 1).alias("shard"), "doc_id", "text")
+
+
+@query("parquet_split", "SELECT doc_id, lang FROM documents WHERE lang = 'de'")
+def parquet_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split is a partition folder: reading one reads no other."""
+    path = shared_path(spark, "splits")
+    _docs(spark, sf_dir).withColumn("split", F.col("lang")).write.partitionBy("split").parquet(path)
+    return readers.read_split(spark, path, "de").select("doc_id", "lang")
+
+
+@query("text_lines", "SELECT count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM (SELECT unnest(string_split(replace(text, chr(13), ''), chr(10))) AS line FROM documents)")
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "text")
+    _docs(spark, sf_dir).select(F.replace("text", F.lit("\r"), F.lit("")).alias("value")).write.text(path)
+    return readers.read_lines(spark, path).agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
+
+
+@query("file_line_counts", "SELECT lang, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines FROM documents GROUP BY lang")
+def file_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "by-lang")
+    _docs(spark, sf_dir).select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path)
+    counts = readers.count_lines(spark, f"{path}/*")
+    return counts.groupBy(F.regexp_extract("file", "lang=([a-z]+)", 1).alias("lang")).agg(F.sum("lines").alias("lines"))
+
+
+@query("nested_json_document", "SELECT doc_id, turn, role FROM (SELECT conv_id AS doc_id, turn, role FROM conversations)")
+def nested_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows gathered into documents of an array each, written and taken apart again."""
+    rows = load(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct(F.col("conv_id").alias("doc_id"), "turn", "role")).alias("images"))
+    sinks.write_nested(rows, path := shared_path(spark, "nested"))
+    return spark.read.schema("images array<struct<doc_id:long,turn:long,role:string>>").json(path).select(F.inline("images"))
+
+
+@query("escaped_csv_lines", """SELECT item_id, '"' || item_id || '","' || replace(text, '"', '\\"') || '"' AS line FROM benchmark""")
+def escaped_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "benchmark").select("item_id", sinks.escaped_csv_line("item_id", "text").alias("line"))
+
+
+@query(
+    "sql_dump_scan",
+    r"""WITH l AS (SELECT doc_id AS line_no, CASE WHEN doc_id % 3 = 0 THEN 'INSERT INTO docs VALUES (' || doc_id || ',' || lang || '),(' || n_chars || ',' || source || ');' ELSE '-- note' END AS line FROM documents)
+    SELECT line_no, string_split(t, ',')[1] AS first, string_split(t, ',')[2] AS second FROM (SELECT line_no, unnest(regexp_extract_all(line, '\((.*?)\)', 1)) AS t FROM (SELECT * FROM l WHERE starts_with(line, 'INSERT INTO') ORDER BY line_no LIMIT 50))""",
+)
+def sql_dump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tuples of the first 50 INSERT lines of a dump."""
+    insert = F.concat(F.lit("INSERT INTO docs VALUES ("), "doc_id", F.lit(","), "lang", F.lit("),("), "n_chars", F.lit(","), "source", F.lit(");"))
+    lines = _docs(spark, sf_dir).select(F.col("doc_id").alias("line_no"), F.when(F.col("doc_id") % 3 == 0, insert).otherwise("-- note").alias("line"))
+    return readers.sql_tuples(lines, 50).select("line_no", F.get("values", F.lit(0)).alias("first"), F.get("values", F.lit(1)).alias("second"))
+
+
+SHARDS = {"tiny": 1, "small": 4, "medium": 16, "large": 64, "full": 1016}
+
+
+@query("shard_urls", "SELECT 'https://data.example/c4-id.tfrecord-' || lpad(CAST(range AS VARCHAR), 5, '0') || '-of-' || lpad('16', 5, '0') || '.json.gz' AS url FROM range(16)")
+def shard_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.shard_urls(spark, "https://data.example/c4-id.tfrecord-%05d-of-%05d.json.gz", "medium", SHARDS)
+
+
+DISTINCT = r"SELECT DISTINCT md5(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS hash FROM documents"
+
+
+@query("stream_ingest_dedup", DISTINCT)
+def stream_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come one after another; contents not seen before are appended."""
+    root = shared_path(spark, "stream-dedup")
+    ingest.arrivals(_docs(spark, sf_dir), 3, "doc_id", f"{root}/in")
+    fresh = ingest.first_seen(ingest.incoming(spark, f"{root}/in", SCHEMA), s.content_hash(F.col("text")))
+    ingest.append_to(fresh.select("hash"), f"{root}/out", f"{root}/state")
+    return spark.read.schema("hash string").parquet(f"{root}/out")
+
+
+@query("stream_batches", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each arriving file is processed as a batch with a number of its own."""
+    root = shared_path(spark, "stream-batches")
+    ingest.arrivals(_docs(spark, sf_dir), 3, "doc_id", f"{root}/in")
+    ingest.process_new(ingest.incoming(spark, f"{root}/in", SCHEMA), lambda b: b.groupBy("lang").agg(F.count("*").alias("n")), f"{root}/out", f"{root}/state")
+    return spark.read.parquet(f"{root}/out").groupBy("lang").agg(F.sum("n").alias("n"))
