@@ -7,6 +7,7 @@ All but the last return the columns of documents. Rows with null texts pass the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm import common, decontaminate, mixing, secrets, setsketch, toxicity
 from corpusloom.session import ship_package
@@ -35,9 +36,13 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """documents' columns with size, source_size, target, rate, copies and taken: a copy count for every document."""
-    mixed = mixing.mix(docs).drop("source")
-    return docs.join(mixed, "doc_id", "left").select(*docs.columns, *(c for c in mixed.columns if c != "doc_id"))
+    """documents' columns with size, source_size, target, rate, copies and taken: a copy count for every document.
+
+    A name that documents has already gets mix_ before it; rows without an id have nulls there.
+    """
+    mixed = mixing.mix(docs.select("doc_id", "source", "text")).drop("source").where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "__id")
+    mixed = mixed.toDF(*(f"mix_{c}" if c in docs.columns else c for c in mixed.columns))
+    return docs.join(mixed, F.col("doc_id") == F.col("__id"), "left").drop("__id")
 
 
 STAGES = [

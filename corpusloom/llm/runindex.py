@@ -16,7 +16,7 @@ A byte goes if a `length`-byte string that covers it also starts earlier (smalle
    grouped by their hash instead, which combines map-side: no block grows with a hot passage and none is dropped.
 
 Defined cases: null texts are empty; texts shorter than `length` lose nothing; rows that repeat an id and its text are
-one text and get its result each; an empty table gives no rows; other columns are ignored.
+one text and get its result each; rows without an id lose nothing and cause no removal; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -231,7 +231,7 @@ def remove_repeats(documents: DataFrame, config: RunIndexConfig | None = None) -
     copies = common.materialize(copies.where("first < last").select("digest", "first"), "copies")
     later = long.select("doc_id", F.sha2("text", 256).alias("digest")).join(copies, "digest").where("doc_id > first")
     later = common.materialize(later.select("doc_id").distinct(), "later-copies")
-    firsts = docs.where(F.octet_length("text") >= config.length).join(later, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    firsts = docs.where((F.octet_length("text") >= config.length) & F.col("doc_id").isNotNull()).join(later, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     marks = repeats(firsts, config).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
     marks = marks.unionByName(later.select("doc_id", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 62).alias("end"))).alias("marks")))
 

@@ -59,7 +59,7 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-SPANS = "array<struct<start:long,place:int,end:long,kind:string>>"
+SPANS = "array<struct<start:long,place:int,end:long,kind:string,rule:string>>"
 
 
 def pieces(text: Column, rule: Rule, place: int) -> Column:
@@ -78,27 +78,33 @@ def pieces(text: Column, rule: Rule, place: int) -> Column:
         return F.struct(
             F.lit(place).alias("place"),
             F.lit(rule.name).alias("kind"),
+            F.lit(rule.key).alias("rule"),
             i.cast("int").alias("i"),
             (F.length(part) - F.when(i > 0, 2).otherwise(0)).cast("long").alias("length"),
             size.cast("long").alias("size"),
             ((i > 0) & (used >= rule.least)).alias("good"),
         )
 
-    return F.when(F.size(parts) > 1, F.transform(parts, measured)).otherwise(F.array().cast("array<struct<place:int,kind:string,i:int,length:long,size:long,good:boolean>>"))
+    return F.when(F.size(parts) > 1, F.transform(parts, measured)).otherwise(F.array().cast("array<struct<place:int,kind:string,rule:string,i:int,length:long,size:long,good:boolean>>"))
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blobs: blob, text, pending (keys of the rules to run) -> blob, findings. Each blob once."""
     clean = F.translate("text", START + MIDDLE + END, OTHER * 3)
-    none = F.array().cast("array<struct<place:int,kind:string,i:int,length:long,size:long,good:boolean>>")
+    none = F.array().cast("array<struct<place:int,kind:string,rule:string,i:int,length:long,size:long,good:boolean>>")
     found = [F.when(F.array_contains("pending", r.key), pieces(F.col("clean"), r, n)).otherwise(none) for n, r in enumerate(rules)]
     rows = blobs.select("blob", clean.alias("clean"), "pending").select("blob", F.explode(F.concat(*found)).alias("p")).select("blob", "p.*")
     end = F.sum("length").over(common.window("blob", "place").orderBy("i"))
     rows = rows.withColumn("start", end - F.col("length")).where("good")
-    span = F.struct("start", "place", (F.col("start") + F.col("size")).alias("end"), "kind")
+    span = F.struct("start", "place", (F.col("start") + F.col("size")).alias("end"), "kind", "rule")
     return rows.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("findings"))
 
 
+def addressed(documents: DataFrame, text: str = "text") -> DataFrame:
+    """documents with null texts made empty and the content address of each."""
+    return documents.withColumn(text, F.coalesce(text, F.lit(""))).withColumn("blob", F.sha2(text, 256))
+
+
 class BlobLedger:
     """The table of what has been scanned: blob, rules (keys), findings."""
 
@@ -124,12 +130,26 @@ class BlobLedger:
         first = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
         pending = first.join(known, "blob", "left").select("blob", "doc_id", F.array_except(current, F.coalesce("seen", F.array().cast("array<string>"))).alias("pending"))
         pending = common.materialize(pending.where(F.size("pending") > 0), "pending")
-        unseen = versions.join(pending, ["doc_id", "blob"]).dropDuplicates(["blob"]) if self._repeats(paths) else versions.join(pending, ["doc_id", "blob"])
+        one = pending.toDF("__blob", "__id", "pending")
+        unseen = versions.join(one, (F.col("blob") == F.col("__blob")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+        unseen = unseen.dropDuplicates(["blob"]) if self._repeats(paths) else unseen
         found = pending.join(scan(unseen.select("blob", "text", "pending"), rules), "blob", "left")
         rows = found.select("blob", F.col("pending").alias("rules"), F.coalesce("findings", F.array().cast(SPANS)).cast(SPANS).alias("findings"))
         rows.write.mode("append").parquet(self.path)
         return paths
 
+    def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """(blob, findings) of the blobs in which these rules found something, spans by start, then rule order."""
+        keys, names = (F.array(*map(F.lit, x)) for x in ([r.key for r in rules], [r.name for r in rules]))
+        rows = self.read().where(F.arrays_overlap("rules", keys))
+        merged = rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+
+        def now(x: Column) -> Column:
+            return F.struct(x["start"].alias("start"), (F.array_position(names, x["kind"]) - 1).cast("int").alias("place"), x["end"].alias("end"), x["kind"].alias("kind"), x["rule"].alias("rule"))
+
+        kept = F.transform(F.filter("findings", lambda x: F.array_contains(keys, x["rule"])), now)
+        return merged.select("blob", F.sort_array(kept).alias("findings")).where(F.size("findings") > 0)
+
     @staticmethod
     def _repeats(paths: DataFrame) -> bool:
         """Whether a row of a document comes twice; then its blob must not be scanned twice."""
@@ -139,16 +159,9 @@ class BlobLedger:
 def find_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: BlobLedger | None = None) -> DataFrame:
     """(doc_id, findings): spans by start, then rule order, for every row of documents."""
     ledger = ledger or BlobLedger(documents.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    versions = documents.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("blob", F.sha2("text", 256))
-    paths = ledger.update(versions, rules)
-    current = [r.key for r in rules]
-    rows = ledger.read().where(F.arrays_overlap("rules", F.array(*(F.lit(k) for k in current))))
-    names = [F.lit(r.name) for r in rules]
-    findings = rows.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("findings"))).alias("findings"))
-    found = paths.join(findings.where(F.size("findings") > 0), "blob", "left")
-    kept = F.filter(F.coalesce("findings", F.array().cast(SPANS)), lambda x: x["kind"].isin(*names))
-    return found.select("doc_id", kept.alias("findings"))
+    paths = ledger.update(addressed(documents.select(F.col("doc_id").cast("long"), "text")), rules)
+    found = paths.join(ledger.findings(rules), "blob", "left")
+    return found.select("doc_id", F.coalesce("findings", F.array().cast(SPANS)).alias("findings"))
 
 
 def joined(spans: Column) -> Column:
@@ -156,21 +169,23 @@ def joined(spans: Column) -> Column:
 
 
 def redact(documents: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """documents with the text of every finding replaced by `mask`; all columns kept."""
-    found = find_secrets(documents).where(F.size("findings") > 0).dropDuplicates(["doc_id"])
-    # overlapping findings merge: a span starts a run unless an earlier one reaches it
-    spans = F.col("findings")
-    reach = F.transform(spans, lambda x, i: F.array_max(F.transform(F.slice(spans, 1, i + 1), lambda y: y["end"])))
-    runs = F.filter(F.transform(spans, lambda x, i: F.struct(x["start"].alias("start"), (F.when(i > 0, F.get(F.col("reach"), i - 1)).otherwise(F.lit(-1))).alias("before"), i.alias("i"))), lambda x: x["start"] > x["before"])
-    ends = F.transform(F.col("runs"), lambda x, j: F.get(F.col("reach"), F.coalesce(F.get(F.col("runs"), j + 1)["i"] - 1, F.size("reach") - 1)))
-    cuts = found.select("doc_id", "findings", reach.alias("reach")).withColumn("runs", runs).select("doc_id", "runs", ends.alias("ends"))
-    whole = documents.join(cuts.select(F.col("doc_id").alias("__id"), "runs", "ends"), F.col("doc_id") == F.col("__id"), "left")
-    kept = F.transform(
-        F.sequence(F.lit(0), F.size("runs")),
-        lambda j: F.substr("text", (F.when(j > 0, F.get(F.col("ends"), j - 1)).otherwise(F.lit(0)) + 1).cast("int"), (F.coalesce(F.get(F.col("runs"), j)["start"], F.length("text").cast("long")) - F.when(j > 0, F.get(F.col("ends"), j - 1)).otherwise(F.lit(0))).cast("int")),
-    )
-    text = F.when(F.col("__id").isNotNull(), F.array_join(kept, mask)).otherwise(F.col("text"))
-    return whole.withColumn("text", text).select(*documents.columns)
+    """documents with the text of every finding replaced by `mask`; all columns and rows kept, null texts stay null."""
+    ledger = BlobLedger(documents.sparkSession)
+    ledger.update(addressed(documents.select(F.col("doc_id").cast("long"), "text")))
+    first = F.struct(F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("reach"), F.array().cast("array<struct<from:long,to:long>>").alias("kept"))
+
+    def keep(state: Column, span: Column) -> Column:
+        """What lies between the findings so far and the next one; findings that overlap leave nothing between."""
+        piece = F.struct(state["reach"].alias("from"), span["start"].alias("to"))
+        kept = F.when(span["start"] >= state["reach"], F.array_append(state["kept"], piece)).otherwise(state["kept"])
+        return F.struct(state["from"], F.greatest(state["reach"], span["end"]).alias("reach"), kept.alias("kept"))
+
+    cuts = ledger.findings().select(F.col("blob").alias("__blob"), F.aggregate("findings", first, keep).alias("__cuts"))
+    whole = documents.withColumn("__own", F.sha2(F.coalesce("text", F.lit("")), 256)).join(cuts, F.col("__own") == F.col("__blob"), "left")
+    pieces = F.transform("__cuts.kept", lambda p: F.substr("text", (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))
+    tail = F.substr("text", (F.col("__cuts.reach") + 1).cast("int"))
+    text = F.when(F.col("__blob").isNotNull(), F.concat(F.array_join(pieces, mask), F.lit(mask), tail)).otherwise(F.col("text"))
+    return whole.select(*(text.alias("text") if c == "text" else F.col(c) for c in documents.columns))
 
 
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
