@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ class Rule:
     tail: str
     least: int
     whole: bool = False
-    guard: str = ""  # a substring that every match has
+    guard: tuple[str, ...] = ()  # substrings of which the lower-cased text has one if there is a match
     version: int = 1
 
     @property
@@ -46,28 +47,31 @@ _WORD = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) f
 
 #: The contract's kinds, in its order.
 BASE_RULES = (
-    Rule("assign", rf"(?:{_WORD})[\"']?\x20*[:=]\x20*[\"']?", r"[A-Za-z0-9+/_.=-]+", 6),
-    Rule("access", r"AKIA", r"[A-Z0-9]+", 20, whole=True, guard="AKIA"),
-    Rule("hex", r"", r"[0-9a-f]+", 24),
+    Rule("assign", rf"(?:{_WORD})[\"']?\x20*[:=]\x20*[\"']?", r"[A-Za-z0-9+/_.=-]+", 6, guard=("password", "passwd", "secret", "token", "api_key", "apikey")),
+    Rule("access", r"AKIA", r"[A-Z0-9]+", 20, whole=True, guard=("akia",)),
+    # a run is taken whole, so runs of 24 and more are the runs with the short ones dropped
+    Rule("hex", r"", r"[0-9a-f]{24,}", 24),
 )
 #: What the method adds.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN ", r"[A-Z ]*PRIVATE KEY-----", 16, guard="PRIVATE KEY-----"),
-    Rule("forge_token", r"gh[pousr]_", r"[A-Za-z0-9]+", 36, guard="gh"),
-    Rule("chat_token", r"xox[abprs]-", r"[A-Za-z0-9-]+", 10, guard="xox"),
-    Rule("web_token", r"eyJ", r"[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, guard=".eyJ"),
+    Rule("private_key", r"-----BEGIN ", r"[A-Z ]*PRIVATE KEY-----", 16, guard=("private key-----",)),
+    Rule("forge_token", r"gh[pousr]_", r"[A-Za-z0-9]+", 36, guard=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
+    Rule("chat_token", r"xox[abprs]-", r"[A-Za-z0-9-]+", 10, guard=("xox",)),
+    Rule("web_token", r"eyJ", r"[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, guard=(".eyj",)),
 )
 RULES = BASE_RULES + MORE_RULES
 
 SPANS = "array<struct<start:long,place:int,end:long,kind:string,rule:string>>"
 
+PIECES = "array<struct<place:int,kind:string,rule:string,i:int,length:long,size:long,good:boolean>>"
 
-def pieces(text: Column, rule: Rule, place: int) -> Column:
+
+def pieces(text: Column, lower: Column, rule: Rule, place: int) -> Column:
     """Lengths around a rule's marks: one entry for each piece of the text that a mark starts, the first at 0."""
     head = f"({rule.head})" if rule.head else "()"
     marked = F.regexp_replace(text, f"{head}({rule.tail})", f"{START}$1{MIDDLE}$2{END}")
     if rule.guard:
-        marked = F.when(text.contains(rule.guard), marked).otherwise(text)
+        marked = F.when(reduce(Column.__or__, map(lower.contains, rule.guard)), marked).otherwise(text)
     parts = F.split(marked, START)
 
     def measured(part: Column, i: Column) -> Column:
@@ -85,15 +89,19 @@ def pieces(text: Column, rule: Rule, place: int) -> Column:
             ((i > 0) & (used >= rule.least)).alias("good"),
         )
 
-    return F.when(F.size(parts) > 1, F.transform(parts, measured)).otherwise(F.array().cast("array<struct<place:int,kind:string,rule:string,i:int,length:long,size:long,good:boolean>>"))
+    def all_measured(p: Column) -> Column:
+        return F.when(F.size(p) > 1, F.transform(p, measured)).otherwise(F.array().cast(PIECES))
+
+    return F.element_at(F.transform(F.array(parts), all_measured), 1)  # binds the parts: they are split once
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blobs: blob, text, pending (keys of the rules to run) -> blob, findings. Each blob once."""
-    clean = F.translate("text", START + MIDDLE + END, OTHER * 3)
-    none = F.array().cast("array<struct<place:int,kind:string,rule:string,i:int,length:long,size:long,good:boolean>>")
-    found = [F.when(F.array_contains("pending", r.key), pieces(F.col("clean"), r, n)).otherwise(none) for n, r in enumerate(rules)]
-    rows = blobs.select("blob", clean.alias("clean"), "pending").select("blob", F.explode(F.concat(*found)).alias("p")).select("blob", "p.*")
+    marks = F.col("text").contains(START) | F.col("text").contains(MIDDLE) | F.col("text").contains(END)
+    clean = F.when(marks, F.translate("text", START + MIDDLE + END, OTHER * 3)).otherwise(F.col("text"))
+    none = F.array().cast(PIECES)
+    found = [F.when(F.array_contains("pending", r.key), pieces(F.col("clean"), F.col("lower"), r, n)).otherwise(none) for n, r in enumerate(rules)]
+    rows = blobs.select("blob", clean.alias("clean"), F.lower("text").alias("lower"), "pending").select("blob", F.explode(F.concat(*found)).alias("p")).select("blob", "p.*")
     end = F.sum("length").over(common.window("blob", "place").orderBy("i"))
     rows = rows.withColumn("start", end - F.col("length")).where("good")
     span = F.struct("start", "place", (F.col("start") + F.col("size")).alias("end"), "kind", "rule")
