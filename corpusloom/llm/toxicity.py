@@ -66,25 +66,27 @@ def train(texts: pa.Array, labels: np.ndarray, config: ToxicityConfig) -> Toxici
     z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last slot is the bias, free of L1
     l1 = np.full(size + 1, config.l1)
     l1[size] = 0.0
-    rows: list[np.ndarray] = []
-    if len(texts):
-        batch = pa.record_batch([pa.array(texts, pa.large_string())], ["text"])
-        for a, b, data, offsets in tv.chunks(batch, "text"):
+
+    def features() -> Iterator[np.ndarray]:
+        for a, b, data, offsets in tv.chunks(pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), "text"):
             docs, feats = gram_features(data, offsets, config.bits)
-            order = np.argsort(docs, kind="stable")
-            cut = np.searchsorted(docs[order], np.arange(b - a + 1))
-            feats = feats[order]
-            rows += [np.append(np.unique(feats[cut[i] : cut[i + 1]]), size).astype(np.int32) for i in range(b - a)]
+            pairs = np.unique(docs << config.bits | feats)
+            cut = np.searchsorted(pairs, np.arange(b - a + 1) << config.bits)
+            pairs = np.bitwise_and(pairs, size - 1).astype(np.int32)
+            yield from (pairs[cut[i] : cut[i + 1]] for i in range(b - a))
+
+    # twice over the texts, so that only what is frequent enough is held
+    df = np.zeros(size, np.int32)
+    for x in features():
+        df[x] += 1
+    least = config.min_texts if len(texts) >= 20 * config.min_texts else 1
+    rows = [np.append(x[df[x] >= least], np.int32(size)) for x in features()]
 
     def weight(i: np.ndarray) -> np.ndarray:
         w = np.sign(z[i]) * l1[i] - z[i]
         w /= (config.beta + np.sqrt(n[i])) / config.alpha + config.l2
         return np.where(np.abs(z[i]) <= l1[i], 0.0, w)
 
-    df = np.zeros(size + 1, np.int64)
-    for x in rows:
-        df[x] += 1
-    rows = [x[df[x] >= config.min_texts] if len(rows) >= 20 * config.min_texts else x for x in rows]
     for _ in range(config.epochs):
         for x, y in zip(rows, labels, strict=True):
             w = weight(x)
