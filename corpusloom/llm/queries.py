@@ -14,7 +14,7 @@ from .pii import op2_skip_chain_pii
 from .quality import op8_quality
 from .runindex import op7_run_index_dedup
 from .secrets import OP10_SQL, op10_secret_ledger
-from .setsketch import op3_setsketch_dedup
+from .setsketch import OP3_SQL, op3_setsketch_dedup
 from .toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,4 +29,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_secret_ledger": op10_secret_ledger,
 }
-ORACLES: dict[str, str] = {"op6_block_neighbours": OP6_SQL, "op9_decontamination": OP9_SQL, "op10_secret_ledger": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_setsketch_dedup": OP3_SQL, "op6_block_neighbours": OP6_SQL, "op9_decontamination": OP9_SQL, "op10_secret_ledger": OP10_SQL}
