@@ -49,29 +49,35 @@ class RunIndexConfig:
 def text_anchors(data: np.ndarray, offsets: np.ndarray, config: RunIndexConfig) -> tuple[np.ndarray, ...]:
     """(text, key, context hash, gram start, first window start, last window start); starts count from the text's."""
     size, w = config.length, config.length - config.gram + 1
-    sums = tv.prefix_sums(data)
-    grams = np.arange(len(data) - config.gram + 1)
     if len(data) < size:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    key = tv.span_hash(sums, grams, grams + config.gram)
-    packed = (key >> _POSITION_BITS << _POSITION_BITS) | grams.astype(np.uint64)
-    span, least = 1, packed
+    # grams are ordered by a hash of their first eight bytes, then by place
+    least = words_at(data)[: len(data) - config.gram + 1] * np.uint64(0x9E3779B97F4A7C15)
+    least = (least >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(least), dtype=np.uint64)
+    span = 1
     while 2 * span <= w:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     least = np.minimum(least[: len(least) - (w - span)], least[w - span :])
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
-    start = np.flatnonzero(np.arange(len(least)) + size <= offsets[text + 1])
-    anchor = (least[start] & ((np.uint64(1) << _POSITION_BITS) - np.uint64(1))).astype(np.int64)
-    text = text[start]
-    if not len(start):
+    anchor = (least & ((np.uint64(1) << _POSITION_BITS) - np.uint64(1))).astype(np.int64)
+    inside, fresh = np.zeros(len(anchor) + 1, bool), np.ones(len(anchor) + 1, bool)
+    fresh[1:-1] = anchor[1:] != anchor[:-1]
+    for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        if y - x >= size:
+            inside[x : y - size + 1] = True
+            fresh[x] = fresh[y - size + 1] = True
+    edge = np.flatnonzero(fresh)
+    whole = inside[edge[:-1]]
+    lo, hi = edge[:-1][whole], edge[1:][whole] - 1
+    if not len(lo):
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
-    last = np.append(first[1:], len(start)) - 1
-    lo, hi, at, own = start[first], start[last], anchor[first], text[first]
+    at = anchor[lo]
+    own = np.searchsorted(offsets, lo, "right") - 1
+    sums = tv.prefix_sums(data)
+    key = tv.span_hash(sums, at, at + config.gram)
     context = tv.mix(tv.span_hash(sums, lo, hi + size) + ((at - lo) * 256 + (hi - lo)).astype(np.uint64))
     base = offsets[own]
-    return own, key[at].view(np.int64), context.view(np.int64), at - base, lo - base, hi - base
+    return own, key.view(np.int64), context.view(np.int64), at - base, lo - base, hi - base
 
 
 def anchors(documents: DataFrame, config: RunIndexConfig, keys_only: bool = False) -> DataFrame:
@@ -87,7 +93,7 @@ def anchors(documents: DataFrame, config: RunIndexConfig, keys_only: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for a, _, data, offsets in tv.chunks(batch, "text"):
+            for a, _, data, offsets in tv.chunks(batch, "text", 1 << 18):
                 for own, key, context, at, lo, hi in pieces(data, offsets):
                     if keys_only:
                         found, count = np.unique(key, return_counts=True)
@@ -99,43 +105,46 @@ def anchors(documents: DataFrame, config: RunIndexConfig, keys_only: bool = Fals
     return documents.mapInArrow(run, "key long, twice boolean" if keys_only else "key long, context long, doc_id long, place long")
 
 
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one little-endian number; data has seven bytes of padding at its end."""
+    data = np.ascontiguousarray(data)
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffixes of the bytes in order, by prefix doubling from eight bytes on."""
+    """Suffixes of the bytes in order, by prefix doubling from seven bytes on."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    value = np.zeros(n, np.uint64)
-    for j in range(8):
-        value = value << np.uint64(8) | padded[j : j + n].astype(np.uint64)
-    # the end sorts below any byte: suffixes shorter than eight bytes are told apart from ones that go on with zeros
-    order = np.lexsort((np.minimum(n - np.arange(n), 8), value))
-    fresh = np.concatenate([[0], (value[order][1:] != value[order][:-1]) | (np.minimum(n - order, 8)[1:] != np.minimum(n - order, 8)[:-1])])
+    # seven bytes and how many of them are there: the end sorts below any byte
+    value = words_at(np.concatenate([text, np.zeros(7, np.uint8)])).byteswap() & ~np.uint64(255)
+    value |= np.minimum(n - np.arange(n), 7).astype(np.uint64)
+    order = np.argsort(value)
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(fresh)
-    step = 8
+    ordered = value[order]
+    rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])[:n])
+    step = 7
     while n and rank.max() < n - 1:
         pair = rank * (n + 1)
         if step < n:
             pair[:-step] += rank[step:] + 1
-        order = np.argsort(pair, kind="stable")
-        sorted_pair = pair[order]
-        rank[order] = np.cumsum(np.concatenate([[0], sorted_pair[1:] != sorted_pair[:-1]]))
+        order = np.argsort(pair)
+        ordered = pair[order]
+        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
         step *= 2
     return order
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Common prefix lengths of suffixes a and b, up to `most`."""
+    """Common prefix lengths of suffixes a and b, up to `most`, eight bytes at a time."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(most + 1, np.uint8)])
+    words = words_at(np.concatenate([text, np.zeros(most + 16, np.uint8)]))
+    room = np.minimum(most, n - np.maximum(a, b))
     out, live = np.zeros(len(a), np.int64), np.arange(len(a))
-    step = np.arange(16)
     while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        same = (padded[x[:, None] + step] == padded[y[:, None] + step]) & (np.maximum(x, y)[:, None] + step < n)
-        run = np.where(same.all(axis=1), 16, same.argmin(axis=1))
-        out[live] = np.minimum(out[live] + run, most)
-        live = live[(run == 16) & (out[live] < most)]
-    return out
+        differ = words[a[live] + out[live]] ^ words[b[live] + out[live]]
+        lowest = differ & (~differ + np.uint64(1))
+        out[live] += np.where(differ == 0, 8, np.log2(np.maximum(lowest, 1).astype(np.float64)).astype(np.int64) >> 3)
+        live = live[(differ == 0) & (out[live] < room[live])]
+    return np.minimum(out, room)
 
 
 def repeated_windows(contexts: list[bytes], doc: np.ndarray, lo: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,8 +167,7 @@ def repeated_windows(contexts: list[bytes], doc: np.ndarray, lo: np.ndarray, len
     reach[sampled] = sampled + lengths_at
     match = np.maximum.accumulate(reach) - np.arange(len(text))
     group = np.cumsum(match[order] < length)
-    when = np.empty(len(text), np.int64)
-    when[np.lexsort((lo[own] + inside, doc[own]))] = np.arange(len(text))
+    when = (np.unique(doc, return_inverse=True)[1][own] << 40) + lo[own] + inside  # order of (doc, start)
     edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     earliest = np.minimum.reduceat(when[order], edge)
     covered = np.zeros(len(text), bool)
