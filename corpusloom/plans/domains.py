@@ -39,9 +39,10 @@ def domain_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts(spark, sf_dir).orderBy("n", "domain").limit(10)
 
 
-@query("domain_max", f"{COUNTS} SELECT arg_max(domain, n * 1000000 - length(domain)) AS domain, max(n) AS n FROM c")
+@query("domain_max", f"{COUNTS} SELECT domain, n FROM c ORDER BY n DESC, domain LIMIT 1")
 def domain_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts(spark, sf_dir).agg(F.max_by("domain", F.col("n") * 1000000 - F.length("domain")).alias("domain"), F.max("n").alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("less"), "domain", "n")).alias("x")
+    return counts(spark, sf_dir).agg(best).select("x.domain", "x.n")
 
 
 @query("domain_distinct", f"{COUNTS} SELECT count(*) AS domains, CAST(sum(n) AS BIGINT) AS urls FROM c")
