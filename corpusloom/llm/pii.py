@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -127,15 +129,20 @@ class Graph:
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
         last: dict[tuple[int, str], int] = {}
         words = list(_WORD.finditer(text))
-        before, spot = -2, 0
+        before = -2
+        reach = list(accumulate((e for _, _, e in base), max))
         for i, m in enumerate(words):
             token = m[0]
             if not _EVIDENCE.search(token):
                 continue
             node = len(self.doc)
-            while spot < len(base) and base[spot][2] <= m.start() and (spot + 1 == len(base) or base[spot + 1][0] < m.end()):
-                spot += 1
-            label = next((k for s, k, e in base[max(0, spot - 3) : spot + 4] if s < m.end() and m.start() < e), OTHER)
+            first = bisect_right(reach, m.start())
+            label = OTHER
+            while first < len(base) and base[first][0] < m.end():
+                if base[first][2] > m.start():
+                    label = base[first][1]
+                    break
+                first += 1
             around = [words[i - 1][0] if i else "", words[i + 1][0] if i + 1 < len(words) else ""]
             context = [SHAPES + j * HASHED + int.from_bytes(hashlib.blake2b(w.lower().encode(), digest_size=2).digest()) % HASHED for j, w in enumerate(around) if not _EVIDENCE.search(w)]
             self.doc.append(doc)

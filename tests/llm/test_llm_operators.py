@@ -362,3 +362,15 @@ def test_neighbours_match_brute_force(spark):
     few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.1])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(few.where("vec_id = 1"), few).collect()] == [(1, 1, 2)]
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_added_spans_touch_no_base_span():
+    rng = random.Random(9)
+    config, model = pii.PiiConfig(add_at=0.0), pii.PiiModel(np.zeros((pii.SHAPES + 2 * pii.HASHED + 1, 5)), np.zeros((3, 5, 5)))
+    bits = ["joe@a.example", "1.2.3.4", "4465758382889437", "4465 7583 8288 9437", "+1 555 123 4567", "word", "12", "x@", "1.2.3.4:80", "a@b.c@d.e"]
+    for _ in range(200):
+        text = " ".join(rng.choices(bits, k=rng.randint(1, 12)))
+        base, every = pii.find_in([text], model, config)[0]
+        assert set(base) <= set(every)
+        for s, _, e in set(every) - set(base):
+            assert not any(s < be and bs < e for bs, _, be in base)
