@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import transcripts as t
-from ..operators.tables import load
+from ..operators.tables import load, stored
 from .registry import query
 
 
@@ -17,11 +17,15 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("stream", "turn", "seq", (F.col("seq") * 300).alias("start_ms"), (F.col("seq") * 300 + 250).alias("end_ms"), "word")
 
 
-def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A turn ends 400 ms after its last word, so the next speaker's first word still falls into it."""
-    ends = words(spark, sf_dir).groupBy("stream", "turn").agg(F.min("start_ms").alias("start_ms"), (F.max("end_ms") + 400).alias("end_ms"))
+def recordings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(words, turns). Words are numbered once and stored, as turns and mapping both read them.
+
+    A turn ends 400 ms after its last word, so the next speaker's first word still falls into it.
+    """
+    spoken = stored(words(spark, sf_dir), "words")
+    ends = spoken.groupBy("stream", "turn").agg(F.min("start_ms").alias("start_ms"), (F.max("end_ms") + 400).alias("end_ms"))
     roles = load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("stream"), "turn", F.col("role").alias("speaker"))
-    return ends.join(roles, ["stream", "turn"])
+    return spoken, stored(ends.join(roles, ["stream", "turn"]), "turns")
 
 
 BASE = """w0 AS (SELECT conv_id AS stream, turn, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word, generate_subscripts(string_split(replace(text, chr(10), ' '), ' '), 1) AS i FROM conversations),
@@ -39,7 +43,7 @@ sg AS (SELECT stream, CAST(segment AS BIGINT) AS segment, 'Speaker ' || any_valu
 
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.map_speakers(words(spark, sf_dir), turns(spark, sf_dir))
+    return t.map_speakers(*recordings(spark, sf_dir))
 
 
 @query("word_speaker_map", f"WITH {BASE} SELECT stream, seq, start_ms, end_ms, word, speaker FROM mp")
@@ -49,7 +53,8 @@ def word_speaker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("speaker_segments", f"WITH {BASE} SELECT * FROM sg")
 def speaker_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.segments(mapped(spark, sf_dir), turns(spark, sf_dir))
+    spoken, turns = recordings(spark, sf_dir)
+    return t.segments(stored(t.map_speakers(spoken, turns), "mapped"), turns)
 
 
 def _clock(x: str) -> str:
