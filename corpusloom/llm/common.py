@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,11 +35,11 @@ def remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int):
-    """At most max_rows labelled texts of at most max_bytes each, as an Arrow table (text, label), in a fixed order.
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int) -> DataFrame:
+    """(text, label) of at most max_rows labelled texts of at most max_bytes each, in a fixed order.
 
     The rows are those with the smallest hashes of doc_id, so the sample is uniform and the same on each run; ids are
-    drawn before any text is read. Both bounds together bound what the driver holds.
+    drawn before any text is read. Both bounds together bound what the training task holds.
     """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -53,7 +57,24 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    return rows.select("text", "label").toArrow()
+    return rows.select("text", "label")
+
+
+def trained(rows: DataFrame, build: Callable[[pa.Table], Any]) -> Any:
+    """build(rows) of a bounded sample, run in one task of an executor; only the model comes to the driver."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)
+        table = pa.Table.from_batches(got) if got else pa.table({n: [] for n in names})
+        yield pa.record_batch([pa.array([pickle.dumps(build(table))], pa.binary())], ["model"])
+
+    models = rows.coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(models[0][0]) if models else build(pa.table({n: [] for n in names}))
+
+
+def column(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays([c.cast(kind) for c in table.column(name).chunks] or [pa.array([], kind)])
 
 
 def window(*keys: str):

@@ -112,9 +112,9 @@ def fit(documents: DataFrame, config: LanguageConfig | None = None) -> LanguageM
     known = known.where(F.octet_length("text") <= config.max_train_bytes)
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     ids = known.select("doc_id").distinct().orderBy(*order).limit(config.max_train_rows)
-    got = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
-    got = got.orderBy(*order).limit(config.max_train_rows).select("text", "lang").toArrow()
-    return train(got.column("text").combine_chunks(), got.column("lang").to_pylist(), config)
+    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
+    rows = rows.orderBy(*order).limit(config.max_train_rows).select("text", "lang")
+    return common.trained(rows, lambda t: train(common.column(t, "text", pa.large_string()), t.column("lang").to_pylist(), config))
 
 
 def predict_texts(data: np.ndarray, offsets: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:

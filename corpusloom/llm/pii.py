@@ -282,8 +282,8 @@ def fit(documents: DataFrame, config: PiiConfig | None = None) -> PiiModel:
     known = documents.where(F.col("doc_id").isNotNull() & (F.octet_length("text") <= config.max_train_bytes) & F.col("text").rlike("[0-9@]"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     ids = known.select("doc_id").distinct().orderBy(*order).limit(config.max_train_rows)
-    got = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy(*order).limit(config.max_train_rows)
-    return train(got.select("text").toArrow().column("text").to_pylist(), config)
+    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy(*order).limit(config.max_train_rows)
+    return common.trained(rows.select("text"), lambda t: train(t.column("text").to_pylist(), config))
 
 
 def find_personal_data(documents: DataFrame, model: PiiModel, config: PiiConfig | None = None) -> DataFrame:

@@ -123,8 +123,8 @@ def train(texts: pa.Array, labels: np.ndarray, config: QualityConfig) -> Quality
 def fit(documents: DataFrame, labels: DataFrame, config: QualityConfig | None = None) -> QualityModel:
     """labels: doc_id, quality. The caller leaves out the rows that the model must not see."""
     config = config or QualityConfig()
-    got = common.training_rows(documents, labels, "quality", config.max_train_rows, config.max_train_bytes)
-    return train(got.column("text").combine_chunks(), np.asarray(got.column("label"), float), config)
+    rows = common.training_rows(documents, labels, "quality", config.max_train_rows, config.max_train_bytes)
+    return common.trained(rows, lambda t: train(common.column(t, "text", pa.large_string()), np.asarray(t.column("label"), float), config))
 
 
 def score_texts(data: np.ndarray, offsets: np.ndarray, model: QualityModel) -> np.ndarray:
