@@ -75,7 +75,7 @@ def realign_labels(words: list[str], speakers: list[str], most: int) -> list[str
             while left > 0 and k - left < most and labels[left - 1] == labels[left] and not ends[left - 1]:
                 left -= 1
             opened = left == 0 or ends[left - 1]
-            stop = k + most - k + left - 1 if opened else k
+            stop = most + left - 1 if opened else k
             right = next((i for i in range(k, min(n, stop)) if ends[i]), min(n, max(stop, k)))
             closed = opened and (right == n - 1 or right < n and ends[right])
             if closed:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import timestamp  # noqa: F401  re-exported for subtitle writers
 from ..operators.tables import with_row_index
 
 
