@@ -80,8 +80,8 @@ def _lower() -> object:
     return lambda texts: [t.lower() for t in texts]
 
 
-@query("translate_stub", "SELECT conv_id, turn, lower(substr(text, 1, 64)) AS translated FROM conversations")
+@query("translate_stub", "SELECT conv_id, turn, lower(text) AS translated FROM conversations")
 def translate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batched model interface with a stand-in model; keys pass through."""
+    """The batched model interface with a stand-in model over whole texts; keys pass through. A limit in tokens is the loaded model's."""
     translate = lm.translator(_lower, batch=256)
-    return load(spark, sf_dir, "conversations").select("conv_id", "turn", translate(F.substring("text", 1, 64)).alias("translated"))
+    return load(spark, sf_dir, "conversations").select("conv_id", "turn", translate(F.col("text")).alias("translated"))
