@@ -46,7 +46,7 @@ def union_config(spark: SparkSession, sf_dir: str, name: str = "all") -> UnionCo
 
     def pages(split: str) -> DataFrame:
         df = load(spark, sf_dir, "pages")
-        return record(df, "pages", F.substring("html", 1, 100), image_url=url_column(df, "image_url", "url"), meta=("page_id",))
+        return record(df, "pages", "html", image_url=url_column(df, "image_url", "url"), meta=("page_id",))
 
     def conversations(split: str) -> DataFrame:
         return record(part(load(spark, sf_dir, "conversations"), "conv_id", split), "conversations", "text", meta=("conv_id", "turn", "role"))
@@ -60,7 +60,7 @@ PAD = "CASE WHEN length(CAST(doc_id AS VARCHAR)) >= 12 THEN CAST(doc_id AS VARCH
 @query(
     "pmd_union",
     f"""SELECT NULL AS image_url, 'images/' || {PAD} || '.jpg' AS path, text, 'documents' AS source FROM documents WHERE doc_id % 10 <> 0
-    UNION ALL SELECT url, NULL, substr(html, 1, 100), 'pages' FROM pages UNION ALL SELECT NULL, NULL, text, 'conversations' FROM conversations WHERE conv_id % 10 <> 0""",
+    UNION ALL SELECT url, NULL, html, 'pages' FROM pages UNION ALL SELECT NULL, NULL, text, 'conversations' FROM conversations WHERE conv_id % 10 <> 0""",
 )
 def pmd_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_config(spark, sf_dir).table("train").select("image_url", "image.path", "text", "source")

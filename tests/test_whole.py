@@ -12,3 +12,15 @@ def test_translate_whole_texts(spark, folder):
     write(spark, folder, "conversations", [(i, 0, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string")
     got = {r["conv_id"]: r["translated"] for r in catalog.queries()["translate_stub"](spark, folder).collect()}
     assert got == {i: t.lower() for i, t in enumerate(texts)}
+
+
+def write_union(spark, folder, pages=()):
+    write(spark, folder, "documents", [(i, f"text {i}", "en", "web") for i in range(20)], "doc_id long, text string, lang string, source string")
+    write(spark, folder, "pages", list(pages), "page_id long, url string, html string")
+    write(spark, folder, "conversations", [(i, 0, "user", f"turn {i}") for i in range(20)], "conv_id long, turn int, role string, text string")
+
+
+def test_union_keeps_whole_pages(spark, folder):
+    html = "<p>" + "words " * 100 + "</p>"
+    write_union(spark, folder, [(1, "http://a.example/", html)])
+    assert [r["text"] for r in catalog.queries()["pmd_union"](spark, folder).where("source = 'pages'").collect()] == [html]
