@@ -25,6 +25,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda x: x != "")
 
 
+def truncated_padded(tokens: Column, length: int, pad: str = "[PAD]") -> Column:
+    """The first `length` tokens, filled up to `length`."""
+    kept = F.slice(tokens, 1, length)
+    return F.concat(kept, F.array_repeat(F.lit(pad), F.lit(length) - F.size(kept)))
+
+
 def chunked(df: DataFrame, key: str, tokens: str, length: int, batch_rows: int = 1000) -> DataFrame:
     """(batch, chunk, tokens): the tokens of each batch of rows put together and cut to `length`.
 

@@ -12,6 +12,7 @@ from .registry import query
 INDEXED = "n AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_index, count(*) OVER () AS total FROM documents)"
 WORDS = r"list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')"
 LENGTH = 128
+MAX_LENGTH = 1024  # tokens of a line; words in place of a tokeniser have no model maximum, so the reference's own bound holds
 
 
 @query("split_positional", f"WITH {INDEXED} SELECT doc_id, CASE WHEN row_index < round(total * 5 / 100) THEN 'validation' ELSE 'train' END AS split FROM n")
@@ -35,15 +36,15 @@ def group_texts_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "tokenise_truncate_pad",
     rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
-    t AS (SELECT doc_id, line_no, list_filter(string_split_regex(line, '\s+'), lambda x: x <> '')[1:16] AS k FROM l WHERE trim(line) <> '')
-    SELECT doc_id, line_no, array_to_string(list_concat(k, list_transform(range(16 - len(k)), lambda i: '[PAD]')), ' ') AS tokens, len(k) AS n_tokens FROM t""",
+    t AS (SELECT doc_id, line_no, list_filter(string_split_regex(line, '\s+'), lambda x: x <> '')[1:{MAX_LENGTH}] AS k FROM l WHERE trim(line) <> '')
+    SELECT doc_id, line_no, array_to_string(list_concat(k, list_transform(range({MAX_LENGTH} - len(k)), lambda i: '[PAD]')), ' ') AS tokens, len(k) AS n_tokens FROM t""",
 )
 def tokenise_truncate_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each non-blank line as at most 16 tokens, filled up; the mask is the number of real ones."""
+    """Each non-blank line as at most MAX_LENGTH tokens, filled up; the mask is the number of real ones."""
     lines = load(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
-    k = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.slice(lm.words(F.col("line")), 1, 16).alias("k"))
-    padded = F.concat("k", F.array_repeat(F.lit("[PAD]"), F.lit(16) - F.size("k")))
-    return k.select("doc_id", "line_no", F.array_join(padded, " ").alias("tokens"), F.size("k").cast("long").alias("n_tokens"))
+    k = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), lm.words(F.col("line")).alias("k"))
+    padded = F.array_join(lm.truncated_padded(F.col("k"), MAX_LENGTH), " ")
+    return k.select("doc_id", "line_no", padded.alias("tokens"), F.least(F.size("k"), F.lit(MAX_LENGTH)).cast("long").alias("n_tokens"))
 
 
 @query(

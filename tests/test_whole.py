@@ -1,6 +1,8 @@
 """Queries keep whole inputs: fixtures with texts, pages and domains that a cut or a wrong list would lose."""
 
+from corpusloom.operators import lm
 from corpusloom.plans import catalog
+from pyspark.sql import functions as F
 
 
 def write(spark, folder, table, rows, schema):
@@ -24,3 +26,16 @@ def test_union_keeps_whole_pages(spark, folder):
     html = "<p>" + "words " * 100 + "</p>"
     write_union(spark, folder, [(1, "http://a.example/", html)])
     assert [r["text"] for r in catalog.queries()["pmd_union"](spark, folder).where("source = 'pages'").collect()] == [html]
+
+
+def test_tokens_truncated_and_padded(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "c", "d", "e"]), (2, ["a"]), (3, [])], "id long, k array<string>")
+    got = {r["id"]: r["t"] for r in df.select("id", lm.truncated_padded(F.col("k"), 3).alias("t")).collect()}
+    assert got == {1: ["a", "b", "c"], 2: ["a", "[PAD]", "[PAD]"], 3: ["[PAD]"] * 3}
+
+
+def test_lines_keep_the_production_length(spark, folder):
+    words = [f"w{i}" for i in range(1100)]
+    write(spark, folder, "documents", [(1, " ".join(words[:300]) + "\n\n" + " ".join(words))], "doc_id long, text string")
+    got = {r["line_no"]: (r["tokens"].split(" "), r["n_tokens"]) for r in catalog.queries()["tokenise_truncate_pad"](spark, folder).collect()}
+    assert got == {0: (words[:300] + ["[PAD]"] * 724, 300), 2: (words[:1024], 1024)}
