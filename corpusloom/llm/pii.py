@@ -4,12 +4,13 @@ Base spans come from four fixed patterns and always stay. The field labels candi
 or an at sign) as email, ip, card, phone or none; all other tokens are none by definition, so they only act as context
 features, and inference over the candidates alone is the same as over the whole document. Potentials: token and context
 features; chain edges between candidates that stand next to each other; skip edges between tokens that are the same or
-similar (equal leading digits, equal mail domain) anywhere in the document, each occurrence linked with the one before,
-so a token's evidence reaches all its repeats with a number of edges linear in the tokens. Weights are learned by
-pseudo-likelihood on a bounded, documented sample whose labels are the base spans; features are dropped at random while
-training, so that context and repetition carry weight too. Loopy belief propagation runs over all documents of a batch
-as one graph of separate parts. A token whose marginal for a kind reaches `add_at` and that touches no base span adds a
-span.
+similar (equal leading digits, equal mail domain) anywhere in the document. Two such tokens are linked directly, more
+of them through one hub variable, so any two are two hops apart and the edges stay linear in the tokens. Weights are
+learned by pseudo-likelihood on a bounded, documented sample whose labels are the base spans (a hub's label is the most
+common one of the other tokens); features are dropped at random while training, so that context and repetition carry
+weight too. Loopy belief propagation runs over all documents of a batch as one graph of separate parts, each until its
+messages settle; one that swings without end keeps the messages of round `rounds`. A token whose marginal for a kind
+reaches `add_at` and that touches no base span adds a span.
 
 Defined cases: null texts are empty; a text without candidates has no spans; rows that repeat an id are reported each;
 an empty table gives no rows; other columns are ignored.
@@ -125,9 +126,11 @@ class Graph:
         self.label: list[int] = []
         self.feats: list[list[int]] = []
         self.edges: list[tuple[int, int, int]] = []  # node, node, 0 chain / 1 same / 2 similar
+        self.links: list[tuple[int, int, int]] = []  # node, hub, 1 same / 2 similar
+        self.hubs = 0
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
-        last: dict[tuple[int, str], int] = {}
+        alike: dict[tuple[int, str], list[int]] = {}
         words = list(_WORD.finditer(text))
         before = -2
         reach = list(accumulate((e for _, _, e in base), max))
@@ -152,10 +155,14 @@ class Graph:
             if before == i - 1:
                 self.edges.append((node - 1, node, 0))
             for key in keys_of(token):
-                if key in last:
-                    self.edges.append((last[key], node, 1 + key[0]))
-                last[key] = node
+                alike.setdefault(key, []).append(node)
             before = i
+        for (kind, _), nodes in alike.items():
+            if len(nodes) == 2:
+                self.edges.append((*nodes, 1 + kind))
+            elif len(nodes) > 2:
+                self.links += [(node, self.hubs, 1 + kind) for node in nodes]
+                self.hubs += 1
 
     def matrix(self) -> np.ndarray:
         x = np.zeros((len(self.feats), SHAPES + 2 * HASHED + 1), np.float32)
@@ -180,7 +187,7 @@ class PiiConfig:
     drop: float = 0.25
     l2: float = 1e-4
     add_at: float = 0.7
-    rounds: int = 12
+    rounds: int = 1000
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -199,7 +206,12 @@ def train(texts: list[str], config: PiiConfig) -> PiiModel:
         model.unary[-1, OTHER] = 5.0
         return model
     x, y = graph.matrix(), np.array(graph.label)
-    edges = np.array(graph.edges, np.int64).reshape(-1, 3)
+    a, b, kinds = np.array(graph.edges, np.int64).reshape(-1, 3).T
+    node, hub, hub_kinds = np.array(graph.links, np.int64).reshape(-1, 3).T
+    counts = np.zeros((graph.hubs, labels), np.int64)
+    np.add.at(counts, (hub, y[node]), 1)
+    others = counts[hub] - np.eye(labels, dtype=np.int64)[y[node]]
+    here, there, kind = np.concatenate([a, b, node]), np.concatenate([y[b], y[a], others.argmax(axis=1)]), np.concatenate([kinds, kinds, hub_kinds])
     one = np.eye(labels)[y]
     rng = np.random.default_rng(5)
     gu, gp = np.full(model.unary.shape, 1e-6), np.full(model.pair.shape, 1e-6)
@@ -208,48 +220,47 @@ def train(texts: list[str], config: PiiConfig) -> PiiModel:
         seen = x * (rng.random(x.shape) >= config.drop)
         seen[:, -1] = 1
         score = seen @ model.unary
-        for kind in range(3):
-            a, b = edges[edges[:, 2] == kind, :2].T
-            np.add.at(score, a, model.pair[kind][y[b]])
-            np.add.at(score, b, model.pair[kind][y[a]])
+        np.add.at(score, here, model.pair[kind, there])
         wrong = (_softmax(score) - one) * weight
         du = seen.T @ wrong + config.l2 * model.unary
         gu += du * du
         model.unary -= config.rate * du / np.sqrt(gu)
-        for kind in range(3):
-            a, b = edges[edges[:, 2] == kind, :2].T
-            dp = np.zeros((labels, labels))
-            np.add.at(dp, y[b], wrong[a])
-            np.add.at(dp, y[a], wrong[b])
-            dp = (dp + dp.T) / 2 + config.l2 * model.pair[kind]
-            gp[kind] += dp * dp
-            model.pair[kind] -= config.rate * dp / np.sqrt(gp[kind])
+        dp = np.zeros(model.pair.shape)
+        np.add.at(dp, (kind, there), wrong[here])
+        dp = (dp + dp.transpose(0, 2, 1)) / 2 + config.l2 * model.pair
+        gp += dp * dp
+        model.pair -= config.rate * dp / np.sqrt(gp)
     return model
 
 
-def marginals(graph: Graph, model: PiiModel, rounds: int) -> np.ndarray:
-    """Loopy belief propagation, all edges at once, damped."""
-    local = graph.matrix() @ model.unary
-    edges = np.array(graph.edges, np.int64).reshape(-1, 3)
-    if not len(edges):
-        return _softmax(local)
-    source = np.concatenate([edges[:, 0], edges[:, 1]])
-    target = np.concatenate([edges[:, 1], edges[:, 0]])
-    back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-    pair = model.pair[np.concatenate([edges[:, 2], edges[:, 2]])]
-    message = np.zeros((len(source), local.shape[1]))
+def marginals(graph: Graph, model: PiiModel, rounds: int, settled: float = 1e-4) -> np.ndarray:
+    """Loopy belief propagation, damped, all edges of the documents at once whose messages still move."""
+    n = len(graph.doc)
+    local = np.concatenate([graph.matrix() @ model.unary, np.zeros((graph.hubs, model.unary.shape[1]))])
+    edges = np.array(graph.edges + [(node, n + hub, kind) for node, hub, kind in graph.links], np.int64).reshape(-1, 3)
+    owner = np.array(graph.doc, np.int64)[edges[:, 0]]
+    message = np.zeros((2, len(edges), local.shape[1]))  # to the second node, to the first
+    moving = np.arange(len(edges))
     for _ in range(rounds):
+        if not len(moving):
+            break
+        a, b, kind = edges[moving].T
+        old, pair = message[:, moving], model.pair[kind]
         belief = local.copy()
-        np.add.at(belief, target, message)
-        out = belief[source] - message[back]
-        full = out[:, :, None] + pair
-        top = full.max(axis=1, keepdims=True)
-        new = np.log(np.exp(full - top).sum(axis=1)) + top[:, 0]
-        new -= new.mean(axis=1, keepdims=True)
-        message = 0.5 * message + 0.5 * new
-    belief = local.copy()
-    np.add.at(belief, target, message)
-    return _softmax(belief)
+        np.add.at(belief, b, old[0])
+        np.add.at(belief, a, old[1])
+        full = np.stack([belief[a] - old[1], belief[b] - old[0]])[..., None] + pair
+        top = full.max(axis=2, keepdims=True)
+        new = np.log(np.exp(full - top).sum(axis=2)) + top[:, :, 0]
+        new -= new.mean(axis=2, keepdims=True)
+        message[:, moving] = 0.5 * old + 0.5 * new
+        most = np.zeros(owner.max() + 1)
+        np.maximum.at(most, owner[moving], np.abs(new - old).max(axis=(0, 2)))
+        moving = moving[most[owner[moving]] > settled]
+    belief = local
+    np.add.at(belief, edges[:, 1], message[0])
+    np.add.at(belief, edges[:, 0], message[1])
+    return _softmax(belief[:n])
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
