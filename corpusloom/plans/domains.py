@@ -12,7 +12,7 @@ from .registry import query
 NETLOC = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)"
 COUNTS = f"WITH d AS (SELECT *, {NETLOC} AS domain FROM pages), c AS (SELECT domain, count(*) AS n FROM d GROUP BY domain)"
 TLDS = ("com", "id", "org")
-DENIED = ("hea", "judi", "viagra", "porno", "slot")
+DENIED = ("judi", "viagra", "obatkuat", "porno", "slot")
 INCLUDED = ("ththre.example.com", "thther.example.org", "m.ththth.example.net")
 
 

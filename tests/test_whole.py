@@ -73,3 +73,9 @@ def test_messages_settle_along_a_run():
         for i, t in enumerate(texts):
             graph.add(i, t, [])
         assert pii.marginals(graph, model, pii.PiiConfig().rounds)[-1] == pytest.approx(want, abs=1e-3)
+
+
+def test_denylist_is_the_reference_list(spark, folder):
+    hosts = ["agenjudi45.com", "viagra.example", "m.obatkuat.example", "pornox.example", "slot.example", "health.example", "heart.example", "text.example"]
+    write(spark, folder, "pages", [(i, f"https://{h}/a", "") for i, h in enumerate(hosts)], "page_id long, url string, html string")
+    assert {r["domain"]: r["n"] for r in catalog.queries()["domain_denylist"](spark, folder).collect()} == dict.fromkeys(hosts[:5], 1)
