@@ -37,7 +37,7 @@ def union_config(spark: SparkSession, sf_dir: str, name: str = "all") -> UnionCo
     """The driver tables as image-text sources; pages are the crawl that only has a training split."""
 
     def part(df: DataFrame, key: str, split: str) -> DataFrame:
-        return df.where(F.col(key) % 10 == 0 if split == "validation" else F.col(key) % 10 != 0)
+        return df.where(F.col(key) % 10 == 0 if split == "validation" else ~(F.col(key) % 10).eqNullSafe(0))
 
     def documents(split: str) -> DataFrame:
         df = part(load(spark, sf_dir, "documents"), "doc_id", split)
@@ -56,14 +56,21 @@ def union_config(spark: SparkSession, sf_dir: str, name: str = "all") -> UnionCo
 
 PAD = "CASE WHEN length(CAST(doc_id AS VARCHAR)) >= 12 THEN CAST(doc_id AS VARCHAR) ELSE lpad(CAST(doc_id AS VARCHAR), 12, '0') END"
 
+SPLIT = "CASE WHEN {} % 10 = 0 THEN 'validation' ELSE 'train' END"
+
+
+def both_splits(config: UnionConfig) -> DataFrame:
+    train, validation = (config.table(split).withColumn("split", F.lit(split)) for split in ("train", "validation"))
+    return train.unionByName(validation)
+
 
 @query(
     "pmd_union",
-    f"""SELECT NULL AS image_url, 'images/' || {PAD} || '.jpg' AS path, text, 'documents' AS source FROM documents WHERE doc_id % 10 <> 0
-    UNION ALL SELECT url, NULL, html, 'pages' FROM pages UNION ALL SELECT NULL, NULL, text, 'conversations' FROM conversations WHERE conv_id % 10 <> 0""",
+    f"""SELECT NULL AS image_url, 'images/' || {PAD} || '.jpg' AS path, text, 'documents' AS source, {SPLIT.format("doc_id")} AS split FROM documents
+    UNION ALL SELECT url, NULL, html, 'pages', 'train' FROM pages UNION ALL SELECT NULL, NULL, text, 'conversations', {SPLIT.format("conv_id")} FROM conversations""",
 )
 def pmd_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_config(spark, sf_dir).table("train").select("image_url", "image.path", "text", "source")
+    return both_splits(union_config(spark, sf_dir)).select("image_url", "image.path", "text", "source", "split")
 
 
 @query(
@@ -74,12 +81,12 @@ def pmd_union_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_config(spark, sf_dir).table("validation").groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query("pmd_meta_json", "SELECT doc_id, lang, source AS set_source FROM documents WHERE doc_id % 10 <> 0")
+@query("pmd_meta_json", f"SELECT doc_id, lang, source AS set_source, {SPLIT.format('doc_id')} AS split FROM documents")
 def pmd_meta_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON meta of a source, parsed again."""
-    rows = union_config(spark, sf_dir, "documents").table("train")
+    rows = both_splits(union_config(spark, sf_dir, "documents"))
     m = F.from_json("meta", "doc_id long, lang string, source string")
-    return rows.select(m.alias("m")).select("m.doc_id", "m.lang", F.col("m.source").alias("set_source"))
+    return rows.select(m.alias("m"), "split").select("m.doc_id", "m.lang", F.col("m.source").alias("set_source"), "split")
 
 
 @query("anti_invalid_ids", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")

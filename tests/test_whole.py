@@ -79,3 +79,11 @@ def test_denylist_is_the_reference_list(spark, folder):
     hosts = ["agenjudi45.com", "viagra.example", "m.obatkuat.example", "pornox.example", "slot.example", "health.example", "heart.example", "text.example"]
     write(spark, folder, "pages", [(i, f"https://{h}/a", "") for i, h in enumerate(hosts)], "page_id long, url string, html string")
     assert {r["domain"]: r["n"] for r in catalog.queries()["domain_denylist"](spark, folder).collect()} == dict.fromkeys(hosts[:5], 1)
+
+
+def test_union_has_both_splits(spark, folder):
+    write_union(spark, folder, [(10, "http://a.example/", "<p>")])
+    split = {i: "train" if i % 10 else "validation" for i in range(20)}
+    got = {(r["text"], r["split"]) for r in catalog.queries()["pmd_union"](spark, folder).collect()}
+    assert got == {(f"{kind} {i}", s) for kind in ("text", "turn") for i, s in split.items()} | {("<p>", "train")}
+    assert {r["doc_id"]: r["split"] for r in catalog.queries()["pmd_meta_json"](spark, folder).collect()} == split
