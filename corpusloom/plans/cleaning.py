@@ -123,9 +123,9 @@ def clean_full_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir).select("kind", "id", c.clean(F.col("text"), "intended").alias("text"))
 
 
-@query("clean_no_backref", f"{CLEAN_DOCS} SELECT k AS doc_id, t AS text FROM {LAST}")
+@query("clean_no_backref", f"WITH src AS (SELECT struct_pack(kind := kind, id := id) AS k, text AS t FROM ({BOTH})), {CHAIN} SELECT k.kind AS kind, k.id AS id, t AS text FROM {LAST}")
 def clean_no_backref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").select("doc_id", c.clean(F.col("text"), "native").alias("text"))
+    return _texts(spark, sf_dir).select("kind", "id", c.clean(F.col("text"), "native").alias("text"))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, mode: str = "native") -> DataFrame:

@@ -87,3 +87,10 @@ def test_union_has_both_splits(spark, folder):
     got = {(r["text"], r["split"]) for r in catalog.queries()["pmd_union"](spark, folder).collect()}
     assert got == {(f"{kind} {i}", s) for kind in ("text", "turn") for i, s in split.items()} | {("<p>", "train")}
     assert {r["doc_id"]: r["split"] for r in catalog.queries()["pmd_meta_json"](spark, folder).collect()} == split
+
+
+def test_native_chain_covers_pages(spark, folder):
+    write(spark, folder, "documents", [(1, "a  text")], "doc_id long, text string")
+    write(spark, folder, "pages", [(1, "http://a.example/", "a  page")], "page_id long, url string, html string")
+    got = {(r["kind"], r["id"], r["text"]) for r in catalog.queries()["clean_no_backref"](spark, folder).collect()}
+    assert got == {("document", 1, "a text"), ("page", 1, "a page")}
