@@ -1,7 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Training runs on a bounded, documented sample (`max_train_rows` texts of at most `max_train_bytes`, smallest id hashes
-first); scoring covers every whole text. Per-coordinate learning rates and the L1 term leave few non-zero weights, so
+first); scoring covers every whole text. Every feature takes part, whatever the number of texts: rare ones are left to
+the L1 term. Per-coordinate learning rates and the L1 term leave few non-zero weights, so
 what is broadcast is a fixed table of 2**bits floats whatever the corpus.
 
 Defined cases: a null or empty text has no features and scores sigmoid(bias); repeated rows and ids score each on
@@ -32,7 +33,6 @@ class ToxicityConfig:
     l1: float = 10.0
     l2: float = 0.01
     epochs: int = 8
-    min_texts: int = 4
     max_train_rows: int = 12000
     max_train_bytes: int = 32768
 
@@ -75,12 +75,7 @@ def train(texts: pa.Array, labels: np.ndarray, config: ToxicityConfig) -> Toxici
             pairs = np.bitwise_and(pairs, size - 1).astype(np.int32)
             yield from (pairs[cut[i] : cut[i + 1]] for i in range(b - a))
 
-    # twice over the texts, so that only what is frequent enough is held
-    df = np.zeros(size, np.int32)
-    for x in features():
-        df[x] += 1
-    least = config.min_texts if len(texts) >= 20 * config.min_texts else 1
-    rows = [np.append(x[df[x] >= least], np.int32(size)) for x in features()]
+    rows = [np.append(x, np.int32(size)) for x in features()]
 
     def weight(i: np.ndarray) -> np.ndarray:
         w = np.sign(z[i]) * l1[i] - z[i]

@@ -1,8 +1,9 @@
 """Queries keep whole inputs: fixtures with texts, pages and domains that a cut or a wrong list would lose."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from corpusloom.llm import pii
+from corpusloom.llm import pii, toxicity
 from corpusloom.operators import lm
 from corpusloom.plans import catalog
 from pyspark.sql import functions as F
@@ -94,3 +95,14 @@ def test_native_chain_covers_pages(spark, folder):
     write(spark, folder, "pages", [(1, "http://a.example/", "a  page")], "page_id long, url string, html string")
     got = {(r["kind"], r["id"], r["text"]) for r in catalog.queries()["clean_no_backref"](spark, folder).collect()}
     assert got == {("document", 1, "a text"), ("page", 1, "a page")}
+
+
+@pytest.mark.parametrize("others", [77, 78, 300])
+def test_rare_words_count_at_every_size(others):
+    """Two texts with a word of their own: it counts below and above 80 texts."""
+    texts = pa.array(["vile"] * 2 + ["calm"] * others, pa.large_string())
+    config = toxicity.ToxicityConfig(l1=0.1)
+    model = toxicity.train(texts, np.array([1.0] * 2 + [0.0] * others), config)
+    data = np.frombuffer(b"vile", np.uint8)
+    _, features = toxicity.gram_features(data, np.array([0, 4]), config.bits)
+    assert (model.weights[features] > 0).all()
