@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.tables import with_row_index
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +32,21 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_uid(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """documents (doc_id, text) with uid, one for each pair of id and text, in the order of ids; and (uid, doc_id).
+
+    Where no id comes twice, uid is doc_id and there is no second table. Rows without an id have no uid. Texts of one
+    id are in the order of their SHA-256.
+    """
+    known = documents.where("doc_id IS NOT NULL")
+    if not known.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return documents.withColumn("uid", F.col("doc_id")), None
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("__digest")
+    ids = with_row_index(known.select("doc_id", digest).distinct(), "doc_id", "__digest", name="uid")
+    full = documents.select("*", digest).join(ids, ["doc_id", "__digest"], "left").drop("__digest")
+    return full, ids.select("uid", "doc_id")
+
+
 def remainder(column: str, modulus: int):
     """crc32 of the id as text, modulo: the fold of a row."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -49,7 +49,7 @@ def subwords(data: np.ndarray, offsets: np.ndarray, config: QualityConfig) -> tu
     """
     starts, ends, at = tv.word_spans(data, offsets, tv.NONSPACE)
     shift = np.uint64(64 - config.bits)
-    words = tv.span_hash(tv.prefix_sums(data), starts, ends) >> shift
+    words = tv.word_hash(data, starts, ends) >> shift
     parts, cuts = [words], [at]
     # word bigrams without their words: one n-gram where a word follows itself, none elsewhere
     again = np.zeros(len(words), bool)

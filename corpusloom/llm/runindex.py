@@ -52,7 +52,7 @@ def text_anchors(data: np.ndarray, offsets: np.ndarray, config: RunIndexConfig)
     if len(data) < size:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
     # grams are ordered by a hash of their first eight bytes, then by place
-    least = words_at(data)[: len(data) - config.gram + 1] * np.uint64(0x9E3779B97F4A7C15)
+    least = tv.words_at(data)[: len(data) - config.gram + 1] * np.uint64(0x9E3779B97F4A7C15)
     least = (least >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(least), dtype=np.uint64)
     span = 1
     while 2 * span <= w:
@@ -105,17 +105,11 @@ def anchors(documents: DataFrame, config: RunIndexConfig, keys_only: bool = Fals
     return documents.mapInArrow(run, "key long, twice boolean" if keys_only else "key long, context long, doc_id long, place long")
 
 
-def words_at(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from every place on as one little-endian number; data has seven bytes of padding at its end."""
-    data = np.ascontiguousarray(data)
-    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-
-
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffixes of the bytes in order, by prefix doubling from seven bytes on."""
     n = len(text)
     # seven bytes and how many of them are there: the end sorts below any byte
-    value = words_at(np.concatenate([text, np.zeros(7, np.uint8)])).byteswap() & ~np.uint64(255)
+    value = tv.words_at(np.concatenate([text, np.zeros(7, np.uint8)])).byteswap() & ~np.uint64(255)
     value |= np.minimum(n - np.arange(n), 7).astype(np.uint64)
     order = np.argsort(value)
     rank = np.empty(n, np.int64)
@@ -136,7 +130,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Common prefix lengths of suffixes a and b, up to `most`, eight bytes at a time."""
     n = len(text)
-    words = words_at(np.concatenate([text, np.zeros(most + 16, np.uint8)]))
+    words = tv.words_at(np.concatenate([text, np.zeros(most + 16, np.uint8)]))
     room = np.minimum(most, n - np.maximum(a, b))
     out, live = np.zeros(len(a), np.int64), np.arange(len(a))
     while len(live):

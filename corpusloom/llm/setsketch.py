@@ -14,7 +14,10 @@ share, with as many bands as keep the chance to miss a pair at the threshold bel
    join two components leave a block, so hot buckets need no cap and their pairs are never rows.
 
 Defined cases: null or empty texts and texts without words have an empty set and are linked with nothing; fewer words
-than the shingle length make one shingle; repeated rows are copies; an empty table gives no rows.
+than the shingle length make one shingle, and texts of any length are taken whole; repeated rows are copies; an id that
+comes with several texts is one node, linked where any of them is, and each of its rows has the size of its own set;
+rows without an id take part in nothing and get null component_id and kept; ties can't arise, as ids decide; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from .graph import components
 
 BASE = 1.01  # b of the sketch
 RATE = 20.0  # a of the sketch
-BLOCK = 512  # members of an unsettled bucket in one block
+BLOCK = 2048  # members of an unsettled bucket in one block
 BLOCK_SHINGLES = 1 << 21  # shingles of a block, about
 
 
@@ -68,7 +71,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
     """Sorted distinct 64-bit hashes of each text's k-word shingles."""
     data = tv.LOWER[data]
     starts, ends, at = tv.word_spans(data, offsets, tv.NONSPACE)
-    words = tv.span_hash(tv.prefix_sums(data), starts, ends)
+    words = tv.word_hash(data, starts, ends)
     grams = tv.gram_hash(words, k)
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -258,38 +261,54 @@ def unsettled_links(buckets: DataFrame, sizes: DataFrame, reps: DataFrame, texts
 def near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links), kept (doc_id = component_id)."""
     config = config or NearDupConfig()
+    documents, ids = common.with_uid(documents.select(F.col("doc_id").cast("long"), "text"))
+    documents = documents.select(F.col("uid").alias("doc_id"), "text")  # from here on, ids are uids
     sketch = common.materialize(sketches(documents, config), "sketches")
     own = F.col("doc_id")
-    classes = sketch.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     members = sketch.select("doc_id", "d1", "d2", "n_shingles").join(classes, ["d1", "d2", "n_shingles"], "left")
-    members = common.materialize(members.select("doc_id", "n_shingles", F.coalesce("rep", own).alias("rep")), "members")
+    members = common.materialize(members.select("doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("rep", own)).alias("rep")), "members")
     reps = sketch.join(members.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = common.materialize(reps.where("n_shingles > 0"), "representatives")
     buckets = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
     sizes = common.materialize(sizes, "buckets")
     stars = buckets.join(sizes, "band").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    texts = documents.select(own.cast("long").alias("doc_id"), "text").join(reps.select("doc_id"), "doc_id", "left_semi")
-    links = common.materialize(verified(estimated(stars, reps, config), texts, config), "star-links")
+    texts = documents.join(reps.select("doc_id"), "doc_id", "left_semi")
+    texts = texts if ids is None else texts.dropDuplicates(["doc_id"])  # rows of one uid have one text
+    links = verified(estimated(stars, reps, config), texts, config)
+    links = common.materialize(links if ids is None else links.union(same_id(members, ids)), "star-links")
     labels = components(links)
     more = common.materialize(unsettled_links(buckets.select("doc_id", "band"), sizes, reps, texts, labels, config), "more-links")
     if more.limit(1).count():
         labels = components(links.union(more))
-    return (
-        members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("component_id", F.coalesce("component", "rep"))
-        .select("doc_id", "n_shingles", "component_id", (own == F.col("component_id")).alias("kept"))
-    )
+    found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    if ids is not None:
+        found = found.join(ids.toDF("doc_id", "id"), "doc_id", "left").join(ids.toDF("component_id", "least"), "component_id", "left")
+        found = found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", (own == F.col("component_id")).alias("kept"))
+
+
+def same_id(members: DataFrame, ids: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that one id's texts are in."""
+    full = members.where("n_shingles > 0").join(ids.toDF("doc_id", "id"), "doc_id").select("id", "rep").distinct()
+    return full.join(full.groupBy("id").agg(F.min("rep").alias("a")), "id").where("a <> rep").select("a", F.col("rep").alias("b"))
 
 
 def drop_near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -> DataFrame:
-    """documents with one row of each group (the smallest id); rows without an id stay, an id's repeats don't."""
+    """documents with one row of each group (the smallest id); rows without an id stay.
+
+    Of an id's repeats the one whose text has the smallest SHA-256 stays; of rows with equal id and text, any one.
+    """
     groups = near_duplicates(documents, config)
     gone = groups.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     kept = documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     ids = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count()
     if ids.where("count > 1").limit(1).count():
-        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+        marked = kept.where("doc_id IS NOT NULL").withColumn("__digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+        first = marked.groupBy("doc_id").agg(F.min("__digest").alias("__first"))
+        one = marked.dropDuplicates(["doc_id", "__digest"]).join(first.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
+        kept = one.where("__digest = __first").select(*documents.columns).unionByName(kept.where("doc_id IS NULL"))
     return kept
 
 

@@ -1,11 +1,14 @@
 """Vectorised text primitives on Arrow buffers: words, word hashes and shingles without one Python object per word.
 
-A batch is handled as the UTF-8 buffer of an Arrow string column plus its offsets. Hashes of byte spans come from a
-polynomial prefix sum modulo 2**64: with an odd base P, H(s, e) = (S[e] - S[s]) * P**-s depends on the bytes alone.
+A batch is handled as the UTF-8 buffer of an Arrow string column plus its offsets. Words are hashed eight bytes at a time
+through a mixer. Sliding spans are hashed from polynomial prefix sums: modulo 2**64, with an odd base P,
+H(s, e) = (S[e] - S[s]) * P**-s; structured bytes can collide there at any base, so what must tell spans apart takes
+the hash modulo the prime 2**61 - 1 as well.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,6 +89,31 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, chars: np.ndarray) -> tupl
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one little-endian number; data has seven bytes of padding at its end."""
+    data = np.ascontiguousarray(data)
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 8) -> np.ndarray:
+    """Hashes of spans, eight bytes after another; those of more than 8 * lanes bytes are digests of the whole span."""
+    size = ends - starts
+    with np.errstate(over="ignore"):
+        h = (size.astype(np.uint64) + np.uint64(1)) * _P
+    view = words_at(np.concatenate([data, np.zeros(8, np.uint8)]))
+    live = np.flatnonzero(size <= 8 * lanes)
+    for done in range(0, 8 * lanes, 8):
+        live = live[size[live] > done]
+        if not len(live):
+            break
+        unused = np.maximum(0, 8 - (size[live] - done)).astype(np.uint64) * np.uint64(8)
+        lane = (view[starts[live] + done] << unused) >> unused
+        h[live] = mix(h[live] ^ lane)
+    for i in np.flatnonzero(size > 8 * lanes).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """S for span_hash()."""
     sums = np.zeros(len(data) + 1, np.uint64)

@@ -49,7 +49,7 @@ def gram_features(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.
     """(text index, feature) for every word, bigram and skip-gram (one word left out) of lower-cased letter runs."""
     data = tv.LOWER[data]
     starts, ends, at = tv.word_spans(data, offsets, tv.LETTERS)
-    words = tv.span_hash(tv.prefix_sums(data), starts, ends)
+    words = tv.word_hash(data, starts, ends)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     shift = np.uint64(64 - bits)
     docs, feats = [owner], [tv.gram_hash(words, 1) >> shift]

@@ -114,6 +114,47 @@ def test_near_duplicates_edges(edge, empty):
     assert ids.count(4) == 1 and 5 not in ids and 8 not in ids and ids.count(None) == 1
 
 
+def thue_morse(n):
+    s, t = "a", "b"
+    for _ in range(n):
+        s, t = s + t, t + s
+    return s, t
+
+
+def test_structured_words_are_told_apart(spark):
+    """Two words of 1,024 characters that every polynomial hash modulo 2**64 confuses."""
+    s, t = thue_morse(10)
+    texts = {0: f"{s} one two", 1: f"{t} one two", 2: f"{s} one two"}
+    got = setsketch.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA), setsketch.NearDupConfig(3, (85, 100))).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 0}
+
+
+@pytest.mark.parametrize("size", [1, 7, 8, 9, 63, 64, 65, 500])
+def test_word_hash_depends_on_the_word_alone(size):
+    from corpusloom.llm import textvec as tv
+
+    rng = np.random.default_rng(size)
+    word = rng.integers(97, 123, size).astype(np.uint8)
+    other = word.copy()
+    other[-1] ^= 1
+    data = np.concatenate([word, rng.integers(0, 255, 3).astype(np.uint8), word, other])
+    at = np.array([0, size + 3, 2 * size + 3])
+    h = tv.word_hash(data, at, at + size)
+    assert h[0] == h[1] != h[2]
+
+
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    a, b = prose(1, 60), prose(2, 60)
+    data = rows({1: a, 5: b, 9: b}) + rows({5: a, 7: None}) + rows({7: b})
+    docs = spark.createDataFrame(data, SCHEMA)
+    got = setsketch.near_duplicates(docs, setsketch.NearDupConfig(3, (85, 100))).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [
+        (1, 58, 1, True), (5, 58, 1, False), (5, 58, 1, False), (7, 0, 7, True), (7, 58, 1, False), (9, 58, 1, False)
+    ]
+    first, again = ([(r.doc_id, r.text) for r in setsketch.drop_near_duplicates(docs).collect()] for _ in range(2))
+    assert first == again == [(1, a)]
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {(r.id, r.component) for r in components(links).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
