@@ -4,10 +4,13 @@ Vectors are normalised and quantised to int8; tiles of query and candidate block
 values are exact in float32 below 2**24). The norms of the quantisation errors bound how far a tile's value is from the
 cosine, so a candidate whose upper bound is below the k-th best lower bound can't be among the nearest. The survivors'
 cosines are recomputed in double precision on the original vectors, kept in heaps of k per query and tile, and merged.
+Originals travel with the tiles: with quantised values alone, a dense cluster's survivors would be pairs without bound.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, as queries or
-candidates; ties go to the smaller vec_id; a query is not its own candidate, nor is a row with its id; vectors of
-different lengths are not compared; fewer than k candidates give fewer rows; empty tables give no rows.
+candidates; vectors of any magnitude are scaled by a power of two first, which is exact; ties go to the smaller vec_id;
+rows of one id are one item, whose nearness is the largest over its vectors, so an id is found once and not by itself;
+vectors of different lengths are not compared; fewer than k candidates give fewer rows; empty tables give no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +34,15 @@ def usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component into [0.5, 1): squares stay in range."""
+    exponent = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -exponent[:, None])
+
+
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit rows as scale * int8 values: the values (as float32 for the product), scales, and norms of what is lost."""
-    largest = np.abs(x).max(axis=1, keepdims=True)
-    unit = x / largest  # the largest component first: squares of tiny or huge components stay in range
-    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     scale = np.abs(unit).max(axis=1) / 127
     q = np.rint(unit / scale[:, None])
     return q.astype(np.float32), scale, np.linalg.norm(unit - q * scale[:, None], axis=1)
@@ -51,10 +58,34 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(aa) * np.sqrt(bb))
 
 
+class Nearest:
+    """A heap of the k nearest ids, each once."""
+
+    def __init__(self, k: int):
+        self.k, self.heap, self.known = k, [], {}
+
+    def offer(self, score: float, vec_id: int) -> None:
+        if vec_id in self.known:
+            if score > self.known[vec_id]:
+                self.heap = [(s, i) for s, i in self.heap if i != -vec_id] + [(score, -vec_id)]
+                heapq.heapify(self.heap)
+                self.known[vec_id] = score
+        elif len(self.heap) < self.k or (score, -vec_id) > self.heap[0]:
+            heapq.heappush(self.heap, (score, -vec_id))
+            self.known[vec_id] = score
+            if len(self.heap) > self.k:
+                del self.known[-heapq.heappop(self.heap)[1]]
+
+    @property
+    def full(self) -> bool:
+        return len(self.heap) == self.k
+
+
 def tile_nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, float, int]]:
-    """(query id, score, candidate id): the k nearest of a tile for each query."""
+    """(query id, score, candidate id): the k nearest ids of a tile for each query row."""
+    queries, vectors = scaled(queries), scaled(vectors)
     qq, qs, qe = quantised(queries)
-    heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]
+    heaps = [Nearest(k) for _ in query_ids]
     floor = np.full(len(query_ids), -np.inf)
     for a in range(0, len(ids), SUBTILE):
         cand, cid = vectors[a : a + SUBTILE], ids[a : a + SUBTILE]
@@ -67,30 +98,35 @@ def tile_nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
         bound = qe[:, None] * 1.0 + (1 + qe)[:, None] * ce + 1e-9
         value[query_ids[:, None] == cid] = -np.inf
         lower = value - bound
-        if lower.shape[1] >= k:
+        if len(np.unique(cid)) == len(cid) >= k:  # one id's rows may not fill the places of k ids
             floor = np.maximum(floor, np.partition(lower, -k, axis=1)[:, -k])
         rows, cols = np.nonzero((value + bound >= floor[:, None]) & np.isfinite(value))
         for r, s, c in zip(rows.tolist(), cosine(queries[rows], cand[cols]).tolist(), cid[cols].tolist(), strict=True):
-            if len(heaps[r]) < k:
-                heapq.heappush(heaps[r], (s, -c))
-            else:
-                heapq.heappushpop(heaps[r], (s, -c))
-        full = [(i, h[0][0]) for i, h in enumerate(heaps) if len(h) == k]
+            heaps[r].offer(s, c)
+        full = [(i, h.heap[0][0]) for i, h in enumerate(heaps) if h.full]
         if full:
             at, least = zip(*full, strict=True)
             floor[list(at)] = np.maximum(floor[list(at)], np.array(least) - 1e-9)
-    return [(int(q), s, -c) for q, h in zip(query_ids, heaps, strict=True) for s, c in h]
+    return [(int(q), s, -c) for q, h in zip(query_ids, heaps, strict=True) for s, c in h.heap]
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: int = 1024, candidate_block: int = 4096) -> DataFrame:
-    """(query_id, rank from 1, vec_id, score). Both tables: vec_id, embedding."""
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: int = 8192, candidate_block: int = 4096, components: int = 1 << 22) -> DataFrame:
+    """(query_id, rank from 1, vec_id, score). Both tables: vec_id, embedding.
+
+    A block has at most so many rows, and about so many components: candidates are shipped once for each block of
+    queries, so these are as large as a worker's memory allows. Components travel as they are stored.
+    """
 
     def clean(df: DataFrame) -> DataFrame:
-        rows = df.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where(F.col("vec_id").isNotNull() & usable("embedding"))
+        rows = df.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & usable("embedding"))
         return rows.withColumn("dim", F.size("embedding"))
 
+    def block_count(df: DataFrame, most: int) -> int:
+        n, total = df.agg(F.count("*"), F.coalesce(F.sum(F.col("dim").cast("long")), F.lit(0))).first()
+        return max(1, -(-n // most), -(-total // components))
+
     queries, candidates = clean(queries), clean(candidates)
-    rows, columns = max(1, -(-queries.count() // query_block)), max(1, -(-candidates.count() // candidate_block))
+    rows, columns = block_count(queries, query_block), block_count(candidates, candidate_block)
 
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
@@ -99,7 +135,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block:
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, float, int]] = []
         if len(left) and len(right):
-            found = tile_nearest(left["vec_id"].to_numpy(), np.stack(left["embedding"]), right["vec_id"].to_numpy(), np.stack(right["embedding"]), k)
+            found = tile_nearest(left["vec_id"].to_numpy(), np.stack(left["embedding"]).astype(float), right["vec_id"].to_numpy(), np.stack(right["embedding"]).astype(float), k)
         out = pd.DataFrame(found, columns=["query_id", "score", "vec_id"])
         return out.astype({"query_id": "int64", "score": "float64", "vec_id": "int64"})
 
@@ -110,6 +146,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block:
         .cogroup(dealt(candidates, "c", columns, "q", rows).groupBy(*keys))
         .applyInPandas(tile, "query_id long, score double, vec_id long")
     )
+    near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("worse"), "vec_id", "score"))), 1, k)
     merged = near.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("at", "x"))
     return merged.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
@@ -120,12 +157,14 @@ def op6_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors.where("vec_id % 50 = 0"), vectors)
 
 
+# components are scaled by a power of two first, as squares of very large or small ones are out of range
 OP6_SQL = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+u AS (SELECT vec_id, list_transform(e, lambda x: x * pow(2.0, -floor(log2(list_max(list_transform(e, lambda y: abs(y))))))) AS e FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e)))) AS score
+      FROM u q JOIN u c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e) GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -384,25 +384,56 @@ def test_mixing(spark, edge, empty):
     assert mixing.mix(edge).count() == edge.count() and mixing.mix(empty).count() == 0
 
 
-def test_neighbours_match_brute_force(spark):
+def brute_neighbours(vectors, queries, k=5):
+    """Rows of an id are one item; nearness by exact fractions of scaled components where floats suffice."""
+    usable = [(i, np.array(v, float)) for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    usable = [(i, np.ldexp(v, -np.frexp(np.abs(v).max())[1])) for i, v in usable]
+    out = {}
+    for q in {i for i, _ in usable if i in queries}:
+        best = {}
+        for _, x in (r for r in usable if r[0] == q):
+            same = [(i, v) for i, v in usable if i != q and len(v) == len(x)]
+            if same:
+                scores = neighbours.cosine(np.repeat(x[None], len(same), axis=0), np.stack([v for _, v in same]))
+                for (i, _), s in zip(same, scores.tolist(), strict=True):
+                    best[i] = max(s, best.get(i, -2.0))
+        out[q] = [(i, s) for i, s in sorted(best.items(), key=lambda r: (-r[1], r[0]))[:k]]
+    return {q: r for q, r in out.items() if r}
+
+
+@pytest.mark.parametrize("blocks", [(7, 64), (8192, 4096)])
+def test_neighbours_match_brute_force(spark, blocks):
     rng = np.random.default_rng(1)
-    base = rng.normal(size=(400, 24)).astype(np.float32)
+    base = rng.normal(size=(400, 24)).astype(np.float32).astype(float)
     base[50:60] = base[3]
-    vectors = [(i, base[i].tolist()) for i in range(400)] + [(500, None), (501, [0.0] * 24), (502, [None] * 24), (503, [float("nan")] * 24), (504, [float("inf")] * 24), (505, []), (0, base[0].tolist())]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    got = neighbours.nearest(df.where("vec_id % 20 = 0 OR vec_id >= 500").dropDuplicates(["vec_id"]), df, 5, query_block=7, candidate_block=64).collect()
-    x = base.astype(np.float64)
-    for q in range(0, 400, 20):
-        s = neighbours.cosine(np.repeat(x[q : q + 1], 400, axis=0), x)
-        want = sorted(((-s[j], j) for j in range(400) if j != q))
-        want = ([*want[:5]] if q == 0 or 0 not in [w[1] for w in want[:5]] else None)
-        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
-        if want:
-            assert [(m[1], m[2]) for m in mine] == [(j, -w) for w, j in want]
-    assert {r.query_id for r in got} == set(range(0, 400, 20))
+    vectors = [(i, base[i].tolist()) for i in range(400)]
+    vectors += [(500, None), (501, [0.0] * 24), (502, [None] * 24), (503, [float("nan")] * 24), (504, [float("inf")] * 24), (505, []), (None, [1.0] * 24)]
+    vectors += [(0, base[0].tolist()), (3, base[3].tolist()), *[(7, base[3].tolist())] * 9]  # repeated rows, and another vector for an id
+    vectors += [(20, (base[20] * 1e-200).tolist()), (600, (base[40] * 1e200).tolist()), (620, [5e-324] * 24), (40, [1.0, 2.0]), (641, [2.0, 4.1])]
+    df = spark.createDataFrame([(i, v, "x", 1.0) for i, v in vectors], "vec_id long, embedding array<double>, dim string, score double")
+    got = neighbours.nearest(df.where("vec_id % 20 = 0"), df, 5, *blocks).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == brute_neighbours(vectors, {i for i, _ in vectors if i is not None and i % 20 == 0})
+    assert all(len({i for i, _ in r}) == 5 for r in found.values()) and sorted(r.rank for r in got if r.query_id == 0) == [1, 2, 3, 4, 5]
+
+
+def test_neighbours_edges(spark):
     few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.1])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(few.where("vec_id = 1"), few).collect()] == [(1, 1, 2)]
-    assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+    assert neighbours.nearest(few.limit(0), few.limit(0)).count() == 0
+
+
+def test_neighbours_query_equals_its_sql(spark, folder):
+    import duckdb
+
+    rng = np.random.default_rng(2)
+    vectors = [(int(i), rng.normal(size=6).tolist()) for i in [*range(200), *range(40, 60)]] + [(250, [1e-200] * 5 + [2e-200]), (251, [1e200] * 6), (None, [1.0] * 6)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<double>").coalesce(1).write.parquet(f"{folder}/embeddings.parquet")
+    want = duckdb.sql(neighbours.OP6_SQL.replace("FROM embeddings", f"FROM '{folder}/embeddings.parquet/*.parquet'")).fetchall()
+    got = [tuple(r) for r in neighbours.op6_block_neighbours(spark, folder).collect()]
+    assert [x[:3] for x in sorted(got)] == [x[:3] for x in sorted(want)] and np.allclose([x[3] for x in sorted(got)], [x[3] for x in sorted(want)])
 
 
 def test_added_spans_touch_no_base_span():
