@@ -125,6 +125,53 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * _power(len(sums))[1][starts])
 
 
+PRIME = np.uint64((1 << 61) - 1)
+_prime_powers: list[np.ndarray] = []
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def prime_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1 of numbers below it, in halves of 31 and 30 bits."""
+    low, shift = np.uint64((1 << 31) - 1), np.uint64(31)
+    ah, al, bh, bl = a >> shift, a & low, b >> shift, b & low
+    middle = ah * bl + al * bh
+    total = np.uint64(2) * ah * bh + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << shift)
+    return _fold(_fold(total) + _fold(al * bl))
+
+
+def _prime_power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo the prime, by doubling."""
+    if not _prime_powers or len(_prime_powers[0]) < n:
+        n = max(n, CHUNK_BYTES + 1)
+        base = int(rule_values(1, 61)[0]) % int(PRIME)
+        _prime_powers[:] = []
+        for x in (base, pow(base, -1, int(PRIME))):
+            out = np.ones(1, np.uint64)
+            while len(out) < n:
+                out = np.concatenate([out, prime_product(out, np.full(len(out), pow(x, len(out), int(PRIME)), np.uint64))])
+            _prime_powers.append(out[:n])
+    return _prime_powers[0], _prime_powers[1]
+
+
+def prime_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums for prime_span_hash(), the powers in two halves; of at most 2**23 bytes."""
+    power = _prime_power(len(data) + 1)[0][: len(data)]
+    value = data.astype(np.uint64) + np.uint64(1)
+    halves = power >> np.uint64(31), power & np.uint64((1 << 31) - 1)
+    return tuple(np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * h)]) for h in halves)
+
+
+def prime_span_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2**61 - 1 of spans: different spans of n bytes agree for at most n of all bases."""
+    high, low = (_fold(s[ends] - s[starts]) for s in sums)
+    high = ((high << np.uint64(31)) & PRIME) | (high >> np.uint64(30))  # times 2**31
+    return prime_product(_fold(high + low), _prime_power(len(sums[0]))[1][starts])
+
+
 def gram_hash(words: np.ndarray, n: int, gap: int = 0, seed: int = 0) -> np.ndarray:
     """Hashes of (w[i], w[i+1+gap], ...) of n words for every i they exist for, over a whole chunk."""
     step = 1 + gap

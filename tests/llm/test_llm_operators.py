@@ -175,7 +175,7 @@ def brute_repeats(texts, size):
     return out
 
 
-@pytest.mark.parametrize("block", [4096, 8])
+@pytest.mark.parametrize("block", [4096, 8, 2])
 def test_repeats_match_brute_force(spark, block):
     passage, other = prose(7, 40), prose(8, 30)
     texts = {i: prose(50 + i, 30) + " " + passage + " é " + prose(80 + i, 20) for i in range(14)}
@@ -184,6 +184,36 @@ def test_repeats_match_brute_force(spark, block):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_repeats(texts, 100)
 
 
+def test_repeats_of_a_hot_passage_with_varied_surroundings(spark):
+    """Very many texts go on differently, at different distances, from one passage: all are split down to small blocks."""
+    rng, passage = random.Random(2), prose(7, 9)
+    tails = [prose(900 + j, 12) for j in range(5)]
+    texts = {i: prose(50 + i, 8) + " " + passage + " " + rng.choice(tails)[: rng.randint(0, 90)] + prose(600 + i, 12) for i in range(120)}
+    got = runindex.remove_repeats(spark.createDataFrame(rows(texts), SCHEMA), runindex.RunIndexConfig(block=4)).collect()
+    want = brute_repeats(texts, 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want and sum(x[1] > 0 for x in want.values()) > 20
+
+
+def test_repeats_of_an_id_with_two_texts(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    docs = spark.createDataFrame(rows({1: a, 5: b}) + rows({5: a, 6: c}) + rows({5: b, 6: c}), SCHEMA)
+    got = sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in runindex.remove_repeats(docs).collect())
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in ("", b, a, c)}
+    assert got == sorted([(1, 0, digest[a]), (5, 0, digest[b]), (5, 0, digest[b]), (5, len(a), digest[""]), (6, 0, digest[c]), (6, 0, digest[c])])
+
+
+def test_prime_span_hash_tells_structured_spans_apart():
+    from corpusloom.llm import textvec as tv
+
+    s, t = thue_morse(12)
+    data = np.frombuffer((s + t + s).encode(), np.uint8)
+    at = np.arange(3) * len(s)
+    h = tv.prime_span_hash(tv.prime_sums(data), at, at + len(s))
+    assert h[0] == h[2] != h[1]
+    x, y = np.array([5, 2**61 - 2, 123456789012345678], np.uint64), np.array([2**60, 2**61 - 2, 987654321098765432], np.uint64)
+    assert tv.prime_product(x, y).tolist() == [int(a) * int(b) % (2**61 - 1) for a, b in zip(x, y, strict=True)]
+
+
 def test_repeats_in_long_text(spark, monkeypatch):
     monkeypatch.setattr(runindex, "_SEGMENT", 1000)
     texts = {0: prose(1, 2000), 1: prose(2, 300) + prose(1, 2000)[500:900]}
