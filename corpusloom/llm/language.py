@@ -5,7 +5,8 @@ rotation by one place; a document bundles (adds) the vectors of all its trigrams
 unit vectors of its training documents. A document gets the language whose prototype has the largest cosine.
 
 Words are padded by blanks, so a text of one letter has a trigram. Training uses a bounded, documented sample
-(`max_train_rows` texts of at most `max_train_bytes`, smallest id hashes first); prediction reads whole texts.
+(`max_train_rows` texts of at most `max_train_bytes`, smallest id hashes first; longer texts are left out of training
+only, whose task would have to hold them); prediction reads whole texts of any length.
 
 Defined cases: null texts and texts without a letter give `und` and score 0; ties go to the smaller language name;
 without training rows every text is `und`; repeated rows are predicted each; other columns are ignored.
@@ -26,6 +27,7 @@ from . import common
 from . import textvec as tv
 
 CLASSES = 64  # blank, a-z, and 37 classes that the other letters share by a rule
+COUNTS = 1 << 20  # entries of a table of texts by kinds of trigrams; more texts are split, one text has at most CLASSES**3
 
 
 @dataclass
@@ -67,6 +69,24 @@ def trigram_vectors(codes: np.ndarray, dim: int) -> np.ndarray:
     return first[codes // CLASSES**2] * middle[codes // CLASSES % CLASSES] * base[codes % CLASSES]
 
 
+def bundle(out: np.ndarray, code: np.ndarray, owner: np.ndarray) -> None:
+    """Add the vectors of trigrams to the rows of their texts, owner ascending from 0; halves the texts to bound memory."""
+    texts, dim = out.shape
+    seen = np.zeros(CLASSES**3, bool)
+    seen[code] = True
+    kinds = np.flatnonzero(seen)
+    if texts > 1 and texts * len(kinds) > COUNTS:
+        half = texts // 2
+        cut = np.searchsorted(owner, half)
+        bundle(out[:half], code[:cut], owner[:cut])
+        bundle(out[half:], code[cut:], owner[cut:] - half)
+        return
+    column = np.cumsum(seen) - 1
+    counts = np.bincount(owner * len(kinds) + column[code], minlength=texts * len(kinds)).reshape(texts, len(kinds))
+    for a in range(0, len(kinds), 2048):
+        out += counts[:, a : a + 2048].astype(np.float32) @ trigram_vectors(kinds[a : a + 2048], dim).astype(np.float32)
+
+
 def document_vectors(data: np.ndarray, offsets: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Bundled vectors (a row per text) and the number of letters of each text."""
     texts = len(offsets) - 1
@@ -77,15 +97,8 @@ def document_vectors(data: np.ndarray, offsets: np.ndarray, dim: int) -> tuple[n
     middle = np.flatnonzero(classes)
     code = (classes[middle - 1].astype(np.int64) * CLASSES + classes[middle]) * CLASSES + classes[middle + 1]
     at = np.searchsorted(middle, begin)
-    owner = np.repeat(np.arange(texts), np.diff(at))
-    seen = np.zeros(CLASSES**3, bool)
-    seen[code] = True
-    kinds = np.flatnonzero(seen)
-    column = np.cumsum(seen) - 1
-    counts = np.bincount(owner * len(kinds) + column[code], minlength=texts * len(kinds)).reshape(texts, len(kinds))
     out = np.zeros((texts, dim), np.float32)
-    for a in range(0, len(kinds), 2048):
-        out += counts[:, a : a + 2048].astype(np.float32) @ trigram_vectors(kinds[a : a + 2048], dim).astype(np.float32)
+    bundle(out, code, np.repeat(np.arange(texts), np.diff(at)))
     return out, np.diff(at)
 
 

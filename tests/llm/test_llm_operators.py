@@ -277,6 +277,49 @@ def test_language_profiles(spark, edge, empty):
     assert {r.lang_pred for r in language.predict(edge, language.fit(empty)).collect()} == {"und"}
 
 
+def test_language_vectors_match_brute_force():
+    """Bundles and prototypes against a loop over the characters of each text."""
+    texts, langs, dim = ["ab c", "", "aéb xx", "  ", "zz", "ab"], ["x", "x", "y", "y", "y", "x"], 256
+    base = language.letter_vectors(dim).astype(int)
+
+    def vector(t):
+        low = " " + "".join(c if c.isalpha() else " " for c in t) + " "
+        kind = language.letter_classes()[[ord(c) for c in low]]
+        out = np.zeros(dim)
+        for i in range(1, len(low) - 1):
+            if kind[i]:
+                out += np.roll(base[kind[i - 1]], 2) * np.roll(base[kind[i]], 1) * base[kind[i + 1]]
+        return out
+
+    raw = [t.encode() for t in texts]
+    got, letters = language.document_vectors(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), dim)
+    want = np.array([vector(t) for t in texts])
+    assert np.array_equal(got, want) and letters.tolist() == [3, 0, 5, 0, 2, 2]
+    import pyarrow as pa
+
+    model = language.train(pa.array(texts), langs, language.LanguageConfig(dim=dim))
+    for i, lang in enumerate("xy"):
+        total = sum((v / np.linalg.norm(v) for v, g in zip(want, langs, strict=True) if g == lang and v.any()), np.zeros(dim))
+        assert np.allclose(model.prototypes[i], total / np.linalg.norm(total), atol=1e-6)
+
+
+def test_language_memory_is_bounded():
+    """10,000 short texts in three scripts, some 100,000 kinds of trigrams between them."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    scripts = [range(97, 123), range(0x430, 0x450), range(0x4E00, 0x6E00)]
+    raw = ["".join(chr(rng.choice(scripts[i % 3])) for _ in range(16)).encode() for i in range(10000)]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    language.letter_classes()
+    tracemalloc.start()
+    got, _ = language.document_vectors(data, offsets, 1024)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    for i in (0, 1, 2, 9999):
+        assert np.array_equal(got[i], language.document_vectors(np.frombuffer(raw[i], np.uint8), np.array([0, len(raw[i])]), 1024)[0][0])
+
+
 def test_base_patterns():
     text = "a.b@c.d.e, x@y 1.2.3.4 999.1.1.1 4465 7583-8288 9437 +1 (555) 123-4567 +12 x"
     found = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.base_spans(text)]
