@@ -10,17 +10,19 @@ the table of (source, size, number of documents), which is small beside the corp
 
 Rounding: the copies of all documents of one size are rounded cumulatively from the largest size to the smallest, so the
 words taken stay near the target at every step; what is left is added to or taken from the smallest documents, again
-cumulatively. The copies of a size are dealt to its documents in the order of a hash of doc_id, counted in two levels
+cumulatively. Sums of the dual are exact decimals, so no order of a shuffle can move a copy. The copies of a size are dealt to its documents in the order of a hash of doc_id, counted in two levels
 (hash ranges, then places inside a range), so no size or source is gathered in one task.
 
 Defined cases: null or empty texts have size 0 and take 0; null sources are one source, after all others; a source
-without words has target 0; rows that repeat an id count each; an empty table gives no rows; other columns are ignored.
+without words has target 0; rows that repeat an id count each, as do rows without one; very long texts count whole, and
+tied sizes share their copies in the order of the hashes; an empty table gives no rows; other columns are ignored.
 Reruns agree: only hashes of ids decide.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,9 +39,12 @@ class MixConfig:
     ranges: int = 1024
 
 
+def word_count(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
 def sizes(documents: DataFrame) -> DataFrame:
-    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return documents.select(F.col("doc_id").cast("long"), "source", words.alias("size"))
+    return documents.select(F.col("doc_id").cast("long"), "source", word_count("text").alias("size"))
 
 
 def targets(sources: DataFrame, config: MixConfig) -> DataFrame:
@@ -74,13 +79,17 @@ def solve(table: DataFrame, config: MixConfig) -> DataFrame:
     high = F.log(F.lit(float(config.most))) / F.coalesce("zmin", F.lit(1.0))
     duals = duals.select("sid", "target", "total", F.lit(0.0).alias("dual"), (-F.lit(60.0) * F.greatest(F.lit(1.0), high)).alias("low"), high.alias("high"))
     duals = common.materialize(duals, "duals")
+
+    def total(c: Column) -> Column:
+        return F.sum(c.cast("decimal(38,12)")).cast("double")
+
     for _ in range(config.newton_steps):
         w = tilted(F.col("dual"), config)
         sums = (
             table.select("sid", "size", "n", "z")
             .join(duals.select("sid", "dual"), "sid")
             .groupBy("sid")
-            .agg(F.sum(F.col("n") * F.col("size") * w).alias("value"), F.sum(F.when(w < config.most, F.col("n") * F.col("size") * F.col("z") * w).otherwise(0.0)).alias("slope"))
+            .agg(total(F.col("n") * F.col("size") * w).alias("value"), total(F.when(w < config.most, F.col("n") * F.col("size") * F.col("z") * w).otherwise(0.0)).alias("slope"))
         )
         step = duals.join(sums, "sid")
         miss = F.col("value") - F.col("target")
@@ -146,5 +155,27 @@ def mix(documents: DataFrame, config: MixConfig | None = None) -> DataFrame:
     return full.select("doc_id", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def attach(documents: DataFrame, config: MixConfig | None = None, clash: str = "mix_") -> DataFrame:
+    """documents with size, source_size, target, rate, copies and taken; a name that is there already gets `clash`.
+
+    Each row gets counts of its own: rows that share id, source and size, as those without an id, are numbered by text.
+    """
+    mixed = mix(documents.select("doc_id", "source", "text"), config)
+    added = {c: f"{clash}{c}" if c in documents.columns else c for c in mixed.columns if c not in ("doc_id", "source")}
+    keys = {"__id": F.col("doc_id").cast("long"), "__source": F.col("source"), "__size": F.col("size")}
+    left = documents.withColumns(keys | {"__size": word_count("text")})
+    right = mixed.withColumns(keys)
+    if mixed.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
+        same = Window.partitionBy("__id", "__source", "__size")
+        left = left.withColumn("__at", F.row_number().over(same.orderBy(F.sha2("text", 256))))
+        right = right.withColumn("__at", F.row_number().over(same.orderBy(F.desc("copies"))))
+    else:
+        left, right = left.withColumn("__at", F.lit(1)), right.withColumn("__at", F.lit(1))
+    names = ["__id", "__source", "__size", "__at"]
+    right = right.select(*(F.col(k).alias(f"{k}r") for k in names), *(F.col(c).alias(f"__new_{c}") for c in added))
+    on = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"{k}r")) for k in names))
+    return left.join(right, on, "left").select(*documents.columns, *(F.col(f"__new_{c}").alias(to) for c, to in added.items()))
+
+
 def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(common.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")

@@ -488,6 +488,20 @@ def test_mixing(spark, edge, empty):
     assert mixing.mix(edge).count() == edge.count() and mixing.mix(empty).count() == 0
 
 
+def test_mixing_gives_every_row_its_own_count(spark, edge):
+    """Rows that share an id, rows without one, and names that clash."""
+    texts = {i: prose(i, 5 + i % 3) for i in range(40)}
+    docs = spark.createDataFrame(rows(texts) + rows({3: prose(90, 8), 4: texts[4]}) + [(None, prose(91, 7), "en", "s0", *[None] * 8)] * 3, SCHEMA)
+    got = mixing.attach(docs)
+    assert got.columns == [*docs.columns, "mix_size", "source_size", "target", "rate", "copies", "taken"]
+    out = got.collect()
+    assert len(out) == docs.count() == 45 and all(r.mix_size == len(r.text.split()) and r.taken == r.copies * r.mix_size for r in out)
+    assert sum(r.taken for r in out) == sum(r.taken for r in mixing.mix(docs).collect())
+    assert mixing.attach(edge).count() == edge.count()
+    plain = docs.where("doc_id > 10")
+    assert sorted((r.doc_id, r.taken) for r in mixing.attach(plain).collect()) == sorted((r.doc_id, r.taken) for r in mixing.mix(plain).collect())
+
+
 def brute_neighbours(vectors, queries, k=5):
     """Rows of an id are one item; nearness by exact fractions of scaled components where floats suffice."""
     usable = [(i, np.array(v, float)) for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
