@@ -47,6 +47,19 @@ def with_uid(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return full, ids.select("uid", "doc_id")
 
 
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], spread: str = "doc_id") -> DataFrame:
+    """rows left join table (a row per key), where one key may have very many rows: its rows are dealt to SALTS tasks.
+
+    table is repeated as often, so it should hold only the keys that matter.
+    """
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [*keys, "__salt"], "left").drop("__salt")
+
+
 def remainder(column: str, modulus: int):
     """crc32 of the id as text, modulo: the fold of a row."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
