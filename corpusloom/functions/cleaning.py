@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .patterns import listed
+
 # Replacements of markup remnants, in order.
 MARKUP = (
     ("#39;", "'"),
@@ -34,13 +36,20 @@ MARKUP = (
 # Punctuation that is unified, and the characters that stay.
 PUNCTUATION_FROM, PUNCTUATION_TO = "‘’´“”–-", "'''\"\"--"
 KEPT = "a-zA-Z0-9ÖÄÅöäå .,'%&€$=*@+;<>/()!?%:-"
+# Patterns of tags, anchors, addresses, user handles and repetitions.
 NEWS_TAGS = "(?:<[A-Z].+?>)|(?:</[A-Z].+?>)"
 ANCHORS = "(?:<a.+?>)|(?:</a>)|(?:<ref.+?>)"
-URL = r"(?:https?://)?[a-zA-Z0-9./?:@\-_=#]+\.[a-zA-Z]{2,6}[a-zA-Z0-9.&/?:@\-_=#]*"
+URL_CHARACTERS = r"a-zA-Z0-9./?:@\-_=#"
+URL_TAIL = r"a-zA-Z0-9.&/?:@\-_=#"
+URL = rf"(?:https?://)?[{URL_CHARACTERS}]+\.[a-zA-Z]{{2,6}}[{URL_TAIL}]*"
 HANDLE = r"(?U)(^|[^@\w])@(\w{1,15})\b"
 REPEATED_WORD = r"(?U)\b(\w+)( \1\b)+"
 REPEATED_PUNCTUATION = r"([!-/:-@\[-\x60{-~])\1+"
 
+# A run of URL characters holds a match only if one starts at its first character, and a match ends where no such
+# character follows; trying no other place keeps an unbroken run linear.
+URL_AT_RUN = rf"(?<![{listed(URL_CHARACTERS)}])(?:https?://)?[{listed(URL_CHARACTERS)}]+\.[{listed('a-zA-Z')}]{{2,6}}[{listed(URL_TAIL)}]*"
+
 
 @F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
@@ -52,6 +61,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def where_contains(c: Column, needle: str, body: Callable[[Column], Column]) -> Column:
+    """body of the texts that hold the needle; the others stay as they are."""
+    return let(c, lambda t: F.when(t.contains(needle), body(t)).otherwise(t))
+
+
+def replace_up_to_last(c: Column, closing: str, pattern: str) -> Column:
+    """c without matches of a pattern that ends with `closing`; what is after the last one isn't searched in vain."""
+
+    def body(t: Column) -> Column:
+        rest = F.substring_index(t, closing, -1)
+        head = F.left(t, F.length(t) - F.length(rest))
+        return F.concat(F.regexp_replace(head, pattern, ""), rest)
+
+    return where_contains(c, closing, body)
+
+
 def fix_markup(c: Column) -> Column:
     return reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), MARKUP, c)
 
@@ -74,15 +99,16 @@ def drop_symbols(c: Column) -> Column:
 
 
 def unify_punctuation(c: Column, kept: str = KEPT) -> Column:
-    return F.regexp_replace(F.translate(c, PUNCTUATION_FROM, PUNCTUATION_TO), f"[^{kept}]", " ")
+    unified = reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), (r for r in zip(PUNCTUATION_FROM, PUNCTUATION_TO, strict=True) if r[0] != r[1]), c)
+    return F.regexp_replace(unified, f"[^{listed(kept)}]", " ")
 
 
 def drop_news_tags(c: Column) -> Column:
-    return F.regexp_replace(c, NEWS_TAGS, "")
+    return replace_up_to_last(c, ">", NEWS_TAGS)
 
 
 def drop_urls(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, ANCHORS, ""), URL, "")
+    return F.regexp_replace(replace_up_to_last(c, ">", ANCHORS), URL_AT_RUN, "")
 
 
 def drop_handles(c: Column, spaced_out: bool = True) -> Column:

@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .patterns import listed
+
+# What counts as a letter, digit, capital and token character.
 LETTERS, DIGITS, CAPITALS = "[äÄöÖåÅa-zA-Z]", "[0-9]", "[ÄÖÅA-Z]"
 TOKEN_BREAK = "[^A-Za-z_0-9]"
 STRIP = r"(?U)^\s+|\s+$"
@@ -16,9 +19,17 @@ def occurrences(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern)).cast("long")
 
 
+def members(c: Column, characters: str, common: bool = False) -> Column:
+    """Number of characters of a class like [a-z]; runs are taken out at once, the others' where the class is common."""
+    inside = listed(characters[1:-1])
+    if common:
+        return F.length(F.regexp_replace(c, f"[^{inside}]+", "")).cast("long")
+    return (F.length(c) - F.length(F.regexp_replace(c, f"[{inside}]+", ""))).cast("long")
+
+
 def words(c: Column) -> Column:
     """Number of blank-separated words of a text whose blanks are single; none in an empty text."""
-    return F.when(c == "", F.lit(0)).otherwise(F.size(F.split(c, " "))).cast("long")
+    return F.when(c == "", F.lit(0)).otherwise(F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -27,7 +38,7 @@ def ratio(part: Column, whole: Column) -> Column:
 
 def text_stats(c: Column) -> dict[str, Column]:
     total = F.length(c).cast("long")
-    out = {"alphabet_len": occurrences(c, LETTERS), "number_len": occurrences(c, DIGITS), "upper_len": occurrences(c, CAPITALS), "total_len": total}
+    out = {"alphabet_len": members(c, LETTERS, common=True), "number_len": members(c, DIGITS), "upper_len": members(c, CAPITALS), "total_len": total}
     return out | {f"{k}_ratio": ratio(out[f"{k}_len"], total) for k in ("alphabet", "number", "upper")}
 
 
@@ -58,7 +69,7 @@ def content_hash(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    return F.filter(F.split(c, TOKEN_BREAK), lambda x: F.length(x) > 0)
+    return F.filter(F.split(c, f"[^{listed(TOKEN_BREAK[2:-1])}]"), lambda x: F.length(x) > 0)
 
 
 def token_set(c: Column) -> Column:

@@ -12,10 +12,30 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str, split_bytes: int = 128 << 20) -> DataFrame:
+    """df dealt over all cores by key, where its files hold less than a split's bytes for each core.
+
+    A file with one row group is one task however large the cluster. What is moved is bounded by the cores; larger
+    inputs have splits enough and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if cores == 1 or size >= cores * split_bytes else df.repartition(4 * cores, key)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; where that is unset (tests), in the warehouse's."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.shared"
-    return f"{root}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder."""
+    return f"{shared_root(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where it is unset, a folder of the warehouse in local mode; a cluster has to name one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.shared"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import cleaning as c
 from ..functions import stats as s
 from ..functions.language import SQL_PROFILE, language_profile
 from ..functions.lines import LineRules, clean_lines
-from ..operators.tables import load
+from ..operators.tables import load, spread
 from .registry import query
 
 
@@ -70,7 +70,12 @@ CLEAN_DOCS = f"WITH src AS ({DOCS}), {CHAIN}"
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages as (kind, id, text)."""
     docs = load(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
-    return docs.unionByName(load(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text")))
+    pages = load(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    return spread(docs, "id").unionByName(spread(pages, "id"))
+
+
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(load(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
 
 
 BOTH = "SELECT 'document' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'page', page_id, html FROM pages"
@@ -110,7 +115,7 @@ def clean_html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("clean_duplicate_words")
 def clean_duplicate_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").select("doc_id", c.collapse_words(F.col("text")).alias("text"))
+    return _documents(spark, sf_dir, "text").select("doc_id", c.collapse_words(F.col("text")).alias("text"))
 
 
 @query("clean_full_strict")
@@ -128,13 +133,13 @@ def clean_no_backref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir).select("kind", "id", c.clean(F.col("text"), "native").alias("text"))
 
 
-def cleaned(spark: SparkSession, sf_dir: str, mode: str = "native") -> DataFrame:
-    """Documents with clean_text, clean_words and the statistics of the cleaned text.
+def cleaned(spark: SparkSession, sf_dir: str, *also: str, mode: str = "native") -> DataFrame:
+    """Documents' id, text and the columns `also`, with clean_text, clean_words and the statistics of the cleaned text.
 
     The chain is evaluated once per row: a lambda binds its result, and as the columns come out of a generator no
     predicate on them is pushed below it with a copy of the chain.
     """
-    docs = load(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "text", *also)
     entry = c.let(
         c.clean(F.col("text"), mode),
         lambda t: F.struct(t.alias("clean_text"), s.words(t).alias("clean_words"), *(v.alias(k) for k, v in s.text_stats(t).items())),
@@ -169,7 +174,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gate_by_lang", f"{STATS} SELECT lang, count(*) AS n, count(*) FILTER (reason = 'kept') AS kept FROM g JOIN documents USING (doc_id) GROUP BY lang")
 def gate_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n"), F.count_if(s.Gate().reason() == "kept").alias("kept"))
+    return cleaned(spark, sf_dir, "lang").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(s.Gate().reason() == "kept").alias("kept"))
 
 
 @query("stage_row_counts", f"{STATS} SELECT count(*) AS loaded, count(*) FILTER (clean_words >= 20) AS long_enough, count(*) FILTER (reason = 'kept') AS kept FROM g")
@@ -181,7 +186,7 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lang_fallback", SQL_PROFILE)
 def lang_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_profile(load(spark, sf_dir, "documents"))
+    return language_profile(_documents(spark, sf_dir, "text"))
 
 
 _RULES = LineRules()
@@ -189,12 +194,12 @@ _RULES = LineRules()
 
 @query("line_clean", _RULES.sql("documents", "doc_id", "text"))
 def line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").select("doc_id", *clean_lines(F.col("text"), _RULES))
+    return _documents(spark, sf_dir, "text").select("doc_id", *clean_lines(F.col("text"), _RULES))
 
 
 @query("line_clean_reasons", f"SELECT reason, count(*) AS n FROM ({_RULES.sql('documents', 'doc_id', 'text')}) GROUP BY reason")
 def line_clean_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "documents").select(*clean_lines(F.col("text"), _RULES))
+    rows = _documents(spark, sf_dir, "text").select(*clean_lines(F.col("text"), _RULES))
     return rows.groupBy("reason").agg(F.count("*").alias("n"))
 
 

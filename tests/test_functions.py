@@ -1,8 +1,10 @@
 """Cleaning, statistics and line rules against hand-made rows and a plain restatement."""
 
 import html
+import random
 import re
 import string
+import time
 import unicodedata
 
 import pytest
@@ -64,6 +66,23 @@ def test_strict_chain_on_documents(spark):
         assert r.clean == restated(r.text)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_urls_and_tags_go_as_the_plain_patterns_say(spark, seed):
+    rng = random.Random(seed)
+    bits = ["a", "B", "http://", "https://", ".", ".com", "/", "&", "@", " ", "<", ">", "<a", "</a>", "<ref", "<N", "</N", "é", "-", "=x", "..", "abcdefgh"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(400)]
+    got = column(spark, texts, cleaning.drop_urls(cleaning.drop_news_tags(F.col("text"))))
+    assert got == [re.sub(cleaning.URL, "", re.sub(cleaning.ANCHORS, "", re.sub(cleaning.NEWS_TAGS, "", t))) for t in texts]
+
+
+@pytest.mark.parametrize("text", ["Ab9" * 350000, "<A" * 500000, "<a " * 300000 + ">", "a." * 500000, "@" * 1000000])
+def test_unbroken_megabytes_are_quick(spark, text):
+    column(spark, ["warm"], cleaning.clean(F.col("text"), "native"))
+    began = time.perf_counter()
+    column(spark, [text], cleaning.clean(F.col("text"), "native"))
+    assert time.perf_counter() - began < 5
+
+
 def test_modes_differ_as_described(spark):
     strict, intended = (column(spark, ["kata satu.\nKata dua. akhir", "hi @bob ok", "a ☃ b"], cleaning.clean(F.col("text"), m)) for m in ("strict", "intended"))
     assert strict == ["kata dua. akhir", "h i o k", "a b"] and intended == ["kata satu. Kata dua. akhir", "hi ok", "a b"]

@@ -4,7 +4,8 @@ import re
 
 import pytest
 from corpusloom.functions.language import detector
-from corpusloom.plans import catalog
+from corpusloom.operators.tables import spread
+from corpusloom.plans import catalog, cleaning
 from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.001"
@@ -14,7 +15,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cleaning_is_one_narrow_stage(spark):
+def test_cleaning_is_one_narrow_stage(spark, monkeypatch):
+    """Where the input has splits enough; a small one is dealt over the cores first, once."""
+    assert plan(catalog.queries()["quality_gate"](spark, DATA)).count("Exchange") == 1
+    monkeypatch.setattr(cleaning, "spread", lambda df, key: spread(df, key, split_bytes=0))
     text = plan(catalog.queries()["quality_gate"](spark, DATA))
     assert "Exchange" not in text and "Python" not in text
     assert text.count("regexp_replace") < 40  # the chain is there once, not once for each statistic
