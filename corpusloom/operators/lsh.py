@@ -2,6 +2,9 @@
 
 Signatures use portable hashes (seven hex digits of the token's MD5, 252 linear permutations modulo 2**31 - 1), so SQL
 gives the same candidates. A document needs `min_tokens` tokens, repeats counted, to have a signature.
+
+Documents with equal token sets form a class, known by its smallest id (the representative). Only representatives are
+signed and meet in buckets, so a page copied a million times is one entry; its copies are attached at the end.
 """
 
 from __future__ import annotations
@@ -17,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import jaccard, token_set, tokens
-from .tables import stored
+from .tables import salted_join, stored
 
 PRIME = 2**31 - 1
+GATHERED = 1 << 15  # token places whose permuted hashes are gathered at once
 
 
 @dataclass(frozen=True)
@@ -43,39 +47,78 @@ def tokenised(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return df.select(F.col(key).alias("id"), token_set(F.col(text)).alias("tokens"), F.size(tokens(F.col(text))).alias("n_tokens"))
 
 
+def classes(df: DataFrame, config: LshConfig) -> tuple[DataFrame, DataFrame]:
+    """(id, rep) of every document with a signature, and (rep, n, second) of every class, `second` its next smallest id."""
+    signed = stored(df.where(F.col("n_tokens") >= config.min_tokens).select("id", F.md5(F.array_join(F.array_sort("tokens"), " ")).alias("digest")), "signed")
+    counted = signed.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    crowded = stored(counted.where("n > 1"), "copied")
+    members = stored(salted_join(signed, crowded.select("digest", "rep"), ["digest"], "id").select("id", F.coalesce("rep", "id").alias("rep")), "members")
+    second = members.where("id <> rep").groupBy("rep").agg(F.min("id").alias("second"))
+    return members, counted.select("rep", "n").join(second, "rep", "left")
+
+
 def banded(df: DataFrame, config: LshConfig) -> DataFrame:
-    """(id, band, bucket) of every document with a signature."""
+    """(id, bucket): a row for each band of every row of df (id, tokens); the bucket's key holds its band."""
     a, b = (np.array([permutation(i)[j] for i in range(config.slots)], np.int64) for j in (0, 1))
-    bands, rows = config.bands, config.rows
+    odd = np.array([permutation(i)[0] * 2 + 1 for i in range(config.slots)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
         for batch in batches:
-            out: dict[str, list] = {"id": [], "band": [], "bucket": []}
-            for key, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for w in words:
-                    if w not in known:
-                        known[w] = int(hashlib.md5(w.encode()).hexdigest()[:7], 16)
-                h = np.array([known[w] for w in words], np.int64)
-                slots = ((h[:, None] * a + b) % PRIME).min(axis=0).reshape(bands, rows)
-                out["id"] += [key] * bands
-                out["band"] += range(bands)
-                out["bucket"] += [hashlib.md5(s.tobytes()).hexdigest() for s in slots]
-            if len(known) > 1 << 18:
-                known.clear()
-            yield pa.record_batch([pa.array(out["id"], pa.int64()), pa.array(out["band"], pa.int32()), pa.array(out["bucket"], pa.string())], list(out))
-
-    full = df.where(F.col("n_tokens") >= config.min_tokens).select("id", "tokens")
-    return full.mapInArrow(run, "id long, band int, bucket string")
-
-
-def candidate_pairs(df: DataFrame, config: LshConfig) -> DataFrame:
-    """(a, b), a < b: documents that share a bucket of some band."""
-    rows = stored(banded(df, config), "bands")
-    crowded = rows.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
-    rows = stored(rows.join(crowded, ["band", "bucket"], "left_semi"), "crowded")
-    left, right = rows.withColumnRenamed("id", "a"), rows.withColumnRenamed("id", "b")
-    return left.join(right, ["band", "bucket"]).where("a < b").select("a", "b").distinct()
+            lists = batch.column(1)
+            words = lists.flatten().dictionary_encode()
+            places, ends = words.indices.to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            h = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words.dictionary.to_pylist()], np.int64)
+            least = np.empty((len(lists), config.slots), np.int32)
+            begin = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            permuted = np.concatenate([((h[x : x + GATHERED, None] * a + b) % PRIME).astype(np.int32) for x in range(0, len(h), GATHERED)]) if len(h) else None
+            at = 0
+            while at < len(lists):
+                stop = max(at + 1, int(np.searchsorted(ends, begin[at] + GATHERED, "right")))
+                part = places[begin[at] : ends[stop - 1]]
+                if stop == at + 1 and len(part) > GATHERED:  # one long text: piece by piece
+                    least[at] = np.min([permuted[part[x : x + GATHERED]].min(axis=0) for x in range(0, len(part), GATHERED)], axis=0)
+                else:
+                    least[at:stop] = np.minimum.reduceat(permuted[part], begin[at:stop] - begin[at], axis=0)
+                at = stop
+            key = np.tile(np.arange(1, config.bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93), (len(lists), 1))
+            slots = least.astype(np.uint64).reshape(len(lists), config.bands, config.rows)
+            factor = odd.reshape(config.bands, config.rows)
+            for j in range(config.rows):
+                key = (key ^ slots[:, :, j]) * factor[:, j]
+                key ^= key >> np.uint64(32)
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), config.bands)
+            yield pa.record_batch([pa.array(ids), pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
+
+    return df.select("id", "tokens").where(F.size("tokens") > 0).mapInArrow(run, "id long, bucket long")
+
+
+@dataclass
+class Index:
+    """What the steps share: members (id, rep), classes (rep, n, second), shared buckets (id, bucket, hub) of representatives."""
+
+    members: DataFrame
+    classes: DataFrame
+    buckets: DataFrame
+
+
+def build_index(df: DataFrame, config: LshConfig) -> Index:
+    members, counted = classes(df, config)
+    counted = stored(counted, "classes")
+    reps = df.join(counted.select(F.col("rep").alias("id")), "id", "left_semi")
+    rows = stored(banded(reps, config), "bands")
+    crowded = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    return Index(members, counted, stored(rows.join(crowded.select("bucket", "hub"), "bucket"), "buckets"))
+
+
+def copies(index: Index) -> DataFrame:
+    """(a, b): every copy b with the representative a of its class."""
+    return index.members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+
+
+def candidate_pairs(index: Index) -> DataFrame:
+    """(a, b), a < b: representatives that share a bucket. Copies have the candidates of their representative."""
+    left, right = index.buckets.select("bucket", F.col("id").alias("a")), index.buckets.select("bucket", F.col("id").alias("b"))
+    return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
 
 
 def similar_pairs(pairs: DataFrame, df: DataFrame, threshold: float) -> DataFrame:
@@ -100,41 +143,109 @@ def components(pairs: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def grouped(index: Index) -> DataFrame:
+    """(id, component) of the representatives that share a bucket: links go to a bucket's smallest id only."""
+    return components(index.buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+
+
+ASSIGNED = "rep long, own long, second_base long, steps array<struct<since:long,base:long>>"
+
+
+def assign(events: list[tuple[int, int, int | None, list[int]]]) -> list[tuple[int, int | None, int | None, list[tuple[int, int]]]]:
+    """(rep, base of rep, base of second, (since, base) steps) of classes given as (rep, size, second, buckets).
+
+    Documents come in the order of their ids. One joins the smallest base among its earlier candidates, else its
+    smallest candidate becomes a base. Bases are representatives, as these are the smallest of their classes. Of a
+    class, only the first two documents can make a base: from then on there is one among the candidates, and a later
+    copy joins the smallest base that is there by then, which the steps (descending bases, ascending times) give.
+    """
+    keys = {rep: buckets or [(rep,)] for rep, _, _, buckets in events}  # a class that meets none has a bucket of its own
+    lowest: dict[object, int] = {}
+    for rep in sorted(keys, reverse=True):
+        lowest |= dict.fromkeys(keys[rep], rep)
+    steps: dict[object, list[tuple[int, int]]] = {}
+    order = sorted([(rep, rep) for rep, *_ in events] + [(second, rep) for rep, _, second, _ in events if second is not None])
+    found: dict[int, int | None] = {}
+    for now, rep in order:
+        bases = [steps[k][-1][1] for k in keys[rep] if k in steps]
+        if bases:
+            found[now] = min(bases)
+            continue
+        near = min(lowest[k] for k in keys[rep])
+        found[now] = near if near < now else None
+        if near < now:
+            for k in keys[near]:
+                if k not in steps or near < steps[k][-1][1]:
+                    steps.setdefault(k, []).append((now, near))
+    out = []
+    for rep, size, second, _ in events:
+        mine: list[tuple[int, int]] = []
+        for step in sorted(x for k in keys[rep] for x in steps.get(k, [])) if size > 2 else []:
+            if not mine or step[1] < mine[-1][1]:
+                mine.append(step)
+        out.append((rep, found[rep], None if second is None else found[second], mine))
+    return out
+
+
+def extremes(sets: list[frozenset], threshold: float) -> list[int]:
+    """For each set in order the place of the first extreme that it reaches the threshold with; an extreme has its own."""
+    kept: list[int] = []
+    out = []
+    for i, s in enumerate(sets):
+        twin = next((x for x in kept if len(sets[x] & s) >= threshold * len(sets[x] | s)), i)
+        if twin == i:
+            kept.append(i)
+        out.append(twin)
+    return out
+
+
 def clusters(df: DataFrame, config: LshConfig) -> DataFrame:
     """(base, id, is_extreme, copies): clusters in document order, each reduced to extremes.
 
     A document joins the first of its earlier candidates (by id) that is a base, else it opens a cluster on its smallest
     candidate. An element is a copy of the first extreme it reaches the threshold with, else an extreme itself. Order
-    only matters inside a component, so each component is worked through on its own.
+    only matters inside a component, so each component is worked through on its own, by ids and bucket keys of its
+    classes; token sets meet by cluster, one for each class. What one task holds is bounded by the distinct token sets
+    of a component (ids) or a cluster (sets), never by copies.
     """
-    pairs = stored(candidate_pairs(df, config), "pairs")
-    labels = components(pairs)
-    later = pairs.groupBy(F.col("b").alias("id")).agg(F.array_sort(F.collect_list("a")).alias("earlier"))
-    rows = labels.join(later, "id", "left").join(df.select("id", "tokens"), "id")
+    index = build_index(df, config)
+    keys = index.buckets.groupBy(F.col("id").alias("rep")).agg(F.collect_list("bucket").alias("buckets"))
+    rows = index.classes.join(keys, "rep", "left").where("n > 1 OR buckets IS NOT NULL")
+    rows = rows.join(grouped(index).withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        events = [
+            (int(rep), int(n), None if pd.isna(second) else int(second), [] if b is None else [int(x) for x in b])
+            for rep, n, second, b in zip(frame["rep"], frame["n"], frame["second"], frame["buckets"], strict=True)
+        ]
+        out = pd.DataFrame([(r, o, s, [{"since": t, "base": b} for t, b in steps]) for r, o, s, steps in assign(events)], columns=["rep", "own", "second_base", "steps"])
+        return out.astype({"own": "Int64", "second_base": "Int64"})
+
+    assigned = stored(rows.groupBy("component").applyInPandas(work, ASSIGNED), "assigned")
+    seconds = index.classes.where("second IS NOT NULL").select("rep", "second")
+    full = salted_join(index.members, assigned.join(seconds, "rep", "left"), ["rep"], "id")
+    later = F.element_at(F.filter("steps", lambda x: x["since"] < F.col("id")), -1)["base"]
+    base = F.when(F.col("id") == F.col("rep"), F.col("own")).when(F.col("id") == F.col("second"), F.col("second_base")).when(F.size("steps") > 0, later)
+    joined = stored(full.select("id", "rep", base.alias("base")).where("base IS NOT NULL"), "joined")
+    bases = joined.select("base").distinct().select(F.col("base").alias("id"), F.col("base").alias("rep"), "base")
+    joined = joined.unionByName(bases)
+    items = stored(joined.groupBy("base", "rep").agg(F.min("id").alias("first"), F.count("*").alias("n")), "items")
+    # the representative may be in another cluster; its set is the class's
+    sets = items.join(df.select(F.col("id").alias("rep"), "tokens"), "rep")
     threshold = config.threshold
 
     def reduce(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id")
-        sets = {i: frozenset(t) for i, t in zip(frame["id"], frame["tokens"], strict=True)}
-        members: dict[int, list[int]] = {}
-        for i, earlier in zip(frame["id"], frame["earlier"], strict=True):
-            near = [] if earlier is None else [int(x) for x in earlier]
-            if near:
-                base = next((x for x in near if x in members), near[0])
-                members.setdefault(base, []).append(i)
-        out = []
-        for base, rest in members.items():
-            extremes: dict[int, int] = {}
-            for i in [base, *sorted(rest)]:
-                twin = next((x for x in extremes if len(sets[x] & sets[i]) >= threshold * len(sets[x] | sets[i])), None)
-                if twin is None:
-                    extremes[i] = 1
-                else:
-                    extremes[twin] += 1
-            out += [(base, i, i in extremes, extremes.get(i)) for i in [base, *sorted(rest)]]
-        return pd.DataFrame(out, columns=["base", "id", "is_extreme", "copies"]).astype({"copies": "Int64"})
-
-    return rows.groupBy("component").applyInPandas(reduce, "base long, id long, is_extreme boolean, copies long")
+        frame = frame.sort_values("first").reset_index(drop=True)  # the base is the smallest of its cluster
+        twin = extremes([frozenset(t) for t in frame["tokens"]], threshold)
+        total = frame["n"].groupby(np.array(twin)).sum()
+        top = np.array(twin) == np.arange(len(frame))
+        out = frame[["base", "rep", "first"]].assign(is_extreme=top, copies=[int(total[i]) if t else None for i, t in enumerate(top)])
+        return out.astype({"copies": "Int64"})
+
+    reduced = stored(sets.groupBy("base").applyInPandas(reduce, "base long, rep long, first long, is_extreme boolean, copies long"), "reduced")
+    shown = salted_join(joined, reduced.where("is_extreme").select("base", "rep", "first", "copies"), ["base", "rep"], "id")
+    top = F.coalesce(F.col("first") == F.col("id"), F.lit(False))
+    return shown.select("base", "id", top.alias("is_extreme"), F.when(top, F.col("copies")).alias("copies"))
 
 
 def near_dedup(df: DataFrame, documents: DataFrame, config: LshConfig) -> DataFrame:

@@ -45,6 +45,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
+    """rows left join table (a row per key), where one key may have very many rows: its rows are dealt to SALTS tasks.
+
+    table is repeated as often, so it should hold only the keys that matter.
+    """
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [*keys, "__salt"], "left").drop("__salt")
+
+
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
     """df with its 0-based position in `order`, a total order.
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats as s
 from ..operators import lsh
-from ..operators.tables import load, stored
+from ..operators.tables import load, salted_join, spread, stored
 from .registry import query
 
 HASH = r"md5(regexp_replace(text, '^\s+|\s+$', '', 'g'))"
@@ -68,32 +68,42 @@ def _candidates_sql(config: lsh.LshConfig) -> str:
     i AS (SELECT range AS i, (1000003 * (range + 1) * (range + 7)) % {p - 1} + 1 AS a, (7919 * (range + 1) * (range + 1) + 104729) % {p} AS b FROM range({config.slots})),
     sg AS (SELECT id, i, min((a * h + b) % {p}) AS v FROM u, i GROUP BY id, i),
     bd AS (SELECT id, i // {config.rows} AS band, string_agg(v, ',' ORDER BY i) AS k FROM sg GROUP BY id, band),
-    cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM bd x JOIN bd y ON x.band = y.band AND x.k = y.k AND x.id < y.id)"""
+    cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM bd x JOIN bd y ON x.band = y.band AND x.k = y.k AND x.id < y.id),
+    cls AS (SELECT id, min(id) OVER (PARTITION BY array_to_string(list_sort(tokens), ' ')) AS rep FROM t),
+    pair AS (SELECT a, b, 'candidate' AS kind FROM cand JOIN cls x ON x.id = a AND x.rep = a JOIN cls y ON y.id = b AND y.rep = b UNION ALL SELECT rep, id, 'copy' FROM cls WHERE id <> rep)"""
 
 
 LOW, HIGH = lsh.LshConfig(), lsh.LshConfig(threshold=0.85, bands=13, rows=19)
 LOW_SQL = _candidates_sql(LOW)
-SIMILAR = "SELECT a, b, round(len(list_intersect(x.tokens, y.tokens)) / len(list_distinct(list_concat(x.tokens, y.tokens))), 6) AS similarity FROM cand JOIN t x ON x.id = a JOIN t y ON y.id = b"
+SIMILAR = "SELECT a, b, kind, round(len(list_intersect(x.tokens, y.tokens)) / len(list_distinct(list_concat(x.tokens, y.tokens))), 6) AS similarity FROM pair JOIN t x ON x.id = a JOIN t y ON y.id = b"
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(lsh.tokenised(load(spark, sf_dir, "documents")), "tokens")
+    return stored(lsh.tokenised(spread(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")), "tokens")
 
 
-@query("lsh_candidates", f"WITH {LOW_SQL} SELECT a, b FROM cand")
+def _pairs(index: lsh.Index) -> DataFrame:
+    """(a, b, kind): candidates among representatives, and the copies of each of these."""
+    return lsh.candidate_pairs(index).withColumn("kind", F.lit("candidate")).unionByName(lsh.copies(index).withColumn("kind", F.lit("copy")))
+
+
+@query("lsh_candidates", f"WITH {LOW_SQL} SELECT a, b, kind FROM pair")
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.candidate_pairs(_tokens(spark, sf_dir), LOW)
+    return _pairs(lsh.build_index(_tokens(spark, sf_dir), LOW))
 
 
-@query("lsh_candidates_085", f"WITH {_candidates_sql(HIGH)} SELECT a, b FROM cand")
+@query("lsh_candidates_085", f"WITH {_candidates_sql(HIGH)} SELECT a, b, kind FROM pair")
 def lsh_candidates_085(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.candidate_pairs(_tokens(spark, sf_dir), HIGH)
+    return _pairs(lsh.build_index(_tokens(spark, sf_dir), HIGH))
 
 
 @query("jaccard_pairs", f"WITH {LOW_SQL} SELECT * FROM ({SIMILAR}) WHERE similarity >= 0.75")
 def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Representatives that reach the threshold, and copies, which are as similar as can be."""
     docs = _tokens(spark, sf_dir)
-    return lsh.similar_pairs(lsh.candidate_pairs(docs, LOW), docs, 0.75).withColumn("similarity", F.round("similarity", 6))
+    index = lsh.build_index(docs, LOW)
+    similar = lsh.similar_pairs(lsh.candidate_pairs(index), docs, 0.75).select("a", "b", F.lit("candidate").alias("kind"), F.round("similarity", 6).alias("similarity"))
+    return similar.unionByName(lsh.copies(index).select("a", "b", F.lit("copy").alias("kind"), F.lit(1.0).alias("similarity")))
 
 
 @query(
@@ -102,7 +112,10 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id AS doc_id, min(c) AS component FROM w GROUP BY id""",
 )
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.components(lsh.candidate_pairs(_tokens(spark, sf_dir), LOW)).withColumnRenamed("id", "doc_id")
+    index = lsh.build_index(_tokens(spark, sf_dir), LOW)
+    linked = index.classes.join(lsh.grouped(index).withColumnRenamed("id", "rep"), "rep", "left").where("n > 1 OR component IS NOT NULL")
+    linked = linked.select("rep", F.coalesce("component", "rep").alias("component"))
+    return salted_join(index.members, linked, ["rep"], "id").where("component IS NOT NULL").select(F.col("id").alias("doc_id"), "component")
 
 
 @query("dup_clusters")
@@ -131,6 +144,8 @@ def near_dedup_085(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("first_by_order", "SELECT page_id, url FROM (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id) AS rn FROM pages) WHERE rn = 1")
 def first_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First occurrence by content, without a hash column."""
-    rank = F.row_number().over(Window.partitionBy("html").orderBy("page_id"))
-    return load(spark, sf_dir, "pages").withColumn("rn", rank).where("rn = 1").select("page_id", "url")
+    """First occurrence by content: the smallest id of each digest, an aggregate that combines map-side, and a semi-join."""
+    pages = load(spark, sf_dir, "pages")
+    content = F.struct(F.sha2("html", 256), F.octet_length("html"), F.col("html").isNull())
+    first = pages.groupBy(content.alias("content")).agg(F.min("page_id").alias("page_id"))
+    return pages.select("page_id", "url").join(first.select("page_id"), "page_id", "left_semi")

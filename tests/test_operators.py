@@ -1,11 +1,15 @@
 """Clusters, transcripts, language-model rows, positions, files and streams."""
 
 import gzip
+import hashlib
 import io
 import json
 import lzma
+import random
 import tarfile
+from collections import defaultdict
 
+import numpy as np
 import pytest
 import zstandard
 from corpusloom.operators import lm, lsh, transcripts
@@ -49,23 +53,97 @@ def sequential(tokens, pairs, threshold):
     return out
 
 
-def test_clusters_follow_insertion_order(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400")
+def brute_pairs(tokens, counts, config):
+    """All pairs (a, b), a < b, that share a band, by plain arithmetic."""
+    buckets = defaultdict(set)
+    for i, words in tokens.items():
+        if counts[i] >= config.min_tokens and words:
+            h = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words], dtype=object)
+            slots = [int(min((m * h + c) % lsh.PRIME)) for m, c in map(lsh.permutation, range(config.slots))]
+            for band in range(config.bands):
+                buckets[band, *slots[band * config.rows : (band + 1) * config.rows]].add(i)
+    return {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b}
+
+
+def varied_copies(seed):
+    """Texts with copies, and edits in which candidates are partly similar, in mixed order."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(6):
+        base = rng.sample(vocabulary, 30)
+        for _ in range(14):
+            words = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 4, 6])):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            texts.append(" ".join(words))
+    texts += ["a b c", "a b c", "", None] + [" ".join(rng.sample(vocabulary, 20)) for _ in range(5)]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize(("source", "config"), [("sf0.01", lsh.LshConfig()), (1, lsh.LshConfig(threshold=0.85, bands=13, rows=19)), (2, lsh.LshConfig(bands=40, rows=4))])
+def test_clusters_follow_insertion_order(spark, source, config):
+    if source == "sf0.01":
+        docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400")
+    else:
+        docs = spark.createDataFrame(varied_copies(source), "doc_id long, text string")
     df = lsh.tokenised(docs).cache()
-    config = lsh.LshConfig()
-    tokens = {r.id: set(r.tokens) for r in df.collect()}
-    pairs = {(r.a, r.b) for r in lsh.candidate_pairs(df, config).collect()}
-    got = {tuple(r) for r in lsh.clusters(df, config).collect()}
-    assert got == sequential(tokens, pairs, 0.75) and got
+    rows = df.collect()
+    tokens = {r.id: set(r.tokens or ()) for r in rows}
+    pairs = brute_pairs(tokens, {r.id: r.n_tokens or 0 for r in rows}, config)
+    index = lsh.build_index(df, config)
+    rep = {r.id: r.rep for r in index.members.collect()}
+    assert {(r.a, r.b) for r in lsh.candidate_pairs(index).collect()} == {(a, b) for a, b in pairs if rep[a] == a and rep[b] == b}
+    assert {(r.a, r.b) for r in lsh.copies(index).collect()} == {(rep[i], i) for i in rep if rep[i] != i}
+    got = [tuple(r) for r in lsh.clusters(df, config).collect()]
+    assert len(got) == len(set(got)) and set(got) == sequential(tokens, pairs, config.threshold) and got
     kept = {r.doc_id for r in lsh.near_dedup(df, docs, config).collect()}
     clustered, extremes = {g[1] for g in got}, {g[1] for g in got if g[2]}
     assert kept == set(tokens) - (clustered - extremes)
-    assert all(len(tokens[a] & tokens[b]) / len(tokens[a] | tokens[b]) > 0.4 for a, b in pairs)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_assignment_is_the_sequential_one(seed):
+    """Classes with copies and random buckets: base of every document as when inserted one by one."""
+    rng = random.Random(seed)
+    ids = list(range(60))
+    rng.shuffle(ids)
+    members = defaultdict(list)
+    for i in ids:
+        members[rng.randrange(25)].append(i)
+    classes = [(sorted(m), sorted({rng.randrange(18) for _ in range(rng.randrange(4))})) for m in members.values()]
+    buckets = {i: set(b) or {("own", m[0])} for m, b in classes for i in m}
+    made, want = set(), {}
+    for i in sorted(buckets):
+        near = [j for j in range(i) if j in buckets and buckets[j] & buckets[i]]
+        base = next((j for j in near if j in made), near[0] if near else None)
+        if base is not None:
+            made.add(base)
+            want[i] = base
+    got = {}
+    out = lsh.assign([(m[0], len(m), m[1] if len(m) > 1 else None, b) for m, b in classes])
+    for (m, _), (_, own, second, steps) in zip(classes, out, strict=True):
+        got |= dict(zip(m, [own, second, *([b for t, b in steps if t < i][-1] for i in m[2:])], strict=False))
+    assert {i: b for i, b in got.items() if b is not None} == want
+
+
+def test_a_page_of_very_many_copies(spark):
+    """Buckets hold representatives only, so 5,000 copies of a text are one entry in each."""
+    page = " ".join(f"w{i}" for i in range(40))
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5 > 0, page).otherwise(F.concat(F.lit(page), F.lit(" x"), F.col("id"))).alias("text"))
+    df = lsh.tokenised(docs)
+    index = lsh.build_index(df, lsh.LshConfig())
+    assert index.members.count() == 5000 and index.buckets.agg(F.max("id"), F.count("*")).first()[1] <= 21 * 1001
+    got = lsh.clusters(df, lsh.LshConfig()).where("is_extreme").collect()
+    assert [(r.base, r.id, r.copies) for r in got] == [(0, 0, 5000)]
+    assert lsh.near_dedup(df, docs, lsh.LshConfig()).count() == 1
 
 
 def test_short_documents_are_no_candidates(spark):
     df = lsh.tokenised(spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, ""), (4, None)], "doc_id long, text string"))
-    assert lsh.candidate_pairs(df, lsh.LshConfig()).count() == 0
+    index = lsh.build_index(df, lsh.LshConfig())
+    assert lsh.candidate_pairs(index).count() == lsh.copies(index).count() == lsh.clusters(df, lsh.LshConfig()).count() == 0
 
 
 WORD = "stream long, seq long, start_ms long, end_ms long, word string"
