@@ -96,15 +96,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, config: Containment
     docs = documents.where("doc_id IS NOT NULL").select("doc_id", "text")
     widths = sorted(r[0] for r in minima.select("width").distinct().collect()) or [config.shingle]  # at most the shingle's length of them
 
-    def held(texts: DataFrame, sought: DataFrame, keys: list[str], also: list[str]) -> DataFrame:
-        """(*keys, *also, held): how many distinct shingles of `sought` a document holds."""
-        parts = [shingles(texts, "doc_id", w).join(sought.where(F.col("width") == w).drop("width"), keys) for w in widths]
+    def held(texts: DataFrame, sought: DataFrame, also: list[str]) -> DataFrame:
+        """(doc_id, item_id, *also, held): how many of an item's shingles in `sought` a document holds."""
+        parts = [shingles(texts, "doc_id", w).join(sought.where(F.col("width") == w).drop("width"), "shingle") for w in widths]
         return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id", *also).agg(F.countDistinct("shingle").alias("held"))
 
-    hits = held(docs, minima.drop("size_partition"), ["shingle"], ["least"])
+    hits = held(docs, minima.drop("size_partition"), ["least"])
     candidates = common.materialize(hits.where("held >= least").select("doc_id", "item_id"), "containment-candidates")
     suspects = docs.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
-    counts = held(suspects, candidates.join(items, "item_id"), ["doc_id", "shingle"], ["n_item_shingles"]).withColumnRenamed("held", "n_shared")
+    counts = held(suspects, items, ["n_item_shingles"]).withColumnRenamed("held", "n_shared")
     share = (F.col("n_shared") / F.col("n_item_shingles")).alias("containment")
     return counts.select("doc_id", "item_id", "n_item_shingles", "n_shared", share).where(F.col("containment") >= config.containment)
 
