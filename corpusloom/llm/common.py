@@ -11,22 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.tables import with_row_index
+from ..operators.tables import salted_join, shared_root, with_row_index  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), one of the warehouse's."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.shared"
-
-
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -47,47 +42,43 @@ def with_uid(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return full, ids.select("uid", "doc_id")
 
 
-SALTS = 16
-
+def remainder(column: str, modulus: int):
+    """crc32 of the id as text, modulo: the fold of a row."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
-def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], spread: str = "doc_id") -> DataFrame:
-    """rows left join table (a row per key), where one key may have very many rows: its rows are dealt to SALTS tasks.
 
-    table is repeated as often, so it should hold only the keys that matter.
-    """
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, [*keys, "__salt"], "left").drop("__salt")
+LARGEST = 4 << 20  # bytes of a text that a training sample may hold
 
 
-def remainder(column: str, modulus: int):
-    """crc32 of the id as text, modulo: the fold of a row."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+def drawn(rows: DataFrame, max_rows: int) -> DataFrame:
+    """At most max_rows ids of rows (doc_id, ...): those of smallest hash, a uniform draw that is the same on each run."""
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int) -> DataFrame:
-    """(text, label) of at most max_rows labelled texts of at most max_bytes each, in a fixed order.
+def sampled(documents: DataFrame, ids: DataFrame, max_bytes: int, *columns: str) -> DataFrame:
+    """(doc_id, text, *columns) of the first drawn ids whose texts come to max_bytes together, in the order of the draw.
 
-    The rows are those with the smallest hashes of doc_id, so the sample is uniform and the same on each run; ids are
-    drawn before any text is read. Both bounds together bound what the training task holds.
+    The two bounds (ids drawn, bytes) are what the training task holds, whatever the corpus. Long texts take part like
+    any other; only one of more than LARGEST bytes is passed over. Sizes are added up before any text is moved. Of an
+    id's several texts the smallest is taken.
     """
-    ids = (
-        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max(label).cast("double").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_rows)
-    )
-    rows = (
-        documents.select("doc_id", "text")
-        .where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
-        .join(F.broadcast(ids), "doc_id")
-        .groupBy("doc_id")
-        .agg(F.min("text").alias("text"), F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_rows)
-    )
-    return rows.select("text", "label")
+    size = F.octet_length("text").cast("long")
+    sizes = documents.select("doc_id", size.alias("size")).where(F.col("size") <= LARGEST).join(F.broadcast(ids.select("doc_id")), "doc_id")
+    sizes = sizes.groupBy("doc_id").agg(F.max("size").alias("size"))
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    total = F.sum("size").over(Window.orderBy(*order))  # over the drawn ids, a bounded number
+    chosen = sizes.withColumn("total", total).where(F.col("total") <= max_bytes).select("doc_id")
+    one = F.min(F.struct("text", *columns)).alias("x")
+    rows = documents.select("doc_id", "text", *columns).where(size <= LARGEST).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(one)
+    return rows.select("doc_id", "x.*").orderBy(*order).limit(1 << 30)
+
+
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int) -> DataFrame:
+    """(text, label) of a bounded sample of labelled texts, see sampled(); of an id's several labels the largest."""
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
+    ids = drawn(known, max_rows)
+    rows = sampled(documents, ids, max_bytes).join(F.broadcast(ids), "doc_id")
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label").limit(max_rows)
 
 
 def trained(rows: DataFrame, build: Callable[[pa.Table], Any]) -> Any:

@@ -5,8 +5,8 @@ rotation by one place; a document bundles (adds) the vectors of all its trigrams
 unit vectors of its training documents. A document gets the language whose prototype has the largest cosine.
 
 Words are padded by blanks, so a text of one letter has a trigram. Training uses a bounded, documented sample
-(`max_train_rows` texts of at most `max_train_bytes`, smallest id hashes first; longer texts are left out of training
-only, whose task would have to hold them); prediction reads whole texts of any length.
+(`max_train_rows` texts, smallest id hashes first, of `max_train_bytes` together); prediction reads whole texts of any
+length.
 
 Defined cases: null texts and texts without a letter give `und` and score 0; ties go to the smaller language name;
 without training rows every text is `und`; repeated rows are predicted each; other columns are ignored.
@@ -34,7 +34,7 @@ COUNTS = 1 << 20  # entries of a table of texts by kinds of trigrams; more texts
 class LanguageConfig:
     dim: int = 1024
     max_train_rows: int = 3000
-    max_train_bytes: int = 32768
+    max_train_bytes: int = 32 << 20
 
 
 @dataclass
@@ -122,11 +122,8 @@ def fit(documents: DataFrame, config: LanguageConfig | None = None) -> LanguageM
     """documents: doc_id, text, lang, only the rows that the model may see."""
     config = config or LanguageConfig()
     known = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    known = known.where(F.octet_length("text") <= config.max_train_bytes)
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    ids = known.select("doc_id").distinct().orderBy(*order).limit(config.max_train_rows)
-    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
-    rows = rows.orderBy(*order).limit(config.max_train_rows).select("text", "lang")
+    ids = common.drawn(known.select("doc_id").distinct(), config.max_train_rows)
+    rows = common.sampled(known, ids, config.max_train_bytes, "lang").select("text", "lang")
     return common.trained(rows, lambda t: train(common.column(t, "text", pa.large_string()), t.column("lang").to_pylist(), config))
 
 

@@ -181,7 +181,7 @@ class PiiModel:
 @dataclass
 class PiiConfig:
     max_train_rows: int = 3000
-    max_train_bytes: int = 32768
+    max_train_bytes: int = 32 << 20
     epochs: int = 150
     rate: float = 0.5
     drop: float = 0.25
@@ -290,10 +290,9 @@ def find_in(texts: list[str | None], model: PiiModel, config: PiiConfig) -> list
 
 def fit(documents: DataFrame, config: PiiConfig | None = None) -> PiiModel:
     config = config or PiiConfig()
-    known = documents.where(F.col("doc_id").isNotNull() & (F.octet_length("text") <= config.max_train_bytes) & F.col("text").rlike("[0-9@]"))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    ids = known.select("doc_id").distinct().orderBy(*order).limit(config.max_train_rows)
-    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy(*order).limit(config.max_train_rows)
+    known = documents.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
+    ids = common.drawn(known.select("doc_id").distinct(), config.max_train_rows)
+    rows = common.sampled(known, ids, config.max_train_bytes)
     return common.trained(rows.select("text"), lambda t: train(t.column("text").to_pylist(), config))
 
 

@@ -1,12 +1,14 @@
 """Quality classifier: supervised subword embeddings.
 
 Hashed word and character n-gram vectors are averaged over a document and a softmax layer reads the average; both are
-trained by numpy stochastic gradient descent on a bounded, documented sample (`max_train_rows` texts of at most
-`max_train_bytes`). Averaging is linear, so for scoring each n-gram's vector is projected on the difference of the two
-output rows once: a table of 2**bits floats is broadcast and a document's logit is the mean of its n-grams' entries.
-
-Defined cases: null or empty texts have no n-grams and score from the output bias; repeated rows score each on their
-own; without labelled rows all score 0.5; other columns are ignored.
+trained by numpy stochastic gradient descent on a bounded, documented sample (`max_train_rows` labelled texts, smallest
+id hashes first, of `max_train_bytes` together). Word n-grams are taken of the words and of how far back each came
+before. Averaging is linear, so for scoring each n-gram's vector is projected on the difference of the two output rows
+once: a table of 2**bits floats is broadcast and a document's logit is the mean of its n-grams' entries.
+
+Defined cases: null or empty texts have no n-grams and score from the output bias; very long texts are scored whole;
+repeated rows score each on their own; a score of just 0.5 is predicted 1; without labelled rows all score 0.5; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +31,10 @@ class QualityConfig:
     dim: int = 12
     rate: float = 1.0
     epochs: int = 6
+    word_grams: tuple[int, ...] = (1, 2)
     char_grams: tuple[int, ...] = (3,)
     max_train_rows: int = 6000
-    max_train_bytes: int = 32768
+    max_train_bytes: int = 64 << 20
 
 
 @dataclass
@@ -41,21 +44,32 @@ class QualityModel:
     config: QualityConfig
 
 
+def recurrence(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For every word how far back its text has it before: 0 never, else 1 + the power of two of the distance."""
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = np.lexsort((words, owner))
+    back = np.zeros(len(words), np.int64)
+    same = (words[order][1:] == words[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    back[order[1:][same]] = np.diff(order)[same]
+    return np.where(back > 0, 1 + np.log2(np.maximum(back, 1)).astype(np.int64), 0).astype(np.uint64)
+
+
 def subwords(data: np.ndarray, offsets: np.ndarray, config: QualityConfig) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of all texts one after another and each text's offsets into them.
 
-    Words are runs of non-spaces, case kept; a word that repeats the one before adds a common n-gram; character n-grams are byte n-grams inside a text that start on a
-    character, blanks read as word ends.
+    Words are runs of non-spaces, case kept; word n-grams stay inside a text, once of the words themselves and once of
+    how far back each came before, which carries over to words that training never saw; character n-grams are byte
+    n-grams inside a text that start on a character, blanks read as word ends.
     """
     starts, ends, at = tv.word_spans(data, offsets, tv.NONSPACE)
     shift = np.uint64(64 - config.bits)
-    words = tv.word_hash(data, starts, ends) >> shift
-    parts, cuts = [words], [at]
-    # word bigrams without their words: one n-gram where a word follows itself, none elsewhere
-    again = np.zeros(len(words), bool)
-    again[1:] = (words[1:] == words[:-1]) & tv.within(at, 1, len(words))
-    parts.append(np.full(int(again.sum()), tv.rule_values(1, 8)[0] >> shift))
-    cuts.append(np.concatenate([[0], np.cumsum(again)])[at])
+    words = tv.word_hash(data, starts, ends)
+    parts, cuts = [], []
+    for seed, tokens in ((3, words), (4, recurrence(words, at))):
+        for n in config.word_grams:
+            ok = tv.within(at, n - 1, len(words))
+            parts.append((tv.gram_hash(tokens, n, seed=seed) >> shift)[ok])
+            cuts.append(np.concatenate([[0], np.cumsum(ok)])[np.minimum(at, len(ok))])
     flat = np.where(tv.NONSPACE[data], data, 32).astype(np.uint32)
     for n in config.char_grams:
         m = len(flat) - n + 1

@@ -120,7 +120,7 @@ class BlobLedger:
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
-        self.path = path or f"{common.shared_dir(spark)}/ledger/{uuid.uuid4().hex}"
+        self.path = path or f"{common.shared_root(spark)}/ledger/{uuid.uuid4().hex}"
 
     def read(self) -> DataFrame:
         try:
@@ -168,7 +168,7 @@ def find_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES, ledger:
     """(doc_id, findings): spans by start, then rule order, for every row of documents."""
     ledger = ledger or BlobLedger(documents.sparkSession)
     paths = ledger.update(addressed(documents.select(F.col("doc_id").cast("long"), "text")), rules)
-    found = common.salted_join(paths, ledger.findings(rules), ["blob"])  # a blob may be a third of all paths
+    found = common.salted_join(paths, ledger.findings(rules), ["blob"], "doc_id")  # a blob may be a third of all paths
     return found.select("doc_id", F.coalesce("findings", F.array().cast(SPANS)).alias("findings"))
 
 
@@ -189,7 +189,7 @@ def redact(documents: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         return F.struct(state["from"], F.greatest(state["reach"], span["end"]).alias("reach"), kept.alias("kept"))
 
     cuts = ledger.findings().select(F.col("blob").alias("__blob"), F.aggregate("findings", first, keep).alias("__cuts"))
-    whole = common.salted_join(documents.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)), cuts, ["__blob"])
+    whole = common.salted_join(documents.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)), cuts, ["__blob"], "doc_id")
     pieces = F.transform("__cuts.kept", lambda p: F.substr("text", (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))
     tail = F.substr("text", (F.col("__cuts.reach") + 1).cast("int"))
     text = F.when(F.col("__cuts").isNotNull(), F.concat(F.array_join(pieces, mask), F.lit(mask), tail)).otherwise(F.col("text"))

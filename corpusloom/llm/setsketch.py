@@ -266,7 +266,7 @@ def near_duplicates(documents: DataFrame, config: NearDupConfig | None = None) -
     sketch = common.materialize(sketches(documents, config), "sketches")
     own = F.col("doc_id")
     classes = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
-    members = common.salted_join(sketch.select("doc_id", "d1", "d2", "n_shingles"), classes.where("n > 1").drop("n"), ["d1", "d2", "n_shingles"])
+    members = common.salted_join(sketch.select("doc_id", "d1", "d2", "n_shingles"), classes.where("n > 1").drop("n"), ["d1", "d2", "n_shingles"], "doc_id")
     members = common.materialize(members.select("doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("rep", own)).alias("rep")), "members")
     reps = sketch.join(members.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = common.materialize(reps.where("n_shingles > 0"), "representatives")

@@ -1,18 +1,20 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Training runs on a bounded, documented sample (`max_train_rows` texts of at most `max_train_bytes`, smallest id hashes
-first); scoring covers every whole text. Every feature takes part, whatever the number of texts: rare ones are left to
-the L1 term. Per-coordinate learning rates and the L1 term leave few non-zero weights, so
-what is broadcast is a fixed table of 2**bits floats whatever the corpus.
-
-Defined cases: a null or empty text has no features and scores sigmoid(bias); repeated rows and ids score each on
-their own; no labelled row gives a model of zero weights (score 0.5 for all, predicted 1); other columns are ignored.
+Training runs on a bounded, documented sample (`max_train_rows` labelled texts, smallest id hashes first, of
+`max_train_bytes` together); scoring covers every whole text. Every feature takes part, whatever the number of texts:
+rare ones are left to the L1 term. Per-coordinate learning rates and the L1 term leave few non-zero weights, and only
+these and their places are broadcast.
+
+Defined cases: a null or empty text has no features and scores sigmoid(bias); very long texts are scored whole, chunk
+after chunk of the batch; repeated rows and ids score each on their own; a score of just 0.5 is predicted 1; no labelled
+row gives a model of zero weights (score 0.5 for all, predicted 1), which rejects nothing; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +36,24 @@ class ToxicityConfig:
     l2: float = 0.01
     epochs: int = 8
     max_train_rows: int = 12000
-    max_train_bytes: int = 32768
+    max_train_bytes: int = 64 << 20
 
 
 @dataclass
 class ToxicityModel:
-    weights: np.ndarray
+    """Non-zero weights and their places, and the bias, of `rows` texts."""
+
+    places: np.ndarray
+    values: np.ndarray
     bias: float
     bits: int
-    stats: dict = field(default_factory=dict)
+    rows: int
+
+    @property
+    def weights(self) -> np.ndarray:
+        out = np.zeros(1 << self.bits, np.float32)
+        out[self.places] = self.values
+        return out
 
 
 def gram_features(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +103,8 @@ def train(texts: pa.Array, labels: np.ndarray, config: ToxicityConfig) -> Toxici
             n[x] = old + g * g
             z[x] += g - (np.sqrt(n[x]) - np.sqrt(old)) / config.alpha * w
     w = weight(np.arange(size + 1))
-    return ToxicityModel(w[:size].astype(np.float32), float(w[size]), config.bits, {"rows": len(rows), "non_zero": int((w[:size] != 0).sum())})
+    places = np.flatnonzero(w[:size]).astype(np.int32)
+    return ToxicityModel(places, w[places].astype(np.float32), float(w[size]), config.bits, len(rows))
 
 
 def fit(documents: DataFrame, labels: DataFrame, config: ToxicityConfig | None = None) -> ToxicityModel:
@@ -103,10 +115,11 @@ def fit(documents: DataFrame, labels: DataFrame, config: ToxicityConfig | None =
 
 
 def score_texts(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) -> np.ndarray:
+    weights = model.weights
     docs, feats = gram_features(data, offsets, model.bits)
-    hit = np.flatnonzero(model.weights[feats])
+    hit = np.flatnonzero(weights[feats])
     pairs = np.unique(docs[hit] << model.bits | feats[hit])
-    total = np.bincount(pairs >> model.bits, model.weights[pairs & ((1 << model.bits) - 1)], len(offsets) - 1)
+    total = np.bincount(pairs >> model.bits, weights[pairs & ((1 << model.bits) - 1)], len(offsets) - 1)
     return 1.0 / (1.0 + np.exp(-np.clip(total + model.bias, -35, 35)))
 
 
@@ -124,7 +137,9 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def keep_clean(documents: DataFrame, model: ToxicityModel, below: float = 0.5) -> DataFrame:
-    """The rows of documents, all columns as they are, whose text scores below `below`."""
+    """The rows of documents, all columns as they are, whose text scores below `below`; all of them without a training row."""
+    if not model.rows:
+        return documents
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -246,6 +246,91 @@ def test_toxicity_learns_words(spark, edge, empty):
     assert toxicity.score(empty, model).count() == 0
     none = toxicity.fit(docs, labels.where("toxic > 5"))
     assert {r.score for r in toxicity.score(edge, none).collect()} == {0.5}
+    assert toxicity.keep_clean(edge, none).count() == edge.count()
+
+
+def test_toxicity_training_matches_a_plain_loop():
+    """Two epochs on 20 texts, coordinate by coordinate, with l1 small enough that words count."""
+    import pyarrow as pa
+
+    texts = [prose(i, 6) + (" zorgle grum" if i % 3 == 0 else "") for i in range(20)]
+    labels = np.array([float(i % 3 == 0) for i in range(20)])
+    config = toxicity.ToxicityConfig(bits=12, l1=0.2, epochs=2)
+    model = toxicity.train(pa.array(texts, pa.large_string()), labels, config)
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        l1 = 0.0 if i == "bias" else config.l1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (np.sign(z[i]) * l1 - z[i]) / ((config.beta + n[i] ** 0.5) / config.alpha + config.l2)
+
+    for _ in range(config.epochs):
+        for t, y in zip(texts, labels, strict=True):
+            raw = np.frombuffer(t.encode(), np.uint8)
+            x = ["bias", *set(toxicity.gram_features(raw, np.array([0, len(raw)]), config.bits)[1].tolist())]
+            w = {i: weight(i) for i in x}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in x if abs(g) >= 1e-4 else []:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / config.alpha * w[i]
+                n[i] += g * g
+    want = {i: weight(i) for i in z if i != "bias" and weight(i)}
+    assert model.bias == pytest.approx(weight("bias")) and model.places.tolist() == sorted(want) and want
+    assert model.values.tolist() == pytest.approx([want[i] for i in sorted(want)], rel=1e-5)
+
+
+def test_quality_training_matches_a_plain_loop():
+    import pyarrow as pa
+
+    texts = [" ".join(prose(i, 5).split() * (3 if i % 2 else 1)) for i in range(20)]
+    labels = np.array([float(i % 2 == 0) for i in range(20)])
+    config = quality.QualityConfig(bits=10, dim=4, epochs=2)
+    model = quality.train(pa.array(texts, pa.large_string()), labels, config)
+    rng = np.random.default_rng(20240229)
+    vectors = rng.uniform(-1 / 4, 1 / 4, (1 << 10, 4)).astype(np.float32).astype(float)
+    output, bias, order, done = np.zeros((2, 4)), np.zeros(2), np.arange(20), 0
+    for _ in range(2):
+        rng.shuffle(order)
+        for r in order:
+            raw = np.frombuffer(texts[r].encode(), np.uint8)
+            grams = Counter(quality.subwords(raw, np.array([0, len(raw)]), config)[0].tolist())
+            total, rate = sum(grams.values()), config.rate * (1 - done / 40)
+            done += 1
+            mean = sum(c / total * vectors[g] for g, c in grams.items())
+            p = np.exp(output @ mean + bias)
+            p /= p.sum()
+            p[int(labels[r])] -= 1
+            back = p @ output
+            output -= rate * np.outer(p, mean)
+            bias -= 0.1 * rate * p
+            for g, c in grams.items():
+                vectors[g] -= rate * len(grams) ** 0.5 * c / total * back
+    assert model.bias == pytest.approx(bias[1] - bias[0], abs=1e-4) and np.allclose(model.table, vectors @ (output[1] - output[0]), atol=1e-4)
+
+
+def test_recurrence_and_word_grams():
+    raw = np.frombuffer(b"a b a c a b", np.uint8)
+    from corpusloom.llm import textvec as tv
+
+    starts, ends, at = tv.word_spans(raw, np.array([0, 7, 11]), tv.NONSPACE)
+    assert quality.recurrence(tv.word_hash(raw, starts, ends), at).tolist() == [0, 0, 2, 0, 0, 0]
+    config = quality.QualityConfig()
+    halves = [quality.subwords(raw[x:y], np.array([0, y - x]), config)[0].tolist() for x, y in ((0, 7), (7, 11))]
+    grams, cut = quality.subwords(raw, np.array([0, 7, 11]), config)
+    assert [sorted(grams[cut[i] : cut[i + 1]].tolist()) for i in (0, 1)] == [sorted(h) for h in halves]
+
+
+def test_training_sample_is_bounded_by_bytes(spark):
+    """Long texts take part; what is drawn stays within the bytes, in the order of the hashes."""
+    from corpusloom.llm import common
+
+    docs = spark.createDataFrame([(i, "x" * (40000 if i % 5 == 0 else 100)) for i in range(100)] + [(100, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(101)], "doc_id long, toxic int")
+    every = common.training_rows(docs, labels, "toxic", 1000, 1 << 30).collect()
+    assert len(every) == 100 and sum(len(r.text) == 40000 for r in every) == 20
+    some = common.training_rows(docs, labels, "toxic", 1000, 200000).collect()
+    assert 0 < len(some) < 100 and some == every[: len(some)] and sum(len(r.text) for r in some) <= 200000
+    assert len(common.training_rows(docs, labels, "toxic", 7, 1 << 30).collect()) == 7
 
 
 def test_quality_learns_style(spark, edge, empty):
