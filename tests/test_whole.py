@@ -1,9 +1,5 @@
 """Queries keep whole inputs: fixtures with texts, pages and domains that a cut or a wrong list would lose."""
 
-import numpy as np
-import pyarrow as pa
-import pytest
-from corpusloom.llm import pii, toxicity
 from corpusloom.operators import lm
 from corpusloom.plans import catalog
 from pyspark.sql import functions as F
@@ -45,37 +41,6 @@ def test_lines_keep_the_production_length(spark, folder):
     assert got == {0: (words[:300] + ["[PAD]"] * 724, 300), 2: (words[:1024], 1024)}
 
 
-@pytest.mark.parametrize("at", [0, 25, 49])
-def test_evidence_reaches_fifty_mentions(at):
-    """One of 50 mentions has context; the others, far from it, get its label."""
-    model = pii.PiiModel(np.zeros((pii.SHAPES + 2 * pii.HASHED + 1, 5)), np.zeros((3, 5, 5)))
-    model.pair[1] = np.eye(5) * 5
-    plain = pii.Graph()
-    plain.add(0, "dial 12345678 now", [])
-    context = next(f for f in plain.feats[0] if pii.SHAPES <= f < pii.SHAPES + pii.HASHED)
-    model.unary[context, 3] = 8
-    text = " and ".join("dial 12345678" if i == at else "12345678" for i in range(50))
-    _, every = pii.find_in([text], model, pii.PiiConfig())[0]
-    assert [k for _, k, _ in every] == [3] * 50
-
-
-def test_messages_settle_along_a_run():
-    """Exact along 40 neighbouring tokens, alone or beside another document."""
-    model = pii.PiiModel(np.zeros((pii.SHAPES + 2 * pii.HASHED + 1, 5)), np.zeros((3, 5, 5)))
-    model.pair[0] = np.eye(5) * 6
-    model.unary[6, 3] = 9  # the shape of a long number, only the first
-    run = "9" * 20 + " " + " ".join(str(i) for i in range(100, 139))
-    want = np.array([1, 1, 1, np.exp(9), 1])
-    for _ in range(39):
-        want = np.exp(model.pair[0]) @ want
-        want /= want.sum()
-    for texts in ([run], ["1 2", run]):
-        graph = pii.Graph()
-        for i, t in enumerate(texts):
-            graph.add(i, t, [])
-        assert pii.marginals(graph, model, pii.PiiConfig().rounds)[-1] == pytest.approx(want, abs=1e-3)
-
-
 def test_denylist_is_the_reference_list(spark, folder):
     hosts = ["agenjudi45.com", "viagra.example", "m.obatkuat.example", "pornox.example", "slot.example", "health.example", "heart.example", "text.example"]
     write(spark, folder, "pages", [(i, f"https://{h}/a", "") for i, h in enumerate(hosts)], "page_id long, url string, html string")
@@ -95,14 +60,3 @@ def test_native_chain_covers_pages(spark, folder):
     write(spark, folder, "pages", [(1, "http://a.example/", "a  page")], "page_id long, url string, html string")
     got = {(r["kind"], r["id"], r["text"]) for r in catalog.queries()["clean_no_backref"](spark, folder).collect()}
     assert got == {("document", 1, "a text"), ("page", 1, "a page")}
-
-
-@pytest.mark.parametrize("others", [77, 78, 300])
-def test_rare_words_count_at_every_size(others):
-    """Two texts with a word of their own: it counts below and above 80 texts."""
-    texts = pa.array(["vile"] * 2 + ["calm"] * others, pa.large_string())
-    config = toxicity.ToxicityConfig(l1=0.1)
-    model = toxicity.train(texts, np.array([1.0] * 2 + [0.0] * others), config)
-    data = np.frombuffer(b"vile", np.uint8)
-    _, features = toxicity.gram_features(data, np.array([0, 4]), config.bits)
-    assert (model.weights[features] > 0).all()
