@@ -1,19 +1,26 @@
 """Personal data by a skip-chain conditional random field over a document's candidate tokens.
 
-Base spans come from four fixed patterns and always stay. The field labels candidate tokens (non-blank runs with a digit
-or an at sign) as email, ip, card, phone or none; all other tokens are none by definition, so they only act as context
-features, and inference over the candidates alone is the same as over the whole document. Potentials: token and context
-features; chain edges between candidates that stand next to each other; skip edges between tokens that are the same or
-similar (equal leading digits, equal mail domain) anywhere in the document. Two such tokens are linked directly, more
-of them through one hub variable, so any two are two hops apart and the edges stay linear in the tokens. Weights are
-learned by pseudo-likelihood on a bounded, documented sample whose labels are the base spans (a hub's label is the most
-common one of the other tokens); features are dropped at random while training, so that context and repetition carry
-weight too. Loopy belief propagation runs over all documents of a batch as one graph of separate parts, each until its
-messages settle; one that swings without end keeps the messages of round `rounds`. A token whose marginal for a kind
-reaches `add_at` and that touches no base span adds a span.
-
-Defined cases: null texts are empty; a text without candidates has no spans; rows that repeat an id are reported each;
-an empty table gives no rows; other columns are ignored.
+Base spans come from four fixed patterns and always stay; their labels are observed, so they are fixed during inference
+and tell the tokens linked to them. The field labels the other candidate tokens (non-blank runs with a digit or an at
+sign) as email, ip, card, phone or none; all other tokens are none by definition, so they only act as context features,
+and inference over the candidates alone is the same as over the whole document. Potentials: token and context features;
+chain edges between candidates that stand next to each other; skip edges between tokens that are the same or similar
+(equal last digits, of a token or of a whole base span; equal mail name or domain) anywhere in the document. Two such
+tokens are linked directly, more of them through one hub variable, so any two are two hops apart and the edges stay
+linear in the tokens.
+
+Weights are learned by pseudo-likelihood on a bounded, documented sample (`max_train_rows` texts with a digit or at
+sign, of `max_train_bytes` together) whose labels are the base spans (a hub's label is the most common one of the other
+tokens). As the patterns label no broken mention, some are made: to a share of the sample's texts a base span is added
+once more in a form that no pattern takes (see broken()), with its kind as label; and numbers that no base span is like,
+labelled none. Features are dropped at random while training, so that context and repetition carry weight.
+Loopy belief propagation runs over all documents of a batch as one graph of separate parts, each until its messages
+settle; one that swings without end keeps the messages of round `rounds`. A token whose marginal for a kind reaches
+`add_at` and that touches no base span adds a span.
+
+Defined cases: null texts are empty; a text without candidates has no spans; very long texts are taken whole; spans that
+start together are in the order of their kinds, and equal marginals go to the kind listed first; rows that repeat an id
+are reported each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,8 +52,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EDGES = re.compile(r"^[^A-Za-z0-9@+]+|[^A-Za-z0-9]+$")
 
+TAIL = 7  # last digits that make numbers similar
 HASHED = 64  # buckets of the words before and after
 SHAPES = 26
+OBSERVED = 60.0  # log odds of an observed label
 
 
 def luhn(digits: str) -> bool:
@@ -105,18 +114,31 @@ def shape(token: str) -> list[int]:
     return [i for i, f in enumerate(flags) if f]
 
 
-def keys_of(token: str) -> list[tuple[int, str]]:
-    """What makes tokens the same (0) or similar (1)."""
+def keys_of(token: str, span: str = "") -> set[tuple[int, str]]:
+    """What makes tokens the same (0) or similar (1); `span` is the base span that a token is part of."""
     core = _EDGES.sub("", token).lower()
-    out = [(0, core)] if len(core) > 3 else []
-    digits = _digits(core)
-    if len(digits) >= 9:
-        out.append((1, digits[:8]))
+    out = {(0, core)} if len(core) > 3 else set()
+    for digits in (_digits(core), _digits(span)):
+        if len(digits) >= TAIL:
+            out.add((1, digits[-TAIL:]))
     if "@" in core[1:]:
-        out.append((1, core[core.rindex("@") :]))
+        out |= {(1, core[: core.index("@") + 1]), (1, core[core.rindex("@") :])}
     return out
 
 
+def broken(span: str, kind: int, rng: np.random.Generator) -> str:
+    """A mention of a base span as texts break them: without its sign, with other separators, cut short."""
+    digits = _digits(span)
+    if kind == 0:
+        name, _, domain = span.partition("@")
+        return (f"{name}@{domain.split('.')[0]}", f"{name}@@{domain}", f"{name}@")[rng.integers(3)]
+    if kind == 1:
+        return (span.replace(".", "-"), ".".join(span.split(".")[:3]), span.replace(".", ".."))[rng.integers(3)]
+    if kind == 2:
+        return (digits[-8:], f"{digits[:4]}.{digits[4:8]}.{digits[8:]}", f"x{digits[4:]}")[rng.integers(3)]
+    return (digits[-10:], f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}", digits, f"{digits[-7:-4]}.{digits[-4:]}")[rng.integers(4)]
+
+
 class Graph:
     """Candidate tokens of many documents: features, edges and places."""
 
@@ -140,10 +162,10 @@ class Graph:
                 continue
             node = len(self.doc)
             first = bisect_right(reach, m.start())
-            label = OTHER
+            label, whole = OTHER, ""
             while first < len(base) and base[first][0] < m.end():
                 if base[first][2] > m.start():
-                    label = base[first][1]
+                    label, whole = base[first][1], text[base[first][0] : base[first][2]]
                     break
                 first += 1
             around = [words[i - 1][0] if i else "", words[i + 1][0] if i + 1 < len(words) else ""]
@@ -154,7 +176,7 @@ class Graph:
             self.feats.append(shape(token) + context)
             if before == i - 1:
                 self.edges.append((node - 1, node, 0))
-            for key in keys_of(token):
+            for key in keys_of(token, whole):
                 alike.setdefault(key, []).append(node)
             before = i
         for (kind, _), nodes in alike.items():
@@ -182,10 +204,11 @@ class PiiModel:
 class PiiConfig:
     max_train_rows: int = 3000
     max_train_bytes: int = 32 << 20
-    epochs: int = 150
+    epochs: int = 400
     rate: float = 0.5
-    drop: float = 0.25
+    drop: float = 0.5
     l2: float = 1e-4
+    made: float = 0.5  # share of the sample's texts with broken mentions
     add_at: float = 0.7
     rounds: int = 1000
 
@@ -195,11 +218,27 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def with_broken(text: str, base: list[tuple[int, int, int]], rng: np.random.Generator, share: float) -> tuple[str, list[tuple[int, int, int]]]:
+    """(text, labelled spans): to a share of the texts, broken mentions and unrelated numbers are added."""
+    if rng.random() >= share:
+        return text, base
+    out, spans = text, list(base)
+    for s, kind, e in base[:8]:
+        mention = broken(text[s:e], kind, rng)
+        number = str(rng.integers(10 ** (TAIL - 1), 10 ** rng.integers(TAIL, 13)))
+        if not base_spans(mention) and not base_spans(number):
+            for piece, label in ((mention, kind), (number, OTHER)) if rng.random() < 0.5 else ((number, OTHER), (mention, kind)):
+                out += " and "  # apart, so that neither continues the other
+                spans.append((len(out), label, len(out) + len(piece)))
+                out += piece
+    return out, sorted(spans)
+
+
 def train(texts: list[str], config: PiiConfig) -> PiiModel:
     """Pseudo-likelihood: each label given its neighbours', full-batch AdaGrad."""
-    graph = Graph()
+    graph, making = Graph(), np.random.default_rng(7)
     for i, t in enumerate(texts):
-        graph.add(i, t, base_spans(t))
+        graph.add(i, *with_broken(t, base_spans(t), making, config.made))
     labels = OTHER + 1
     model = PiiModel(np.zeros((SHAPES + 2 * HASHED + 1, labels)), np.zeros((3, labels, labels)))
     if not graph.doc:
@@ -208,14 +247,23 @@ def train(texts: list[str], config: PiiConfig) -> PiiModel:
     x, y = graph.matrix(), np.array(graph.label)
     a, b, kinds = np.array(graph.edges, np.int64).reshape(-1, 3).T
     node, hub, hub_kinds = np.array(graph.links, np.int64).reshape(-1, 3).T
-    counts = np.zeros((graph.hubs, labels), np.int64)
-    np.add.at(counts, (hub, y[node]), 1)
-    others = counts[hub] - np.eye(labels, dtype=np.int64)[y[node]]
+    # a token without a label that is like a base span may well be its mention: it is neither taught nor teaches
+    known = np.zeros((graph.hubs, labels), np.int64)
+    np.add.at(known, (hub, y[node]), 1)
+    like = np.zeros(len(y), bool)
+    for one, two in ((a, b), (b, a)):
+        like[one[(kinds > 0) & (y[two] != OTHER)]] = True
+    like[node[known[hub, :OTHER].sum(axis=1) > 0]] = True
+    unsure = like & (y == OTHER)
+    known[:, OTHER] = np.bincount(hub[(y[node] == OTHER) & ~unsure[node]], minlength=graph.hubs)
+    others = known[hub] - np.eye(labels, dtype=np.int64)[y[node]] * ~unsure[node][:, None]
     here, there, kind = np.concatenate([a, b, node]), np.concatenate([y[b], y[a], others.argmax(axis=1)]), np.concatenate([kinds, kinds, hub_kinds])
+    sure = ~np.concatenate([unsure[a] | unsure[b], unsure[a] | unsure[b], unsure[node] | (others.sum(axis=1) == 0)])
+    here, there, kind = here[sure], there[sure], kind[sure]
     one = np.eye(labels)[y]
     rng = np.random.default_rng(5)
     gu, gp = np.full(model.unary.shape, 1e-6), np.full(model.pair.shape, 1e-6)
-    weight = np.where(y == OTHER, 1.0, 3.0)[:, None] / len(y)
+    weight = np.where(unsure, 0.0, np.where(y == OTHER, 1.0, 3.0))[:, None] / len(y)
     for _ in range(config.epochs):
         seen = x * (rng.random(x.shape) >= config.drop)
         seen[:, -1] = 1
@@ -237,6 +285,10 @@ def marginals(graph: Graph, model: PiiModel, rounds: int, settled: float = 1e-4)
     """Loopy belief propagation, damped, all edges of the documents at once whose messages still move."""
     n = len(graph.doc)
     local = np.concatenate([graph.matrix() @ model.unary, np.zeros((graph.hubs, model.unary.shape[1]))])
+    label = np.array(graph.label)
+    known = np.flatnonzero(label != OTHER)  # parts of base spans are observed
+    local[known] = -OBSERVED
+    local[known, label[known]] = 0.0
     edges = np.array(graph.edges + [(node, n + hub, kind) for node, hub, kind in graph.links], np.int64).reshape(-1, 3)
     owner = np.array(graph.doc, np.int64)[edges[:, 0]]
     message = np.zeros((2, len(edges), local.shape[1]))  # to the second node, to the first
