@@ -80,6 +80,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return ratio(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
 
 
+def not_missing(c: Column, kind: str = "double") -> Column:
+    """Neither null nor, for numbers, NaN."""
+    return c.isNotNull() & ~F.isnan(c) if kind in ("double", "float") else c.isNotNull()
+
+
 def netloc(url: Column) -> Column:
     """Authority of a URL with user, port and case; empty where there is none."""
     return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)

@@ -8,18 +8,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, CalendarIntervalType, DateType, DayTimeIntervalType, TimestampNTZType, TimestampType
 
 IMAGE = "struct<path:string,bytes:binary>"
 COLUMNS = ("image_url", "image", "text", "source", "meta")
 
 
+def json_value(df: DataFrame, name: str) -> Column:
+    """A column as JSON takes it: times as text, what JSON has no form for is refused."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, BinaryType | CalendarIntervalType | DayTimeIntervalType):
+        raise TypeError(f"column {name} of type {kind.simpleString()} is no JSON value")
+    return F.col(name).cast("string").alias(name) if isinstance(kind, TimestampType | TimestampNTZType | DateType) else F.col(name)
+
+
 def record(df: DataFrame, source: str, text: str | Column, image_url: str | Column | None = None, image: Column | None = None, meta: tuple[str, ...] = ()) -> DataFrame:
     """df in the five columns; the `meta` columns become one JSON text."""
 
     def c(x: str | Column | None, kind: str) -> Column:
         return F.lit(None).cast(kind) if x is None else F.col(x) if isinstance(x, str) else x
 
-    rest = F.to_json(F.struct(*meta)) if meta else F.lit(None).cast("string")
+    rest = F.to_json(F.struct(*(json_value(df, m) for m in meta))) if meta else F.lit(None).cast("string")
     return df.select(c(image_url, "string").alias("image_url"), c(image, IMAGE).cast(IMAGE).alias("image"), c(text, "string").alias("text"), F.lit(source).alias("source"), rest.alias("meta"))
 
 
@@ -29,6 +38,7 @@ class SourceSpec:
     build: Callable[[str], DataFrame]  # split -> rows
     splits: tuple[str, ...] = ("train", "validation")
     configs: tuple[str, ...] = ("all",)
+    flag: str | None = None  # takes part only where this flag is set, whatever the config
 
 
 @dataclass
@@ -37,11 +47,12 @@ class UnionConfig:
 
     name: str = "all"
     sources: list[SourceSpec] = field(default_factory=list)
+    flags: frozenset[str] = frozenset()
 
     def table(self, split: str) -> DataFrame:
         if split not in ("train", "validation"):
             raise ValueError(f"no split {split}")
-        chosen = [s for s in self.sources if (self.name in s.configs or self.name == s.name) and split in s.splits]
+        chosen = [s for s in self.sources if (self.name in s.configs or self.name == s.name) and split in s.splits and (s.flag is None or s.flag in self.flags)]
         if not chosen:
             raise ValueError(f"no source for {self.name}, {split}")
         return reduce(DataFrame.unionByName, (s.build(split) for s in chosen))

@@ -31,6 +31,32 @@ def truncated_padded(tokens: Column, length: int, pad: str = "[PAD]") -> Column:
     return F.concat(kept, F.array_repeat(F.lit(pad), F.lit(length) - F.size(kept)))
 
 
+def with_specials(tokens: Column, length: int | None = None, begin: str = "[CLS]", end: str = "[SEP]", pad: str = "[PAD]", fill: bool = True) -> Column:
+    """struct<tokens, special>: tokens between two marks, cut to `length` with them and filled up; special is 1 for marks and filling."""
+    kept = tokens if length is None else F.slice(tokens, 1, max(0, length - 2))
+
+    def framed(t: Column) -> Column:
+        n = F.size(t)
+        rest = F.lit(0) if length is None or not fill else F.greatest(F.lit(0), F.lit(length) - n - 2)
+        words = F.concat(F.array(F.lit(begin)), t, F.array(F.lit(end)), F.array_repeat(F.lit(pad), rest))
+        mask = F.concat(F.array(F.lit(1)), F.array_repeat(F.lit(0), n), F.array_repeat(F.lit(1), rest + 1))
+        return F.struct(words.alias("tokens"), mask.alias("special"))
+
+    return F.element_at(F.transform(F.array(kept), framed), 1)
+
+
+def tokeniser(load_model: Callable[[], Callable[[list[str]], list[list[str]]]]):
+    """A column function text -> tokens of any tokeniser, loaded once per Python worker; nulls have no tokens."""
+
+    @F.pandas_udf("array<string>")
+    def tokenise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load_model()
+        for texts in batches:
+            yield pd.Series(model(texts.fillna("").tolist()))
+
+    return tokenise
+
+
 def chunked(df: DataFrame, key: str, tokens: str, length: int, batch_rows: int = 1000) -> DataFrame:
     """(batch, chunk, tokens): the tokens of each batch of rows put together and cut to `length`.
 

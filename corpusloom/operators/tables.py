@@ -58,17 +58,36 @@ def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: s
     return left.join(right, [*keys, "__salt"], "left").drop("__salt")
 
 
+def ranged(df: DataFrame, *order: str | Column) -> DataFrame:
+    """df stored in range partitions of `order`, with __part and the place in it, __at; as many as shuffles have, more for large inputs."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // (128 << 20), 100_000))
+    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return stored(rows.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "ranged")
+
+
+def _carried(rows: DataFrame, total: Column) -> DataFrame:
+    """(__part, __before): the total of all partitions before each; one row per partition, a bound that doesn't grow with rows."""
+    sums = rows.groupBy("__part").agg(total.alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return sums.select("__part", before.alias("__before"))
+
+
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
     """df with its 0-based position in `order`, a total order.
 
     Rows are range-partitioned and sorted; a row's index is its place in its partition plus the rows of the partitions
     before. Only the counts of the partitions meet in one task.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    rows = stored(rows.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "indexed")
-    counts = rows.groupBy("__part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select("__part", before.alias("__before"))  # one row per partition: a bound that does not grow with rows
+    rows = ranged(df, *order)
+    counts = _carried(rows, F.count("*"))
     return rows.join(F.broadcast(counts), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
+
+
+def with_running_sum(df: DataFrame, value: str, *order: str | Column, name: str) -> DataFrame:
+    """df with the sum of `value` over all rows before in `order`, a total order; partitions as for with_row_index."""
+    rows = ranged(df, *order)
+    inside = F.sum(value).over(Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))
+    full = rows.withColumn(name, F.coalesce(inside, F.lit(0))).join(F.broadcast(_carried(rows, F.sum(value))), "__part")
+    return full.withColumn(name, F.col(name) + F.col("__before")).drop("__part", "__at", "__before")

@@ -5,7 +5,6 @@ words: stream, seq, start_ms, end_ms, word. turns: stream, turn, start_ms, end_m
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,40 +59,22 @@ def srt(parts: DataFrame) -> DataFrame:
     return parts.select("stream", "segment", lines.alias("lines"))
 
 
-def realign_labels(words: list[str], speakers: list[str], most: int) -> list[str]:
-    """Speakers after each sentence that a change of speaker splits is given to the one with most of its words.
-
-    A change inside a sentence is looked at from left to right, on labels as changed so far. The sentence is found by
-    going back over words of one speaker, and on within what is left of `most`; if either end isn't found, or the
-    largest share is below half, nothing changes. Ties go to the smaller label.
-    """
-    ends = [w[-1:] in SENTENCE_END and w != "" for w in words]
-    labels, n, k = list(speakers), len(words), 0
-    while k < n:
-        if k + 1 < n and labels[k] != labels[k + 1] and not ends[k]:
-            left = k
-            while left > 0 and k - left < most and labels[left - 1] == labels[left] and not ends[left - 1]:
-                left -= 1
-            opened = left == 0 or ends[left - 1]
-            stop = most + left - 1 if opened else k
-            right = next((i for i in range(k, min(n, stop)) if ends[i]), min(n, max(stop, k)))
-            closed = opened and (right == n - 1 or right < n and ends[right])
-            if closed:
-                span = labels[left : right + 1]
-                top = min(set(span), key=lambda s: (-span.count(s), s))
-                if span.count(top) >= len(span) // 2:
-                    labels[left : right + 1] = [top] * len(span)
-                    k = right
-        k += 1
-    return labels
-
-
 def realign(mapped: DataFrame, max_words: int = 50) -> DataFrame:
-    """mapped with speakers realigned to sentences; labels change as the loop goes on, so a stream is one group."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("seq").reset_index(drop=True)
-        return frame.assign(speaker=realign_labels(frame["word"].tolist(), frame["speaker"].tolist(), max_words))
+    """mapped with sentences that several speakers share given to the one with most of their words.
 
-    columns = mapped.select("stream", "seq", "start_ms", "end_ms", "word", "speaker")
-    return columns.groupBy("stream").applyInPandas(run, columns.schema)
+    A sentence runs to the next word that ends in terminal punctuation, and may have max_words words; what is left after
+    the last such word counts only at just that length. The largest share must be half or more, rounded down; ties go to
+    the smaller label. Sentences don't touch each other's labels, so a stream is no group of its own.
+    """
+    before = Window.partitionBy("stream").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.right("word", F.lit(1)).isin(*SENTENCE_END).cast("long")
+    rows = mapped.select("stream", "seq", "start_ms", "end_ms", "word", "speaker", ended.alias("ended"))
+    rows = rows.withColumn("sentence", F.coalesce(F.sum("ended").over(before), F.lit(0)))
+    whole = Window.partitionBy("stream", "sentence")
+    share = F.count("*").over(Window.partitionBy("stream", "sentence", "speaker"))
+    rows = rows.withColumn("share", share).withColumns({"size": F.count("*").over(whole), "closed": F.max("ended").over(whole), "top": F.min(F.struct((-F.col("share")).alias("less"), "speaker")).over(whole)})
+    shared = F.col("top.less") > -F.col("size")
+    fits = F.when(F.col("closed") == 1, F.col("size") <= max_words).otherwise(F.col("size") == max_words)
+    most = -F.col("top.less") >= F.floor(F.col("size") / 2)
+    speaker = F.when(shared & fits & most, F.col("top.speaker")).otherwise(F.col("speaker"))
+    return rows.select("stream", "seq", "start_ms", "end_ms", "word", speaker.alias("speaker"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as c
 from ..functions import stats as s
-from ..functions.language import SQL_PROFILE, language_profile
+from ..functions.language import PROFILES, SQL_PROFILE, confidences, language_profile, sql_confidences, top_language
 from ..functions.lines import LineRules, clean_lines
 from ..operators.tables import load, spread
 from .registry import query
@@ -184,6 +184,35 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("loaded"), F.count_if(F.col("clean_words") >= 20).alias("long_enough"), F.count_if(s.Gate().reason() == "kept").alias("kept"))
 
 
+PROFILED = sql_confidences("(SELECT doc_id, t FROM g)", "doc_id", "t")
+TARGET = s.Gate(language="en", confidence_above=0.65)
+
+
+@query("lang_confidences", f"SELECT doc_id, {', '.join(f'round({x}, 6) AS {x}' for x in PROFILES)}, label, round(confidence, 6) AS confidence FROM ({sql_confidences('documents', 'doc_id', 'text')})")
+def lang_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A confidence for every language of a text, and the best one's label."""
+    rows = _documents(spark, sf_dir, "text").select("doc_id", confidences(F.col("text")).alias("c"), top_language(F.col("text")).alias("top"))
+    return rows.select("doc_id", *(F.round(f"c.{x}", 6).alias(x) for x in PROFILES), "top.label", F.round("top.confidence", 6).alias("confidence"))
+
+
+def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cleaned() with lang and lang_confidence of the cleaned text; a detector of any model may give them instead."""
+    rows = cleaned(spark, sf_dir).select("*", F.inline(F.array(top_language(F.col("clean_text")))).alias("lang", "lang_confidence"))
+    return rows
+
+
+@query("language_gate", f"{STATS}, l AS ({PROFILED}) SELECT doc_id, label AS lang, round(confidence, 6) AS lang_confidence, clean_words FROM g JOIN l USING (doc_id) WHERE reason = 'kept' AND label = 'en' AND confidence > 0.65")
+def language_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole gate: words, ratios, language and its confidence, all bounds strict."""
+    rows = _identified(spark, sf_dir).where(TARGET.reason() == "kept")
+    return rows.select("doc_id", "lang", F.round("lang_confidence", 6).alias("lang_confidence"), "clean_words")
+
+
+@query("language_reject_reasons", f"{STATS}, l AS ({PROFILED}) SELECT CASE WHEN reason = 'kept' AND NOT (label = 'en' AND confidence > 0.65) THEN 'language' ELSE reason END AS reason, count(*) AS n FROM g JOIN l USING (doc_id) GROUP BY 1")
+def language_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _identified(spark, sf_dir).groupBy(TARGET.reason().alias("reason")).agg(F.count("*").alias("n"))
+
+
 @query("lang_fallback", SQL_PROFILE)
 def lang_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_profile(_documents(spark, sf_dir, "text"))

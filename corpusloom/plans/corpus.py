@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats as s
 from ..operators.image_text import SourceSpec, UnionConfig, padded_id, record, url_column
-from ..operators.tables import load, with_row_index
+from ..operators.tables import load, shared_path, with_row_index, with_running_sum
+from ..sources import sinks
 from .registry import query
 
 
@@ -33,8 +34,8 @@ def normalise_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.where("text <> ''").select("text", "meta.set_name", "meta.url")
 
 
-def union_config(spark: SparkSession, sf_dir: str, name: str = "all") -> UnionConfig:
-    """The driver tables as image-text sources; pages are the crawl that only has a training split."""
+def union_config(spark: SparkSession, sf_dir: str, name: str = "all", flags: frozenset[str] = frozenset()) -> UnionConfig:
+    """The driver tables as image-text sources; pages are the crawl that only has a training split, benchmark one behind a flag."""
 
     def part(df: DataFrame, key: str, split: str) -> DataFrame:
         return df.where(F.col(key) % 10 == 0 if split == "validation" else ~(F.col(key) % 10).eqNullSafe(0))
@@ -51,7 +52,12 @@ def union_config(spark: SparkSession, sf_dir: str, name: str = "all") -> UnionCo
     def conversations(split: str) -> DataFrame:
         return record(part(load(spark, sf_dir, "conversations"), "conv_id", split), "conversations", "text", meta=("conv_id", "turn", "role"))
 
-    return UnionConfig(name, [SourceSpec("documents", documents), SourceSpec("pages", pages, splits=("train",)), SourceSpec("conversations", conversations)])
+    def benchmark(split: str) -> DataFrame:
+        return record(load(spark, sf_dir, "benchmark"), "benchmark", "text", meta=("item_id",))
+
+    specs = [SourceSpec("documents", documents), SourceSpec("pages", pages, splits=("train",)), SourceSpec("conversations", conversations)]
+    specs.append(SourceSpec("benchmark", benchmark, splits=("train",), configs=(), flag="licensed"))
+    return UnionConfig(name, specs, flags)
 
 
 PAD = "CASE WHEN length(CAST(doc_id AS VARCHAR)) >= 12 THEN CAST(doc_id AS VARCHAR) ELSE lpad(CAST(doc_id AS VARCHAR), 12, '0') END"
@@ -89,6 +95,26 @@ def pmd_meta_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(m.alias("m"), "split").select("m.doc_id", "m.lang", F.col("m.source").alias("set_source"), "split")
 
 
+@query("pmd_flagged_source", "SELECT text, 'benchmark' AS source, CAST(item_id AS VARCHAR) AS item FROM benchmark")
+def pmd_flagged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that takes part under its own config and only with its flag."""
+    rows = union_config(spark, sf_dir, "benchmark", frozenset({"licensed"})).table("train")
+    return rows.select("text", "source", F.get_json_object("meta", "$.item_id").alias("item"))
+
+
+@query("pmd_meta_dates", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events")
+def pmd_meta_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in the JSON meta are text."""
+    rows = record(load(spark, sf_dir, "events"), "events", "event_type", meta=("event_id", "ts"))
+    m = F.from_json("meta", "event_id long, ts string")
+    return rows.select(m.alias("m")).select("m.event_id", F.substring("m.ts", 1, 19).alias("ts"))
+
+
+@query("not_missing_filter", "SELECT event_id, value FROM events WHERE value IS NOT NULL AND NOT isnan(value)")
+def not_missing_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events").where(s.not_missing(F.col("value"))).select("event_id", "value")
+
+
 @query("anti_invalid_ids", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def anti_invalid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     invalid = load(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
@@ -118,8 +144,9 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_id, doc_id, offset, nb): where a document's lines are in its file."""
     docs = load(spark, sf_dir, "documents").select((F.col("doc_id") % 4).alias("file_id"), "doc_id", F.size(F.split("text", "\n")).cast("long").alias("nb"))
-    before = F.sum("nb").over(Window.partitionBy("file_id").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
-    return docs.withColumn("offset", F.coalesce(before, F.lit(0)))
+    rows = with_running_sum(docs, "nb", "file_id", "doc_id", name="before")
+    first = rows.groupBy("file_id").agg(F.min("before").alias("first"))
+    return rows.join(first, "file_id").select("file_id", "doc_id", "nb", (F.col("before") - F.col("first")).alias("offset"))
 
 
 @query(
@@ -256,4 +283,6 @@ def set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("metrics_row", "SELECT count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents")
 def metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars"))
+    """Counts written as a one-row metrics file, and read again."""
+    sinks.write_metrics(load(spark, sf_dir, "documents").agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars")), path := shared_path(spark, "metrics"))
+    return spark.read.schema("rows long, chars long").json(path)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import stats as s
-from ..operators.tables import load, shared_path
-from ..sources import readers, sinks
+from ..operators.tables import load, shared_path, stored
+from ..sources import crawl, readers, sinks
 from ..streaming import ingest
 from .registry import query
 
@@ -27,8 +30,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tsv_roundtrip", "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(9), ' ') AS text, lang FROM documents")
 def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written in two batches that append."""
     flat = F.translate("text", "\n\t", "  ").alias("text")
-    sinks.write_tsv(_docs(spark, sf_dir).select("doc_id", flat, "lang"), path := shared_path(spark, "tsv"))
+    path, docs = shared_path(spark, "tsv"), _docs(spark, sf_dir).select("doc_id", flat, "lang")
+    for half in (0, 1):
+        sinks.write_tsv(docs.where(F.col("doc_id") % 2 == half), path)
     return readers.read_tsv(spark, path, "doc_id long, text string, lang string")
 
 
@@ -77,12 +83,65 @@ def file_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy(F.regexp_extract("file", "lang=([a-z]+)", 1).alias("lang")).agg(F.sum("lines").alias("lines"))
 
 
-@query("nested_json_document", "SELECT doc_id, turn, role FROM (SELECT conv_id AS doc_id, turn, role FROM conversations)")
+@query("nested_json_document", "SELECT conv_id AS doc_id, turn, role FROM conversations")
 def nested_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows gathered into documents of an array each, written and taken apart again."""
-    rows = load(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct(F.col("conv_id").alias("doc_id"), "turn", "role")).alias("images"))
-    sinks.write_nested(rows, path := shared_path(spark, "nested"))
-    return spark.read.schema("images array<struct<doc_id:long,turn:long,role:string>>").json(path).select(F.inline("images"))
+    """Rows gathered into whole-file documents of an array each, indented over many lines, and taken apart again."""
+    rows = load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", "role")
+    sinks.write_json_documents(rows, path := shared_path(spark, "nested"), "images")
+    return readers.read_json_document(spark, f"{path}/*", "images array<struct<doc_id:long,turn:long,role:string>>", "images")
+
+
+@query("tsv_gz_column", "SELECT source AS value, count(*) AS n FROM documents GROUP BY source")
+def tsv_gz_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third column of gzip TSV files, by position."""
+    _docs(spark, sf_dir).select("doc_id", "lang", "source", "n_chars").write.csv(path := shared_path(spark, "tsv-gz"), header=True, sep="\t", quote="", compression="gzip")
+    return readers.read_tsv_column(spark, path, 2).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query("literal_lines", "SELECT doc_id, lang, source FROM documents")
+def literal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that hold Python dicts."""
+    line = F.concat(F.lit("{'doc_id': "), "doc_id", F.lit(", 'lang': '"), "lang", F.lit("', 'source': \""), "source", F.lit('"}'))
+    _docs(spark, sf_dir).select(line.alias("value")).write.text(path := shared_path(spark, "literals"))
+    return readers.parse_literals(readers.read_lines(spark, path), StructType.fromDDL("doc_id long, lang string, source string"))
+
+
+@query("conllu_metadata", "SELECT doc_id, lang FROM documents")
+def conllu_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences' metadata of CoNLL-U files."""
+    sentence = F.concat(F.lit("# sent_id = "), "doc_id", F.lit("\n# lang = "), "lang", F.lit("\n1\tword\t_\n"))
+    _docs(spark, sf_dir).select(sentence.alias("value")).write.text(path := shared_path(spark, "conllu"))
+    meta = readers.read_conllu(spark, path)
+    return meta.select(F.col("metadata.sent_id").cast("long").alias("doc_id"), F.col("metadata.lang").alias("lang"))
+
+
+@query("file_discovery", "SELECT lang, 1 AS files FROM (SELECT DISTINCT lang FROM documents)")
+def file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text files below a folder, by the folder that they are in."""
+    path = shared_path(spark, "tree")
+    _docs(spark, sf_dir).select("lang", F.lit("x").alias("value")).distinct().repartition("lang").write.partitionBy("lang").text(path)
+    found = readers.list_files(spark, path, "*.txt")
+    return found.groupBy(F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang")).agg(F.count("*").cast("int").alias("files"))
+
+
+@query("keyed_upsert", "SELECT doc_id % 50 AS k, max(doc_id // 50) AS round FROM documents GROUP BY 1")
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that arrive one after another into a keyed store; the last row of a key counts."""
+    root = shared_path(spark, "upsert")
+    rounds = F.floor(F.col("doc_id") / 50)
+    rows = _docs(spark, sf_dir).groupBy((F.col("doc_id") % 50).alias("k")).agg(F.array(F.min(rounds), F.max(rounds)).alias("rounds"))
+    rows = rows.select("k", F.posexplode("rounds").alias("step", "round"))
+    for step in (0, 1):
+        rows.where(F.col("step") == step).select("k", "round").coalesce(1).write.mode("append").parquet(f"{root}/in{step}")
+        ingest.upsert_each(ingest.incoming(spark, f"{root}/in{step}", "k long, round long"), lambda b, n, at=step: sinks.upsert_into(f"{root}/store")(b, 1000 * at + n), f"{root}/state{step}")
+    return readers.read_latest(spark, f"{root}/store", "k long, round long", "k")
+
+
+@query("config_checked_scan", "SELECT doc_id, lang FROM documents")
+def config_checked_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files named by a configuration that checks their kinds."""
+    sinks.write_jsonl(_docs(spark, sf_dir).select("doc_id", "lang"), path := f"{shared_path(spark, 'config')}.json")
+    return readers.InputConfig(train=path).read(spark, "train", "doc_id long, lang string")
 
 
 @query("escaped_csv_lines", """SELECT item_id, '"' || item_id || '","' || replace(text, '"', '\\"') || '"' AS line FROM benchmark""")
@@ -102,12 +161,44 @@ def sql_dump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.sql_tuples(lines, 50).select("line_no", F.get("values", F.lit(0)).alias("first"), F.get("values", F.lit(1)).alias("second"))
 
 
-SHARDS = {"tiny": 1, "small": 4, "medium": 16, "large": 64, "full": 1016}
+# Shards of each size by split, and the shards that there are.
+SHARDS = {
+    "tiny": {"train": 100, "validation": 1},
+    "small": {"train": 250, "validation": 2},
+    "medium": {"train": 500, "validation": 4},
+    "large": {"train": 750, "validation": 6},
+    "full": {"train": 1016, "validation": 8},
+}
+TOTAL = {"train": 1024, "validation": 8}
+SHARD_URL = "https://data.example/corpus%s.part-%05d-of-%05d.json.gz"
+_SHARD_SQL = " UNION ALL ".join(
+    f"SELECT '{size}' AS size, '{split}' AS split, 'https://data.example/corpus{'' if split == 'train' else '-validation'}.part-' || lpad(CAST(range AS VARCHAR), 5, '0') || '-of-{TOTAL[split]:05d}.json.gz' AS url FROM range({n})"
+    for size, splits in SHARDS.items()
+    for split, n in splits.items()
+)
 
 
-@query("shard_urls", "SELECT 'https://data.example/c4-id.tfrecord-' || lpad(CAST(range AS VARCHAR), 5, '0') || '-of-' || lpad('16', 5, '0') || '.json.gz' AS url FROM range(16)")
+@query("shard_urls", _SHARD_SQL)
 def shard_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.shard_urls(spark, "https://data.example/c4-id.tfrecord-%05d-of-%05d.json.gz", "medium", SHARDS)
+    """Every size's shards of both splits."""
+    parts = [readers.shard_urls(spark, SHARD_URL, split, n, TOTAL[split]).withColumn("size", F.lit(size)) for size, splits in SHARDS.items() for split, n in splits.items()]
+    return reduce(DataFrame.unionByName, parts).select("size", "split", "url")
+
+
+@query("crawl_paging", "SELECT source, doc_id % 3 AS page, 'https://news.example/read/' || doc_id AS link FROM documents WHERE doc_id % 3 IN (0, 1, 2)")
+def crawl_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings followed from page to page; sources stand for topics, with three pages of links each."""
+    page = (F.col("doc_id") % 3).alias("page")
+    anchor = F.concat(F.lit('<h3><a class="article__link" href="https://news.example/read/'), "doc_id", F.lit('">x</a></h3>'))
+    listed = _docs(spark, sf_dir).groupBy("source", page).agg(F.array_join(F.collect_list(anchor), "").alias("links"))
+
+    def address(n: Column) -> Column:
+        return F.concat(F.lit("https://news.example/"), "source", F.lit("?page="), n)
+
+    following = F.when(F.col("page") < 2, F.concat(F.lit('<a class="paging__link paging__link--next" href="'), address(F.col("page") + 1), F.lit('">Next</a>'))).otherwise("")
+    pages = stored(listed.select(address(F.col("page")).alias("url"), F.concat("links", following).alias("html")), "pages")
+    seeds = _docs(spark, sf_dir).select("source").distinct().select("source", address(F.lit(0)).alias("url"))
+    return crawl.follow(seeds, pages).select("source", F.col("round").cast("long").alias("page"), "link")
 
 
 DISTINCT = r"SELECT DISTINCT md5(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS hash FROM documents"

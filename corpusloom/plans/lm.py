@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,32 @@ def tokenise_truncate_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.select("doc_id", "line_no", padded.alias("tokens"), F.least(F.size("k"), F.lit(MAX_LENGTH)).cast("long").alias("n_tokens"))
 
 
+@query(
+    "tokenise_special_mask",
+    rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+    t AS (SELECT doc_id, line_no, list_filter(string_split_regex(line, '\s+'), lambda x: x <> '')[1:{MAX_LENGTH - 2}] AS k FROM l WHERE trim(line) <> '')
+    SELECT doc_id, line_no, md5('[CLS] ' || array_to_string(list_concat(k, ['[SEP]'], list_transform(range({MAX_LENGTH - 2} - len(k)), lambda i: '[PAD]')), ' ')) AS digest,
+    {MAX_LENGTH} - len(k) AS n_special FROM t""",
+)
+def tokenise_special_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as rows of MAX_LENGTH tokens with marks, and the mask of what is no text."""
+    lines = load(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+    rows = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.inline(F.array(lm.with_specials(lm.words(F.col("line")), MAX_LENGTH))).alias("tokens", "special"))
+    return rows.select("doc_id", "line_no", F.md5(F.array_join("tokens", " ")).alias("digest"), F.aggregate("special", F.lit(0), lambda a, x: a + x).cast("long").alias("n_special"))
+
+
+@query("tokenise_whole_text", f"SELECT doc_id, md5(array_to_string(list_concat(['[CLS]'], {WORDS}, ['[SEP]']), ' ')) AS digest, len({WORDS}) + 2 AS n_tokens FROM documents")
+def tokenise_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text whole, for concatenation and chunks later; the tokeniser is any model's, here one that splits at blanks."""
+    tokens = lm.tokeniser(_splitting)(F.col("text"))
+    rows = load(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", tokens.alias("k")).select("doc_id", lm.with_specials(F.col("k"))["tokens"].alias("tokens"))
+    return rows.select("doc_id", F.md5(F.array_join("tokens", " ")).alias("digest"), F.size("tokens").cast("long").alias("n_tokens"))
+
+
+def _splitting() -> object:
+    return lambda texts: [re.findall(r"[^ \t\n\r\f\v]+", t) for t in texts]
+
+
 @query(
     "mask_tokens",
     f"""WITH t AS (SELECT doc_id, unnest({WORDS}) AS token, generate_subscripts({WORDS}, 1) - 1 AS i FROM documents)
@@ -81,8 +109,9 @@ def _lower() -> object:
     return lambda texts: [t.lower() for t in texts]
 
 
-@query("translate_stub", "SELECT conv_id, turn, lower(text) AS translated FROM conversations")
+@query("translate_stub", "SELECT conv_id, turn, lower(text) AS translated, lower(role || ': ' || text) AS original FROM conversations")
 def translate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batched model interface with a stand-in model over whole texts; keys pass through. A limit in tokens is the loaded model's."""
+    """The batched model interface with a stand-in model over two columns of whole texts; keys pass through. A limit in tokens is the loaded model's."""
     translate = lm.translator(_lower, batch=256)
-    return load(spark, sf_dir, "conversations").select("conv_id", "turn", translate(F.col("text")).alias("translated"))
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.concat_ws(": ", "role", "text").alias("original"))
+    return rows.select("conv_id", "turn", translate(F.col("text")).alias("translated"), translate(F.col("original")).alias("original"))

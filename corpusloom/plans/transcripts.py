@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import transcripts as t
-from ..operators.tables import load, stored
+from ..operators.tables import load, shared_path, stored
+from ..sources import readers, sinks
 from .registry import query
 
 
@@ -28,6 +29,13 @@ def recordings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return spoken, stored(ends.join(roles, ["stream", "turn"]), "turns")
 
 
+_AT = {"start": "wd.start_ms", "mid": "(wd.start_ms + wd.end_ms) / 2", "end": "wd.end_ms"}
+
+
+def _base(option: str = "start") -> str:
+    return BASE.replace("ts.end_ms >= wd.start_ms", f"ts.end_ms >= {_AT[option]}")
+
+
 BASE = """w0 AS (SELECT conv_id AS stream, turn, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word, generate_subscripts(string_split(replace(text, chr(10), ' '), ' '), 1) AS i FROM conversations),
 w AS (SELECT stream, turn, word, row_number() OVER (PARTITION BY stream ORDER BY turn, i) - 1 AS seq FROM w0),
 wd AS (SELECT *, seq * 300 AS start_ms, seq * 300 + 250 AS end_ms FROM w),
@@ -42,8 +50,8 @@ sg AS (SELECT stream, CAST(segment AS BIGINT) AS segment, 'Speaker ' || any_valu
   UNION ALL SELECT stream, 0, 'Speaker ' || sp0, s0, e0, '' FROM f WHERE stream NOT IN (SELECT stream FROM gr WHERE segment = 0))"""
 
 
-def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.map_speakers(*recordings(spark, sf_dir))
+def mapped(spark: SparkSession, sf_dir: str, option: str = "start") -> DataFrame:
+    return t.map_speakers(*recordings(spark, sf_dir), option)
 
 
 @query("word_speaker_map", f"WITH {BASE} SELECT stream, seq, start_ms, end_ms, word, speaker FROM mp")
@@ -51,6 +59,18 @@ def word_speaker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(spark, sf_dir)
 
 
+@query("word_speaker_map_mid", f"WITH {_base('mid')} SELECT stream, seq, start_ms, end_ms, word, speaker FROM mp")
+def word_speaker_map_mid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words by the middle of their time."""
+    return mapped(spark, sf_dir, "mid")
+
+
+@query("word_speaker_map_end", f"WITH {_base('end')} SELECT stream, seq, start_ms, end_ms, word, speaker FROM mp")
+def word_speaker_map_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words by the end of their time."""
+    return mapped(spark, sf_dir, "end")
+
+
 @query("speaker_segments", f"WITH {BASE} SELECT * FROM sg")
 def speaker_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoken, turns = recordings(spark, sf_dir)
@@ -76,11 +96,29 @@ def transcript_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("stream").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "").alias("transcript"))
 
 
-@query("realign_speakers")
+@query(
+    "realign_speakers",
+    f"""WITH {BASE}, sn AS (SELECT *, coalesce(sum(e) OVER (PARTITION BY stream ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence
+      FROM (SELECT *, CASE WHEN right(word, 1) IN ('.', '?', '!') THEN 1 ELSE 0 END AS e FROM mp)),
+    sc AS (SELECT stream, sentence, speaker, count(*) AS n FROM sn GROUP BY ALL), sl AS (SELECT stream, sentence, count(*) AS l, max(e) AS e, count(DISTINCT speaker) AS d FROM sn GROUP BY ALL),
+    tp AS (SELECT stream, sentence, speaker AS top, n FROM (SELECT *, row_number() OVER (PARTITION BY stream, sentence ORDER BY n DESC, speaker) AS rn FROM sc) WHERE rn = 1)
+    SELECT stream, seq, start_ms, end_ms, word, CASE WHEN d > 1 AND (sl.e = 1 AND l <= 50 OR sl.e = 0 AND l = 50) AND n >= l // 2 THEN top ELSE speaker END AS speaker
+    FROM sn JOIN sl USING (stream, sentence) JOIN tp USING (stream, sentence)""",
+)
 def realign_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.realign(mapped(spark, sf_dir))
 
 
+@query(
+    "srt_file",
+    f"WITH {BASE}, ln AS (SELECT unnest(string_split((segment + 1) || chr(10) || {_clock('start_ms')} || ' --> ' || {_clock('end_ms')} || chr(10) || speaker || ': ' || replace(trim(text), '-->', '->') || chr(10), chr(10))) AS line FROM sg) SELECT count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM ln",
+)
+def srt_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subtitles of all recordings written as text in order, and what the files hold."""
+    sinks.write_text(srt_lines(spark, sf_dir), path := shared_path(spark, "srt"), "lines", "stream", "segment")
+    return readers.read_lines(spark, path).agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
+
+
 @query(
     "speaker_changes",
     f"WITH {BASE}, n AS (SELECT *, lag(speaker) OVER (PARTITION BY stream ORDER BY seq) AS before, lead(speaker) OVER (PARTITION BY stream ORDER BY seq) AS after FROM mp) SELECT stream, seq, before, speaker, after FROM n WHERE speaker <> after AND right(word, 1) NOT IN ('.', '?', '!')",

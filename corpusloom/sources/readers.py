@@ -12,6 +12,7 @@ import json
 import lzma
 import tarfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,19 @@ def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, sep="\t", quote="")
 
 
+def read_tsv_column(spark: SparkSession, path: str, position: int, header: bool = True) -> DataFrame:
+    """One column of TSV files, plain or gzip, by its position from 0, without a schema."""
+    rows = spark.read.csv(path, header=header, sep="\t", quote="", schema=", ".join(f"c{i} string" for i in range(position + 1)), enforceSchema=True)
+    return rows.select(F.col(f"c{position}").alias("value"))
+
+
+def read_latest(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """The last row of every key of a store that sinks.upsert_into wrote."""
+    rows = spark.read.schema(f"{schema}, batch long").parquet(path)
+    kept = [c for c in rows.columns if c != "batch"]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*kept), "batch").alias("x")).select("x.*")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line) of text files."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
@@ -59,10 +73,10 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return df.select("path", "length")
 
 
-def shard_urls(spark: SparkSession, template: str, size: str, shards: dict[str, int]) -> DataFrame:
-    """URLs of a sharded dataset: the template with the shard number and the number of shards."""
-    n = shards[size]
-    return spark.range(n).select(F.format_string(template, F.col("id"), F.lit(n)).alias("url"))
+def shard_urls(spark: SparkSession, template: str, split: str, first: int, total: int) -> DataFrame:
+    """(split, url) of the first shards of a dataset; the template takes the split's suffix, the number and the total."""
+    suffix = "" if split == "train" else f"-{split}"
+    return spark.range(first).select(F.lit(split).alias("split"), F.format_string(template, F.lit(suffix), F.col("id"), F.lit(total)).alias("url"))
 
 
 def parse_literals(lines: DataFrame, schema: StructType) -> DataFrame:
@@ -161,3 +175,33 @@ def anchors_of(html: Column, class_name: str) -> Column:
     """Hrefs of anchors of a class, in order."""
     tag = F.regexp_extract_all(html, F.lit(rf'<a\b[^>]*class="[^"]*\b{class_name}\b[^"]*"[^>]*>'), F.lit(0))
     return F.transform(tag, lambda t: F.regexp_extract(t, 'href="([^"]*)"', 1))
+
+
+@dataclass(frozen=True)
+class InputConfig:
+    """Files of a job by split; only kinds that there is a reader for are taken."""
+
+    train: str | None = None
+    validation: str | None = None
+    kinds: tuple[str, ...] = ("csv", "json", "txt")
+
+    def __post_init__(self) -> None:
+        if self.train is None and self.validation is None:
+            raise ValueError("a training or a validation file is needed")
+        for split, path in (("train", self.train), ("validation", self.validation)):
+            if path is not None and path.rstrip("/").rsplit(".", 1)[-1] not in self.kinds:
+                raise ValueError(f"the {split} file should be one of {', '.join(self.kinds)}: {path}")
+
+    def read(self, spark: SparkSession, split: str, schema: str) -> DataFrame:
+        path = {"train": self.train, "validation": self.validation}[split]
+        if path is None:
+            raise ValueError(f"no {split} file")
+        kind = path.rstrip("/").rsplit(".", 1)[-1]
+        if kind == "csv":
+            return read_csv(spark, path, schema)
+        return read_jsonl(spark, path, schema) if kind == "json" else read_lines(spark, path).select(F.col("line").alias("text"))
+
+
+def text_column(df: DataFrame) -> str:
+    """`text` where there is one, else the first column."""
+    return "text" if "text" in df.columns else df.columns[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ def write_nested(df: DataFrame, path: str) -> None:
 
 
 def write_text(df: DataFrame, path: str, line: str, *order: str) -> None:
-    """One text file in order; for transcripts of one recording, which one task holds by nature."""
-    df.orderBy(*order).select(line).coalesce(1).write.text(path)
+    """Text files in order: the part files one after another are the whole."""
+    df.orderBy(*order).select(line).write.text(path)
 
 
 def escaped_csv_line(*columns: str):
@@ -47,6 +49,27 @@ def escaped_csv_line(*columns: str):
     return F.concat_ws(",", *(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('\\"')), F.lit('"')) for c in columns))
 
 
+def write_json_documents(df: DataFrame, path: str, field: str, rows: int = 5000) -> None:
+    """Whole-file JSON documents, indented, each an object with an array `field` of about `rows` rows of df."""
+    n = max(1, -(-df.count() // rows))
+    columns = F.struct(*df.columns)
+    dealt = df.select(F.pmod(F.xxhash64(columns), F.lit(n)).cast("int").alias("document"), columns.alias("row"))
+    documents = dealt.groupBy("document").agg(F.to_json(F.struct(F.collect_list("row").alias(field)), {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
+    documents.repartition(n, "document").write.partitionBy("document").text(path)
+
+
+def upsert_into(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch function for a keyed store of files: each batch is a folder of its own, which a repeated batch replaces.
+
+    readers.read_latest gives every key's last row; no batch rewrites what others wrote.
+    """
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return upsert
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """A one-row JSON file."""
     df.coalesce(1).write.json(path)

@@ -7,15 +7,16 @@ import json
 import lzma
 import random
 import tarfile
-from collections import defaultdict
+from collections import Counter, defaultdict
+from datetime import datetime
 
 import numpy as np
 import pytest
 import zstandard
 from corpusloom.operators import lm, lsh, transcripts
 from corpusloom.operators.image_text import SourceSpec, UnionConfig, record
-from corpusloom.operators.tables import with_row_index
-from corpusloom.sources import readers, sinks
+from corpusloom.operators.tables import with_row_index, with_running_sum
+from corpusloom.sources import crawl, readers, sinks
 from corpusloom.streaming import ingest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -171,18 +172,103 @@ def test_first_word_of_another_speaker(spark):
 
 
 @pytest.mark.parametrize(
-    ("text", "before", "after"),
+    ("text", "before", "after", "limit"),
     [
-        ("we go home. now", "AABB", "AAAB"),  # a sentence split near its end goes to the majority
-        ("no end at all", "AABB", "AABB"),
-        ("I am here. You are there.", "ABBBBB", "BBBBBB"),
-        ("a b c. d", "AABA", "AAAA"),
-        ("one two. three four.", "AABB", "AABB"),  # a change at a sentence end stays
+        ("we go home. now", "AABB", "AAAB", 50),  # a sentence split near its end goes to the majority
+        ("no end at all", "AABB", "AABB", 50),  # what has no end is left, but for just the limit's length
+        ("no end at all", "AABB", "AAAA", 4),
+        ("I am here. You are there.", "ABBBBB", "BBBBBB", 50),
+        ("a b c. d", "AABA", "AAAA", 50),
+        ("one two. three four.", "AABB", "AABB", 50),  # a change at a sentence end stays
+        ("a b c d.", "AABB", "AABB", 3),  # longer than the limit
+        ("a b c d e.", "ABCDE", "ABCDE", 50),  # the largest share is below half
     ],
 )
-def test_realignment(text, before, after):
-    got = "".join(transcripts.realign_labels(text.split(), list(before), 50))
-    assert got == after or text == "no end at all" and got in ("AABB", "AAAA")
+def test_realignment(spark, text, before, after, limit):
+    words = text.split()
+    df = spark.createDataFrame([(s, i, i, i, w, before[i]) for s in (1, 2) for i, w in enumerate(words)], f"{WORD}, speaker string")
+    got = transcripts.realign(df, limit).orderBy("stream", "seq").collect()
+    assert "".join(r.speaker for r in got) == after * 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_realignment_by_sentences(spark, seed):
+    rng = random.Random(seed)
+    rows = [(s, i, i, i, rng.choice(["a", "b", "c.", "d", "e!", ""]), rng.choice("AAB")) for s in range(30) for i in range(rng.randint(0, 25))]
+    want = []
+    for s in range(30):
+        sentence = []
+        mine = [r for r in rows if r[0] == s]
+        for r in mine:
+            sentence.append(r)
+            closed = r[4][-1:] in (".", "!")
+            if closed or r is mine[-1]:
+                tally = Counter(x[5] for x in sentence)
+                top, n = min(tally.items(), key=lambda t: (-t[1], t[0]))
+                moved = len(tally) > 1 and n >= len(sentence) // 2 and (len(sentence) <= 6 if closed else len(sentence) == 6)
+                want += [top if moved else x[5] for x in sentence]
+                sentence = []
+    got = transcripts.realign(spark.createDataFrame(rows, f"{WORD}, speaker string"), 6).orderBy("stream", "seq").collect()
+    assert [r.speaker for r in got] == want
+
+
+def test_anchor_options(spark):
+    words = spark.createDataFrame([(1, 0, 0, 100, "a"), (1, 1, 100, 300, "b"), (1, 2, 300, 340, "c")], WORD)
+    turns = spark.createDataFrame([(1, 0, 0, 150, "A"), (1, 1, 150, 320, "B"), (1, 2, 320, 330, "C")], TURN)
+    got = {o: "".join(r.speaker for r in transcripts.map_speakers(words, turns, o).orderBy("seq").collect()) for o in ("start", "mid", "end")}
+    assert got == {"start": "AAB", "mid": "ABB", "end": "ABC"}
+
+
+def test_running_sum(spark):
+    df = spark.range(500).select("id", ((F.col("id") * 7919) % 13).alias("v"), F.md5(F.col("id").cast("string")).alias("k"))
+    got = {r.id: r.before for r in with_running_sum(df, "v", "k", name="before").collect()}
+    total, want = 0, {}
+    for r in sorted(df.collect(), key=lambda r: r.k):
+        want[r.id] = total
+        total += r.v
+    assert got == want
+
+
+def test_flags_and_json_values(spark):
+    df = spark.createDataFrame([(1, "x", datetime(2024, 1, 2, 3, 4, 5), bytearray(b"b"))], "id long, text string, at timestamp, raw binary")
+    flagged = UnionConfig("f", [SourceSpec("f", lambda s: record(df, "f", "text", meta=("id", "at")), configs=(), flag="on")], frozenset({"on"}))
+    assert json.loads(flagged.table("train").collect()[0].meta) == {"id": 1, "at": "2024-01-02 03:04:05"}
+    with pytest.raises(ValueError):
+        UnionConfig("f", flagged.sources).table("train")
+    with pytest.raises(TypeError):
+        record(df, "f", "text", meta=("raw",))
+
+
+def test_input_config(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    config = readers.InputConfig(train=str(tmp_path / "a.txt"))
+    assert sorted(r.text for r in config.read(spark, "train", "text string").collect()) == ["one", "two"] and readers.text_column(spark.range(1)) == "id"
+    for wrong in ({}, {"train": "x.parquet"}, {"validation": "x"}):
+        with pytest.raises(ValueError):
+            readers.InputConfig(**wrong)
+    with pytest.raises(ValueError):
+        config.read(spark, "validation", "text string")
+
+
+def test_patience():
+    waits, answers = [], [ConnectionError(), ConnectionError(), "page"]
+
+    def fetch(url):
+        got = answers.pop(0)
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    assert crawl.patiently(fetch, sleep=waits.append)("u") == "page" and waits == [10.0, 15.0]
+    answers[:] = [ConnectionError()] * 3
+    with pytest.raises(ConnectionError):
+        crawl.patiently(fetch, tries=3, sleep=waits.append)("u")
+
+
+def test_next_page(spark):
+    html = ['<a class="paging__link paging__link--next" href="/2">Next</a>', '<a href="/3" class="paging__link--next">Next page</a>', '<a class="paging__link--next" href="/4">Last</a>', "", None]
+    df = spark.createDataFrame(list(enumerate(html)), "id long, h string")
+    assert [r.n for r in df.orderBy("id").select(crawl.next_page(F.col("h")).alias("n")).collect()] == ["/2", "/3", None, None, None]
 
 
 def test_chunks(spark):

@@ -11,9 +11,9 @@ def write(spark, folder, table, rows, schema):
 
 def test_translate_whole_texts(spark, folder):
     texts = ["A" * 64 + "B" * 200, "Short", "C" * 65]
-    write(spark, folder, "conversations", [(i, 0, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string")
-    got = {r["conv_id"]: r["translated"] for r in catalog.queries()["translate_stub"](spark, folder).collect()}
-    assert got == {i: t.lower() for i, t in enumerate(texts)}
+    write(spark, folder, "conversations", [(i, 0, "User", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    got = {r["conv_id"]: (r["translated"], r["original"]) for r in catalog.queries()["translate_stub"](spark, folder).collect()}
+    assert got == {i: (t.lower(), f"user: {t.lower()}") for i, t in enumerate(texts)}
 
 
 def write_union(spark, folder, pages=()):
