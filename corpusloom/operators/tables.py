@@ -25,7 +25,18 @@ def spread(df: DataFrame, key: str, split_bytes: int = 128 << 20) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_root(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{shared_root(spark)}/corpusloom/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; results that read them must have been written by then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_root(spark: SparkSession) -> str:

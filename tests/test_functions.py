@@ -1,13 +1,11 @@
 """Cleaning, statistics and line rules against hand-made rows and a plain restatement."""
 
-import html
 import random
 import re
-import string
 import time
-import unicodedata
 
 import pytest
+from brute import restated
 from corpusloom.functions import cleaning, lines, stats
 from corpusloom.operators.image_text import padded_id
 from pyspark.sql import functions as F
@@ -32,25 +30,6 @@ TEXTS = [
 ]
 
 
-def restated(text: str) -> str:
-    for a, b in cleaning.MARKUP:
-        text = text.replace(a, b)
-    text = html.unescape(text)
-    text = re.sub(r"[\r\n\t]+", ".", text)
-    text = "".join(ch for ch in text if not unicodedata.category(ch).startswith("C"))
-    text = text.translate(str.maketrans(cleaning.PUNCTUATION_FROM, cleaning.PUNCTUATION_TO))
-    text = re.sub(f"[^{cleaning.KEPT}]", " ", text)
-    text = re.sub(cleaning.NEWS_TAGS, "", text)
-    text = re.sub(cleaning.URL, "", re.sub(cleaning.ANCHORS, "", text))
-    if "@" in text:
-        text = re.sub(r"(^|[^@\w])@(\w{1,15})\b", "", text.replace("@<user>", ""))
-        text = " ".join("".join(text.split()))
-    text = re.sub(r"\b(\w+)( \1\b)+", r"\1", text)
-    for p in string.punctuation:
-        text = re.sub(f"{re.escape(p)}+", lambda m: m[0][0], text)
-    return " ".join(text.split())
-
-
 def column(spark, texts, *columns):
     rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").select("id", *columns).orderBy("id").collect()
     return [tuple(r)[1:] if len(columns) > 1 else r[1] for r in rows]

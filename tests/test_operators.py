@@ -1,7 +1,6 @@
 """Clusters, transcripts, language-model rows, positions, files and streams."""
 
 import gzip
-import hashlib
 import io
 import json
 import lzma
@@ -10,9 +9,9 @@ import tarfile
 from collections import Counter, defaultdict
 from datetime import datetime
 
-import numpy as np
 import pytest
 import zstandard
+from brute import brute_pairs, sequential
 from corpusloom.operators import lm, lsh, transcripts
 from corpusloom.operators.image_text import SourceSpec, UnionConfig, record
 from corpusloom.operators.tables import with_row_index, with_running_sum
@@ -28,44 +27,6 @@ def test_row_index(spark):
     assert sorted(got) == [(k, i) for i, k in enumerate(sorted(k for k, _ in got))]
 
 
-def sequential(tokens, pairs, threshold):
-    """Clusters by inserting documents one by one."""
-    clusters = {}
-    for i in sorted(tokens):
-        near = sorted(a for a, b in pairs if b == i)
-        for a in near:
-            if a in clusters:
-                clusters[a].append(i)
-                break
-        else:
-            if near:
-                clusters[near[0]] = [near[0], i]
-    out = set()
-    for base, members in clusters.items():
-        extremes = {}
-        for i in members:
-            for x in extremes:
-                if len(tokens[x] & tokens[i]) / len(tokens[x] | tokens[i]) >= threshold:
-                    extremes[x] += 1
-                    break
-            else:
-                extremes[i] = 1
-        out |= {(base, i, i in extremes, extremes.get(i)) for i in members}
-    return out
-
-
-def brute_pairs(tokens, counts, config):
-    """All pairs (a, b), a < b, that share a band, by plain arithmetic."""
-    buckets = defaultdict(set)
-    for i, words in tokens.items():
-        if counts[i] >= config.min_tokens and words:
-            h = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words], dtype=object)
-            slots = [int(min((m * h + c) % lsh.PRIME)) for m, c in map(lsh.permutation, range(config.slots))]
-            for band in range(config.bands):
-                buckets[band, *slots[band * config.rows : (band + 1) * config.rows]].add(i)
-    return {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b}
-
-
 def varied_copies(seed):
     """Texts with copies, and edits in which candidates are partly similar, in mixed order."""
     rng = random.Random(seed)
