@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,20 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.tables import salted_join, shared_root, with_row_index  # noqa: F401
+from ..operators.tables import salted_join, shared_root, stored, with_row_index  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+materialize = stored  # a Parquet table in the shared folder: cuts lineage, survives lost executors
 
 
 def with_uid(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:

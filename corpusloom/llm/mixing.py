@@ -48,7 +48,8 @@ def sizes(documents: DataFrame) -> DataFrame:
 
 
 def targets(sources: DataFrame, config: MixConfig) -> DataFrame:
-    """sources: source, source_size -> with target. A window over the table of sources, not over documents.
+    """sources: source, source_size -> with target. A window over the table of sources, not over documents: a few dozen
+    bytes for each, so that millions of sources fit the one task.
 
     Resharing settles in one pass: weights w and caps most * size mean a target of min(cap, w * level) with one level for
     all, and sources fill up in the order of cap / w; the level follows from running sums in that order.

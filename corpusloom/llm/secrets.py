@@ -114,7 +114,7 @@ def addressed(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 class BlobLedger:
-    """The table of what has been scanned: blob, rules (keys), findings."""
+    """The table of what has been scanned: blob, rules (keys), findings. A path keeps it from run to run."""
 
     schema = f"blob string, rules array<string>, findings {SPANS}"
 
@@ -176,9 +176,9 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
 
 
-def redact(documents: DataFrame, mask: str = "[SECRET]") -> DataFrame:
+def redact(documents: DataFrame, mask: str = "[SECRET]", ledger: BlobLedger | None = None) -> DataFrame:
     """documents with the text of every finding replaced by `mask`; all columns and rows kept, null texts stay null."""
-    ledger = BlobLedger(documents.sparkSession)
+    ledger = ledger or BlobLedger(documents.sparkSession)
     ledger.update(addressed(documents.select(F.col("doc_id").cast("long"), "text")))
     first = F.struct(F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("reach"), F.array().cast("array<struct<from:long,to:long>>").alias("kept"))
 
@@ -196,8 +196,9 @@ def redact(documents: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     return whole.select(*(text.alias("text") if c == "text" else F.col(c) for c in documents.columns))
 
 
-def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(common.table(spark, sf_dir, "documents"))
+def op10_secret_ledger(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """`ledger`: the path of a ledger that earlier runs filled; without one, a new ledger is begun."""
+    found = find_secrets(common.table(spark, sf_dir, "documents"), ledger=BlobLedger(spark, ledger))
     base = [r.name for r in BASE_RULES]
 
     def count(kind: str) -> Column:
