@@ -2,13 +2,17 @@
 
 A byte goes if a `length`-byte string that covers it also starts earlier (smaller id, or earlier in the same text).
 
+A transform over a whole corpus can't be built in bounded memory. As in prefix-free parsing, the corpus is cut into
+overlapping phrases at places that the bytes alone decide, equal phrases are one entry of a dictionary, and only the
+dictionary's repetitive part is transformed; a later occurrence of an entry matches in full.
+
 1. Later exact copies of a whole text are settled by their SHA-256.
 2. Every `length`-byte window has an anchor: the `gram`-byte gram of least hash in it, leftmost if equal. Equal windows
    have equal anchors, so only windows whose anchor gram occurs twice can repeat. An anchor's windows are one stretch of
    starts; the bytes of that stretch are the anchor's context.
-3. Occurrences with equal contexts (two independent hashes of 64 and 61 bits, one modulo a prime) form a class; all but
-   the earliest one are covered whole. What remains is the repetitive, varied part: the earliest context of each class
-   of the grams that have several.
+3. Contexts are the phrases. Occurrences with equal contexts (two independent hashes of 64 and 61 bits, one modulo a
+   prime) form a class, an entry of the dictionary; all but the earliest one are covered whole. What remains is the
+   repetitive, varied part: the earliest context of each class of the grams that have several.
 4. These contexts are dealt by gram into bounded blocks. A block is indexed: suffix array, Burrows-Wheeler transform,
    its runs, and match lengths sampled at run starts (inside a run they follow from the suffix before). The sampled
    lengths are streamed in text order as matching statistics; suffixes that share `length` bytes form intervals, and
