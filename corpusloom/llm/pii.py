@@ -180,6 +180,8 @@ class Graph:
                 alike.setdefault(key, []).append(node)
             before = i
         for (kind, _), nodes in alike.items():
+            if kind and len({text[slice(*self.span[n])].lower() for n in nodes}) == 1:
+                continue  # the same token again: linked as that
             if len(nodes) == 2:
                 self.edges.append((*nodes, 1 + kind))
             elif len(nodes) > 2:
@@ -227,7 +229,8 @@ def with_broken(text: str, base: list[tuple[int, int, int]], rng: np.random.Gene
         mention = broken(text[s:e], kind, rng)
         number = str(rng.integers(10 ** (TAIL - 1), 10 ** rng.integers(TAIL, 13)))
         if not base_spans(mention) and not base_spans(number):
-            for piece, label in ((mention, kind), (number, OTHER)) if rng.random() < 0.5 else ((number, OTHER), (mention, kind)):
+            pieces = [(mention, kind)] * (1 + (rng.random() < 0.2)) + [(number, OTHER)] * (1 + (rng.random() < 0.5))
+            for piece, label in (pieces[i] for i in rng.permutation(len(pieces))):
                 out += " and "  # apart, so that neither continues the other
                 spans.append((len(out), label, len(out) + len(piece)))
                 out += piece
