@@ -662,6 +662,31 @@ def test_mixing(spark, edge, empty):
     assert mixing.mix(edge).count() == edge.count() and mixing.mix(empty).count() == 0
 
 
+def test_mixing_rates_solve_the_dual(spark):
+    """Rates against a plain bisection of each source's dual, copies against their rates and targets."""
+    rng = random.Random(3)
+    texts = {i: prose(i, rng.choice([1, 2, 7, 30, 90, 400])) for i in range(600)}
+    names = {i: f"s{i % 5}" for i in texts}
+    got = mixing.mix(spark.createDataFrame(rows(texts, sources=names), SCHEMA)).collect()
+    for source in sorted(set(names.values())):
+        mine = [r for r in got if r.source == source]
+        total = sum(r.size for r in mine)
+        z = {r.size: r.size / (sum(x.size**2 for x in mine) / total) for r in mine}
+
+        def words(dual, mine=mine, z=z):
+            return sum(r.size * min(3.0, np.exp(min(dual * z[r.size], 50))) for r in mine)
+
+        low, high = -1e3, 1e3
+        for _ in range(200):
+            low, high = ((low + high) / 2, high) if words((low + high) / 2) < mine[0].target else (low, (low + high) / 2)
+        assert all(r.rate == pytest.approx(min(3.0, np.exp(min(high * z[r.size], 50))), rel=1e-5) for r in mine)
+        assert sum(r.size * r.rate for r in mine) == pytest.approx(mine[0].target, rel=1e-6)
+        for size in z:
+            copies = [r.copies for r in mine if r.size == size]
+            assert max(copies) - min(copies) <= 1 and max(copies) <= 3
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 2
+
+
 def test_mixing_gives_every_row_its_own_count(spark, edge):
     """Rows that share an id, rows without one, and names that clash."""
     texts = {i: prose(i, 5 + i % 3) for i in range(40)}

@@ -50,6 +50,26 @@ def test_run(spark, corpus):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_repeated_ids_ties_and_very_long_texts(spark, corpus):
+    """Each stage on rows that repeat an id, rows without one, blank, tied and very long texts, and clashing columns."""
+    item = spark.read.parquet(f"{corpus}/benchmark.parquet").first().text
+    long = prose(900, 40000)
+    data = [(1, prose(1, 40)), (1, prose(1, 40)), (1, prose(2, 40)), (2, long), (3, long + " end"), (4, " \n"), (5, None), (None, prose(3, 40)), (None, None), (6, prose(4, 40000) + f" {item} token = abcdef123456 " + prose(5, 10))]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, size int, rate string, blob string, component_id int, score double"
+    docs = spark.createDataFrame([(i, t, None, None if i == 1 else "s", None, 7, "r", "b", 3, 0.1) for i, t in data], columns)
+    ids = {name: sorted(str(r.doc_id) for r in stage(spark, docs, corpus).collect()) for name, stage in corpus_pipeline.STAGES}
+    every = sorted(str(i) for i, _ in data)
+    assert ids["toxicity"] == ids["secrets"] == ids["mixing"] == every
+    assert ids["near_duplicates"] == ["1", "2", "4", "5", "6", "None", "None"]
+    assert ids["decontamination"] == [i for i in every if i != "6"]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, corpus).columns == docs.columns, name
+    mixed = corpus_pipeline.mix_sources(spark, docs, corpus)
+    assert mixed.columns == [*docs.columns, "mix_size", "source_size", "target", "mix_rate", "copies", "taken"]
+    assert all(r.mix_size == len((r.text or "").split()) and r.taken == r.copies * r.mix_size for r in mixed.collect())
+    assert "token = " not in next(r.text for r in corpus_pipeline.redact_secrets(spark, docs, corpus).collect() if r.doc_id == 6)
+
+
 def test_empty(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
