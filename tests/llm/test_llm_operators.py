@@ -718,7 +718,7 @@ def brute_neighbours(vectors, queries, k=5):
     return {q: r for q, r in out.items() if r}
 
 
-@pytest.mark.parametrize("blocks", [(7, 64), (8192, 4096)])
+@pytest.mark.parametrize("blocks", [(7, 64, 1 << 22, 64), (8192, 4096, 1 << 22, 64), (50, 130, 1 << 22, 6), (8192, 4096, 4096, 0)])
 def test_neighbours_match_brute_force(spark, blocks):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(400, 24)).astype(np.float32).astype(float)
@@ -736,6 +736,23 @@ def test_neighbours_match_brute_force(spark, blocks):
     assert all(len({i for i, _ in r}) == 5 for r in found.values()) and sorted(r.rank for r in got if r.query_id == 0) == [1, 2, 3, 4, 5]
 
 
+def test_a_dense_cluster_stays_within_bounds(spark):
+    """A third of all rows are one vector or close to it: the tiles' output is bounded, the answers are exact."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(900, 16))
+    base[::3] = base[0] + rng.normal(size=(300, 16)) * 1e-4
+    base[::9] = base[0]
+    vectors = [(i, v.tolist()) for i, v in enumerate(base)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = {}
+    for r in sorted(neighbours.nearest(df.where("vec_id % 30 = 0"), df).collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == brute_neighbours(vectors, set(range(0, 900, 30)))
+    x = neighbours.Quantised(np.arange(900), *neighbours.quantised(neighbours.scaled(base)))
+    (rows, *_), crowded = neighbours.survivors_of(x, x, 5, 64)
+    assert set(range(0, 900, 3)) <= set(crowded.tolist()) and np.bincount(rows).max() <= 64
+
+
 def test_neighbours_edges(spark):
     few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.1])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(few.where("vec_id = 1"), few).collect()] == [(1, 1, 2)]
