@@ -8,6 +8,7 @@ import random
 import tarfile
 from collections import Counter, defaultdict
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 import zstandard
@@ -324,6 +325,20 @@ def test_incremental_files(spark, folder):
     assert sorted(r.id for r in rows) == list(range(20)) and {r.part for r in rows} == {9, 10, 11}
 
 
+def test_done_files_are_archived(spark, folder):
+    """Files of batches that are done move to the archive; what is there to process stays."""
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(12)], "id long, t string")
+    run = lambda: ingest.process_new(ingest.incoming(spark, f"{folder}/in", "id long, t string", clean_source="archive", archive=f"{folder}/archive"), lambda b: b, f"{folder}/out", f"{folder}/state")
+    for part in range(3):
+        ingest.arrivals(df.where(F.col("id") % 3 == part), 1, "id", f"{folder}/in")
+        run()
+    spark.read.parquet(f"{folder}/out").count()
+    archived = list(Path(f"{folder}/archive").rglob("*.parquet"))
+    waiting = list(Path(f"{folder}/in").glob("*.parquet"))
+    assert len(archived) + len(waiting) == 3 and len(archived) >= 1
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/out").collect()) == list(range(12))
+
+
 def test_streaming_first_seen(spark, folder):
     df = spark.createDataFrame([(i, f"t{i % 5}") for i in range(20)], "id long, t string")
     ingest.arrivals(df, 4, "id", f"{folder}/in")
