@@ -59,10 +59,10 @@ def targets(sources: DataFrame, config: MixConfig) -> DataFrame:
     rows = sources.withColumn("weight", w).withColumn("cap", cap).withColumn("fill", F.col("cap") / F.col("weight"))
     order = Window.orderBy("fill", F.col("source").asc_nulls_last())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     everyone = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total = F.sum(F.col("source_size").cast("double")).over(everyone)
-    level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
+    open_weight = F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / open_weight
     # the first source in this order whose cap is above its share sets the level of all that follow
     rows = rows.withColumns({"level": level, "at": F.row_number().over(order)})
     level = F.min_by("level", F.when(F.col("fill") >= F.col("level"), F.col("at"))).over(everyone)
