@@ -120,11 +120,18 @@ def bounded(left: Quantised, right: Quantised) -> tuple[np.ndarray, np.ndarray]:
     return value, left.lost[:, None] + (1 + left.lost)[:, None] * right.lost + 1e-9
 
 
-def kth_best(lower: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """The k-th largest of each row, where the columns are k different ids or more; else -inf, as one id's rows may not fill the places of k ids."""
-    if len(np.unique(ids)) == len(ids) >= k:
-        return np.partition(lower, -k, axis=1)[:, -k]
-    return np.full(len(lower), -np.inf)
+class Floor:
+    """The k-th best lower bound of each query so far, over different ids."""
+
+    def __init__(self, queries: int, ids: np.ndarray, k: int):
+        self.best, self.k = np.full((queries, k), -np.inf), k
+        self.distinct = len(np.unique(ids)) == len(ids)  # else one id's rows might fill the places of k ids
+
+    def seen(self, lower: np.ndarray) -> np.ndarray:
+        if self.distinct:
+            both = np.concatenate([self.best, lower], axis=1)
+            self.best = np.partition(both, -self.k, axis=1)[:, -self.k :]
+        return self.best.min(axis=1)
 
 
 def survivors_of(left: Quantised, right: Quantised, k: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -132,41 +139,38 @@ def survivors_of(left: Quantised, right: Quantised, k: int, most: int) -> tuple[
 
     Of a crowded query, one with more than `most` survivors, only the k best go out, for their bounds.
     """
-    floor = np.full(len(left.ids), -np.inf)
-    parts: list[tuple[np.ndarray, ...]] = []
+    floors, floor = Floor(len(left.ids), right.ids, k), np.full(len(left.ids), -np.inf)
+    found: list[np.ndarray] = [np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0)]
     for a in range(0, len(right.ids), SUBTILE):
-        part = right.rows(slice(a, a + SUBTILE))
-        value, bound = bounded(left, part)
-        floor = np.maximum(floor, kth_best(value - bound, part.ids, k))
+        value, bound = bounded(left, right.rows(slice(a, a + SUBTILE)))
+        floor = floors.seen(value - bound)
         rows, cols = np.nonzero((value + bound >= floor[:, None]) & np.isfinite(value))
-        parts.append((rows, cols + a, (value - bound)[rows, cols], (value + bound)[rows, cols]))
-    rows, cols, lower, upper = (np.concatenate(x) for x in zip(*parts, strict=True))
-    kept = upper >= floor[rows]
-    rows, cols, lower, upper = rows[kept], cols[kept], lower[kept], upper[kept]
+        new = rows, cols + a, (value - bound)[rows, cols], (value + bound)[rows, cols]
+        found = [np.concatenate(x) for x in zip(found, new, strict=True)]
+        kept = found[3] >= floor[found[0]]
+        found = [x[kept] for x in found]
+    rows, lower = found[0], found[2]
     crowded = np.bincount(rows, minlength=len(left.ids)) > most
     order = np.lexsort((-lower, rows))
     place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
     out = order[(place < k) | ~crowded[rows[order]]]
-    return [rows[out], cols[out], lower[out], upper[out]], np.flatnonzero(crowded)
+    return [x[out] for x in found], np.flatnonzero(crowded)
 
 
 def tile_nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, float, int]]:
     """(query id, score, candidate id): the k nearest ids of a tile of original vectors for each query row."""
     queries, vectors = scaled(queries), scaled(vectors)
     left, heaps = Quantised(query_ids, *quantised(queries)), [Nearest(k) for _ in query_ids]
-    floor = np.full(len(query_ids), -np.inf)
+    floors, least = Floor(len(query_ids), ids, k), np.full(len(query_ids), -np.inf)
     for a in range(0, len(ids), SUBTILE):
         cand = vectors[a : a + SUBTILE]
         part = Quantised(ids[a : a + SUBTILE], *quantised(cand))
         value, bound = bounded(left, part)
-        floor = np.maximum(floor, kth_best(value - bound, part.ids, k))
+        floor = np.maximum(floors.seen(value - bound), least)
         rows, cols = np.nonzero((value + bound >= floor[:, None]) & np.isfinite(value))
         for r, s, c in zip(rows.tolist(), cosine(queries[rows], cand[cols]).tolist(), part.ids[cols].tolist(), strict=True):
             heaps[r].offer(s, c)
-        full = [(i, h.heap[0][0]) for i, h in enumerate(heaps) if h.full]
-        if full:
-            at, least = zip(*full, strict=True)
-            floor[list(at)] = np.maximum(floor[list(at)], np.array(least) - 1e-9)
+        least = np.array([h.heap[0][0] - 1e-9 if h.full else -np.inf for h in heaps])
     return [(int(q), s, -c) for q, h in zip(query_ids, heaps, strict=True) for s, c in h.heap]
 
 
@@ -216,10 +220,11 @@ def recomputed(pairs: DataFrame, queries: DataFrame, candidates: DataFrame, k: i
     return full.select("query_id", "vec_id", "q", "c", "dim").mapInArrow(run, "query_id long, score double, vec_id long")
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: int = 8192, candidate_block: int = 4096, components: int = 1 << 22, survivors: int = 64) -> DataFrame:
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: int = 8192, candidate_block: int = 65536, components: int = 1 << 25, survivors: int = 64) -> DataFrame:
     """(query_id, rank from 1, vec_id, score). Both tables: vec_id, embedding.
 
-    A block has at most so many rows, and about so many components.
+    A block has about as many rows at most, and components, a byte each. Larger blocks of candidates leave fewer
+    survivors, larger blocks of queries ship candidates less often. Blocks of originals have an eighth of the components.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -229,11 +234,12 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block:
     queries, candidates = clean(queries), clean(candidates)
     left, right = (common.materialize(shipped(x), "quantised") for x in (queries, candidates))
 
-    def block_count(df: DataFrame, most: int) -> int:
+    def block_count(df: DataFrame, most: int, tasks: int) -> int:
+        """Blocks within the bounds; of a small table enough for some tasks, while they have 4,096 rows."""
         n, total = df.agg(F.count("*"), F.coalesce(F.sum(F.col("dim").cast("long")), F.lit(0))).first()
-        return max(1, -(-n // most), -(-total // components))
+        return max(1, -(-n // most), -(-total // components), min(tasks, n // 4096))
 
-    rows, columns = block_count(left, query_block), block_count(right, candidate_block)
+    rows, columns = block_count(left, query_block, 1), block_count(right, candidate_block, candidates.sparkSession.sparkContext.defaultParallelism)
 
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
@@ -250,12 +256,10 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block:
         whole = pd.DataFrame({"query_id": x.ids[crowded], "c": int(one["c"].iloc[0]), "vec_id": pd.array([None] * len(crowded), "Int64"), "lower": -np.inf, "upper": np.inf})
         return pd.concat([found, whole])[names].astype({"c": "int32"})
 
-    keys = ["dim", "q", "c"]
-
-    def tiled(one: DataFrame, two: DataFrame, function, schema: str) -> DataFrame:
+    def tiled(one: DataFrame, two: DataFrame, keys: list[str], function, schema: str) -> DataFrame:
         return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(function, schema)
 
-    bounds = tiled(dealt(left.withColumnRenamed("q", "bytes"), "q", rows, "c", columns), dealt(right.withColumnRenamed("q", "bytes"), "c", columns, "q", rows), tile, "query_id long, c int, vec_id long, lower double, upper double")
+    bounds = tiled(dealt(left.withColumnRenamed("q", "bytes"), "q", rows, "c", columns), dealt(right.withColumnRenamed("q", "bytes"), "c", columns, "q", rows), ["dim", "q", "c"], tile, "query_id long, c int, vec_id long, lower double, upper double")
     bounds = common.materialize(bounds, "bounds")
     pairs = bounds.where("vec_id IS NOT NULL").groupBy("query_id", "vec_id").agg(F.max("lower").alias("lower"), F.max("upper").alias("upper"))
     place = F.row_number().over(common.window("query_id").orderBy(F.desc("lower"), "vec_id"))
@@ -271,12 +275,14 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block:
                 found = tile_nearest(one["vec_id"].to_numpy(), np.stack(one["embedding"]).astype(float), two["vec_id"].to_numpy(), np.stack(two["embedding"]).astype(float), k)
             return pd.DataFrame(found, columns=["query_id", "score", "vec_id"]).astype({"query_id": "int64", "score": "float64", "vec_id": "int64"})
 
-        q, c = (F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int") for n in (rows, columns))
-        one = queries.join(crowded.withColumnRenamed("query_id", "vec_id"), "vec_id").withColumn("q", q)
-        wanted = common.materialize(one.select(*keys).distinct(), "crowded-tiles")
-        two = candidates.withColumn("c", c).join(wanted, ["dim", "c"])
+        parts = 8  # of a block: originals take up to eight bytes a component
+        h, keys = F.xxhash64("vec_id"), ["dim", "q", "c", "part"]
+        one = queries.join(crowded.withColumnRenamed("query_id", "vec_id"), "vec_id").withColumn("q", F.pmod(h, F.lit(rows)).cast("int"))
+        wanted = common.materialize(one.select("dim", "q", "c").distinct(), "crowded-tiles")
+        one = one.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        two = candidates.withColumns({"c": F.pmod(h, F.lit(columns)).cast("int"), "part": F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int")}).join(wanted, ["dim", "c"])
         one, two = (x.select(*(F.col(n).alias(n) for n in ("vec_id", "embedding", *keys))) for x in (one, two))
-        near = near.unionByName(tiled(one, two, search, "query_id long, score double, vec_id long"))
+        near = near.unionByName(tiled(one, two, keys, search, "query_id long, score double, vec_id long"))
     near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(common.window("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -718,7 +718,7 @@ def brute_neighbours(vectors, queries, k=5):
     return {q: r for q, r in out.items() if r}
 
 
-@pytest.mark.parametrize("blocks", [(7, 64, 1 << 22, 64), (8192, 4096, 1 << 22, 64), (50, 130, 1 << 22, 6), (8192, 4096, 4096, 0)])
+@pytest.mark.parametrize("blocks", [(7, 64, 1 << 25, 64), (8192, 65536, 1 << 25, 64), (50, 130, 1 << 25, 6), (8192, 65536, 4096, 0)])
 def test_neighbours_match_brute_force(spark, blocks):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(400, 24)).astype(np.float32).astype(float)
