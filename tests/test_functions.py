@@ -123,3 +123,24 @@ def test_line_cleaner(spark):
     got = column(spark, [menu, "\n".join(LINES[:2]), menu + "\nEen vloek.", None, "trefwoord, trefwoord, trefwoord"], *lines.clean_lines(F.col("text"), rules))
     assert got[0] == ("kept", "\n".join(LINES)) and got[1] == ("few_sentences", None) and got[2] == ("bad_word", None)
     assert got[4] == ("few_sentences", None)
+
+
+@pytest.mark.parametrize(
+    ("text", "reason", "kept"),
+    [
+        ("\n".join(LINES[:3]), "few_sentences", None),
+        ("\n".join(LINES + LINES[:3]), "kept", LINES + LINES[:3]),
+        ("Aanbiedingen > Tuin > Stoelen\nHome / Winkel / Contact\n" + "\n".join(LINES), "kept", LINES),
+        ("\n".join(f"Aanbieding nummer {n} met een lange omschrijving van de inhoud..." for n in range(12)), "few_sentences", None),
+        ("\n".join([*LINES, "Deze zin breekt aan het eind af met een teken…", "Deze zin houdt aan het eind gewoon op met een punt."]), "kept", [*LINES, "Deze zin houdt aan het eind gewoon op met een punt."]),
+        ("fietsen tweedehands goedkoop fietsen kopen " * 30, "few_sentences", None),
+        ("\n".join([*LINES, "Hier staat een vloek midden in een zin."]), "bad_word", None),
+        ("\n".join([*LINES, "Vloekwoorden zoals dit woord tellen niet als het hele woord."]), "kept", [*LINES, "Vloekwoorden zoals dit woord tellen niet als het hele woord."]),
+        ("\n".join(f"  {x}  " for x in LINES), "kept", [f"  {x}  " for x in LINES]),
+        ("", "few_sentences", None),
+    ],
+)
+def test_line_rules_by_shape(spark, text, reason, kept):
+    """Titles, listings, cut lines, keywords and unwanted words, and how many sentences must be left."""
+    got = column(spark, [text], *lines.clean_lines(F.col("text"), lines.LineRules(bad_words=("vloek",))))
+    assert got == [(reason, kept and "\n".join(kept))]
