@@ -21,13 +21,14 @@ def anchor(option: str = "start") -> Column:
 def map_speakers(words: DataFrame, turns: DataFrame, option: str = "start") -> DataFrame:
     """words with the speaker of the first turn that ends at or after the word's anchor; after all turns, of the last.
 
-    An as-of join by union: words and turn ends in one order of time, a window looks forward for the next turn.
+    An as-of join by union: words and turn ends in one order of time, from the last to the first, and each word takes the
+    turn end met last. (A frame that looks forward would be computed anew for every row.)
     """
     w = words.select("stream", "seq", "start_ms", "end_ms", "word", anchor(option).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("turn"), F.lit(None).cast("string").alias("speaker"))
     t = turns.select("stream", F.lit(None).cast("long").alias("seq"), F.lit(None).cast("long").alias("start_ms"), F.lit(None).cast("long").alias("end_ms"), F.lit(None).cast("string").alias("word"), F.col("end_ms").cast("double").alias("at"), F.lit(1).alias("kind"), F.col("turn").cast("long").alias("turn"), "speaker")
-    ahead = Window.partitionBy("stream").orderBy("at", "kind", "turn").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ahead = Window.partitionBy("stream").orderBy(F.desc("at"), F.desc("kind"), F.desc("turn")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.max_by("speaker", "turn").over(Window.partitionBy("stream"))
-    found = F.coalesce(F.first("speaker", ignorenulls=True).over(ahead), last)
+    found = F.coalesce(F.last("speaker", ignorenulls=True).over(ahead), last)
     both = w.unionByName(t).withColumn("speaker", found)
     return both.where("kind = 0").select("stream", "seq", "start_ms", "end_ms", "word", "speaker")
 
