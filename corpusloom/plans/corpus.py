@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats as s
 from ..operators.image_text import SourceSpec, UnionConfig, padded_id, record, url_column
-from ..operators.tables import load, shared_path, with_row_index, with_running_sum
+from ..operators.tables import load, shared_path, stored, with_row_index, with_running_sum
 from ..sources import sinks
 from .registry import query
 
@@ -133,12 +133,11 @@ def explode_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("c").cast("long").alias("n_captions"), F.explode("c").alias("x")).select("doc_id", "x.turn", F.col("x.text").alias("caption"), "n_captions")
 
 
-def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, sf_dir: str, places: DataFrame) -> DataFrame:
     """(file_id, line_no, line): the documents' lines, four text files by id, lines numbered in each file from 0."""
-    rows = load(spark, sf_dir, "documents").select((F.col("doc_id") % 4).alias("file_id"), "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = with_row_index(rows, "file_id", "doc_id", "at", name="n")
-    first = rows.groupBy("file_id").agg(F.min("n").alias("first"))
-    return rows.join(first, "file_id").select("file_id", (F.col("n") - F.col("first")).alias("line_no"), "line")
+    rows = load(spark, sf_dir, "documents").select("doc_id", "text").join(places, "doc_id")
+    rows = rows.select("file_id", "offset", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    return rows.select("file_id", (F.col("offset") + F.col("at")).alias("line_no"), "line")
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +158,9 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def offset_slice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts put together from line files and (offset, count) records: the interval join as an equi-join on line numbers."""
-    wanted = offsets(spark, sf_dir).select("file_id", "doc_id", F.explode(F.sequence("offset", F.col("offset") + F.col("nb") - 1)).alias("line_no"))
-    rows = wanted.join(numbered_lines(spark, sf_dir), ["file_id", "line_no"])
+    places = stored(offsets(spark, sf_dir), "offsets")
+    wanted = places.select("file_id", "doc_id", F.explode(F.sequence("offset", F.col("offset") + F.col("nb") - 1)).alias("line_no"))
+    rows = wanted.join(numbered_lines(spark, sf_dir, places), ["file_id", "line_no"])
     lines = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return rows.groupBy("doc_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "").alias("text"))
 
