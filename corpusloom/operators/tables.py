@@ -13,14 +13,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str, split_bytes: int = 128 << 20) -> DataFrame:
-    """df dealt over all cores by key, where its files hold less than a split's bytes for each core.
+    """df dealt over all cores by key, where it has fewer files than cores, of less than a split's bytes for each core.
 
     A file with one row group is one task however large the cluster. What is moved is bounded by the cores; larger
-    inputs have splits enough and are left as they are, without a shuffle.
+    inputs have splits enough and are left as they are, without a shuffle (nor are their files listed).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if cores == 1 or size >= cores * split_bytes else df.repartition(4 * cores, key)
+    return df if cores == 1 or size >= cores * split_bytes or len(df.inputFiles()) >= cores else df.repartition(4 * cores, key)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -73,7 +73,8 @@ def ranged(df: DataFrame, *order: str | Column) -> DataFrame:
     """df stored in range partitions of `order`, with __part and the place in it, __at; as many as shuffles have, more for large inputs."""
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // (128 << 20), 100_000))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(max(least, size // (128 << 20)), 100 * least)  # a size estimated through joins may be far too large
     rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return stored(rows.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "ranged")
 

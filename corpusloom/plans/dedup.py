@@ -125,11 +125,13 @@ def dup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dup_clusters_nested")
 def dup_clusters_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per cluster with its members as structs, as the cluster file has them."""
+    """Clusters with their members as structs, as the cluster file has them; a large one in parts of about 1,000 members."""
     docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("doc://"), "source", F.lit("/"), "doc_id").alias("url"))
-    rows = lsh.clusters(_tokens(spark, sf_dir), LOW).join(docs, "id")
+    found = stored(lsh.clusters(_tokens(spark, sf_dir), LOW), "clusters")
+    parts = found.groupBy("base").agg(F.ceil(F.count("*") / 1000).cast("int").alias("parts"))
+    rows = salted_join(found, parts, ["base"], "id").join(docs, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     member = F.struct(F.col("id").alias("base_index"), "url", F.lit(None).cast("string").alias("timestamp"), "is_extreme", "copies")
-    return rows.groupBy("base").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    return rows.groupBy("base", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 
 @query("near_dedup_075")
