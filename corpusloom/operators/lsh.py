@@ -16,14 +16,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import jaccard, token_set, tokens
 from .tables import salted_join, stored
 
 PRIME = 2**31 - 1
-GATHERED = 1 << 15  # token places whose permuted hashes are gathered at once
+GATHERED = 1 << 13  # token places whose permuted hashes are gathered at once
+BROADCAST_ROWS = 1 << 20  # rows of some numbers each that may be broadcast
+SIGNED = 1 << 17  # tokens of the texts that are signed together
 
 
 @dataclass(frozen=True)
@@ -62,32 +64,42 @@ def banded(df: DataFrame, config: LshConfig) -> DataFrame:
     a, b = (np.array([permutation(i)[j] for i in range(config.slots)], np.int64) for j in (0, 1))
     odd = np.array([permutation(i)[0] * 2 + 1 for i in range(config.slots)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
+    def signed(lists: pa.Array) -> np.ndarray:
+        """Slots of some token sets, a row each."""
+        words = lists.flatten().dictionary_encode()
+        places, ends = words.indices.to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+        h = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words.dictionary.to_pylist()], np.int64)
+        permuted = np.empty((len(h), config.slots), np.int32)
+        for x in range(0, len(h), GATHERED):
+            permuted[x : x + GATHERED] = (h[x : x + GATHERED, None] * a + b) % PRIME
+        least = np.empty((len(lists), config.slots), np.int32)
+        begin, at = np.concatenate([[0], ends[:-1]]).astype(np.int64), 0
+        while at < len(lists):
+            stop = max(at + 1, int(np.searchsorted(ends, begin[at] + GATHERED, "right")))
+            part = places[begin[at] : ends[stop - 1]]
+            if len(part) > GATHERED:  # one long text: piece by piece
+                least[at] = np.min([permuted[part[x : x + GATHERED]].min(axis=0) for x in range(0, len(part), GATHERED)], axis=0)
+            else:
+                least[at:stop] = np.minimum.reduceat(permuted[part], begin[at:stop] - begin[at], axis=0)
+            at = stop
+        return least
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
-            words = lists.flatten().dictionary_encode()
-            places, ends = words.indices.to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            h = np.array([int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words.dictionary.to_pylist()], np.int64)
-            least = np.empty((len(lists), config.slots), np.int32)
-            begin = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            permuted = np.concatenate([((h[x : x + GATHERED, None] * a + b) % PRIME).astype(np.int32) for x in range(0, len(h), GATHERED)]) if len(h) else None
+            sizes = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
             at = 0
-            while at < len(lists):
-                stop = max(at + 1, int(np.searchsorted(ends, begin[at] + GATHERED, "right")))
-                part = places[begin[at] : ends[stop - 1]]
-                if stop == at + 1 and len(part) > GATHERED:  # one long text: piece by piece
-                    least[at] = np.min([permuted[part[x : x + GATHERED]].min(axis=0) for x in range(0, len(part), GATHERED)], axis=0)
-                else:
-                    least[at:stop] = np.minimum.reduceat(permuted[part], begin[at:stop] - begin[at], axis=0)
+            while at < batch.num_rows:  # token sets of about SIGNED tokens at once
+                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SIGNED, "right")))
+                least = signed(batch.column(1).slice(at, stop - at))
+                key = np.tile(np.arange(1, config.bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93), (len(least), 1))
+                slots = least.reshape(len(least), config.bands, config.rows)
+                factor = odd.reshape(config.bands, config.rows)
+                for j in range(config.rows):
+                    key = (key ^ slots[:, :, j].astype(np.uint64)) * factor[:, j]
+                    key ^= key >> np.uint64(32)
+                ids = np.repeat(batch.column(0).slice(at, stop - at).to_numpy(zero_copy_only=False), config.bands)
+                yield pa.record_batch([pa.array(ids), pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
                 at = stop
-            key = np.tile(np.arange(1, config.bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93), (len(lists), 1))
-            slots = least.astype(np.uint64).reshape(len(lists), config.bands, config.rows)
-            factor = odd.reshape(config.bands, config.rows)
-            for j in range(config.rows):
-                key = (key ^ slots[:, :, j]) * factor[:, j]
-                key ^= key >> np.uint64(32)
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), config.bands)
-            yield pa.record_batch([pa.array(ids), pa.array(key.ravel().view(np.int64))], ["id", "bucket"])
 
     return df.select("id", "tokens").where(F.size("tokens") > 0).mapInArrow(run, "id long, bucket long")
 
@@ -104,7 +116,10 @@ class Index:
 def build_index(df: DataFrame, config: LshConfig) -> Index:
     members, counted = classes(df, config)
     counted = stored(counted, "classes")
-    reps = df.join(counted.select(F.col("rep").alias("id")), "id", "left_semi")
+    # copies are taken out, not representatives looked up: where these are few enough to broadcast, and stored so that
+    # Spark knows it when it plans, token sets aren't shuffled
+    others = stored(members.where("id <> rep").select("id"), "copies")
+    reps = df.where(F.col("n_tokens") >= config.min_tokens).join(others, "id", "left_anti")
     rows = stored(banded(reps, config), "bands")
     crowded = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     return Index(members, counted, stored(rows.join(crowded.select("bucket", "hub"), "bucket"), "buckets"))
@@ -199,13 +214,18 @@ def extremes(sets: list[frozenset], threshold: float) -> list[int]:
     return out
 
 
+def dealt(rows: DataFrame, key: str, each: int = 500) -> Column:
+    """A group number for applyInPandas by which rows of a key stay together and a group has about `each` rows; a group costs milliseconds."""
+    return F.pmod(F.xxhash64(key), F.lit(max(1, rows.count() // each))).alias("group")
+
+
 def clusters(df: DataFrame, config: LshConfig) -> DataFrame:
     """(base, id, is_extreme, copies): clusters in document order, each reduced to extremes.
 
     A document joins the first of its earlier candidates (by id) that is a base, else it opens a cluster on its smallest
     candidate. An element is a copy of the first extreme it reaches the threshold with, else an extreme itself. Order
-    only matters inside a component, so each component is worked through on its own, by ids and bucket keys of its
-    classes; token sets meet by cluster, one for each class. What one task holds is bounded by the distinct token sets
+    only matters inside a component, so components are worked through apart from each other, some hundred rows in a task's
+    group, by ids and bucket keys of their classes; token sets meet by cluster, one for each class. What one task holds is bounded by the distinct token sets
     of a component (ids) or a cluster (sets), never by copies.
     """
     index = build_index(df, config)
@@ -221,7 +241,8 @@ def clusters(df: DataFrame, config: LshConfig) -> DataFrame:
         out = pd.DataFrame([(r, o, s, [{"since": t, "base": b} for t, b in steps]) for r, o, s, steps in assign(events)], columns=["rep", "own", "second_base", "steps"])
         return out.astype({"own": "Int64", "second_base": "Int64"})
 
-    assigned = stored(rows.groupBy("component").applyInPandas(work, ASSIGNED), "assigned")
+    rows = stored(rows.select("component", "rep", "n", "second", "buckets"), "events")
+    assigned = stored(rows.groupBy(dealt(rows, "component")).applyInPandas(work, ASSIGNED), "assigned")
     seconds = index.classes.where("second IS NOT NULL").select("rep", "second")
     full = salted_join(index.members, assigned.join(seconds, "rep", "left"), ["rep"], "id")
     later = F.element_at(F.filter("steps", lambda x: x["since"] < F.col("id")), -1)["base"]
@@ -231,18 +252,20 @@ def clusters(df: DataFrame, config: LshConfig) -> DataFrame:
     joined = joined.unionByName(bases)
     items = stored(joined.groupBy("base", "rep").agg(F.min("id").alias("first"), F.count("*").alias("n")), "items")
     # the representative may be in another cluster; its set is the class's
-    sets = items.join(df.select(F.col("id").alias("rep"), "tokens"), "rep")
+    # a row has four numbers; beyond the bound token sets are shuffled
+    side = F.broadcast(items) if items.count() <= BROADCAST_ROWS else items
+    sets = side.join(df.select(F.col("id").alias("rep"), "tokens"), "rep")
     threshold = config.threshold
 
     def reduce(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("first").reset_index(drop=True)  # the base is the smallest of its cluster
-        twin = extremes([frozenset(t) for t in frame["tokens"]], threshold)
-        total = frame["n"].groupby(np.array(twin)).sum()
-        top = np.array(twin) == np.arange(len(frame))
-        out = frame[["base", "rep", "first"]].assign(is_extreme=top, copies=[int(total[i]) if t else None for i, t in enumerate(top)])
-        return out.astype({"copies": "Int64"})
-
-    reduced = stored(sets.groupBy("base").applyInPandas(reduce, "base long, rep long, first long, is_extreme boolean, copies long"), "reduced")
+        frame = frame.sort_values(["base", "first"]).reset_index(drop=True)  # the base is the smallest of its cluster
+        start = np.flatnonzero(np.diff(frame["base"].to_numpy(), prepend=-1 - frame["base"].iloc[0])).tolist()
+        twin = np.concatenate([a + np.array(extremes([frozenset(t) for t in frame["tokens"].iloc[a:b]], threshold)) for a, b in zip(start, [*start[1:], len(frame)], strict=True)])
+        total = np.bincount(twin, frame["n"], len(frame)).astype(np.int64)
+        top = twin == np.arange(len(frame))
+        return frame[["base", "rep", "first"]].assign(is_extreme=top, copies=pd.array(np.where(top, total, 0), "Int64")).assign(copies=lambda x: x["copies"].where(top))
+
+    reduced = stored(sets.groupBy(dealt(items, "base")).applyInPandas(reduce, "base long, rep long, first long, is_extreme boolean, copies long"), "reduced")
     shown = salted_join(joined, reduced.where("is_extreme").select("base", "rep", "first", "copies"), ["base", "rep"], "id")
     top = F.coalesce(F.col("first") == F.col("id"), F.lit(False))
     return shown.select("base", "id", top.alias("is_extreme"), F.when(top, F.col("copies")).alias("copies"))
@@ -251,4 +274,5 @@ def clusters(df: DataFrame, config: LshConfig) -> DataFrame:
 def near_dedup(df: DataFrame, documents: DataFrame, config: LshConfig) -> DataFrame:
     """documents that are in no cluster or an extreme of one."""
     found = clusters(df, config).groupBy("id").agg(F.bool_or("is_extreme").alias("extreme"))
-    return documents.join(found.where("NOT extreme").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    gone = stored(found.where("NOT extreme").select(F.col("id").alias("doc_id")), "gone")  # its size is known to the join
+    return documents.join(gone, "doc_id", "left_anti")
