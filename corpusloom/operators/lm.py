@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .tables import with_row_index
+from .tables import stored, with_row_index
 
 
 def split_by_position(df: DataFrame, key: str, percent: int) -> DataFrame:
@@ -57,20 +57,32 @@ def tokeniser(load_model: Callable[[], Callable[[list[str]], list[list[str]]]]):
     return tokenise
 
 
-def chunked(df: DataFrame, key: str, tokens: str, length: int, batch_rows: int = 1000) -> DataFrame:
+def chunked(df: DataFrame, key: str, tokens: str | Column, length: int, batch_rows: int = 1000, separator: str | None = None) -> DataFrame:
     """(batch, chunk, tokens): the tokens of each batch of rows put together and cut to `length`.
 
     The rest of a batch is dropped, unless the batch has fewer than `length` tokens: then it is one short chunk.
+    `tokens` may be an expression over df's columns, so that these move instead of arrays; with a `separator` that no
+    token holds, pieces move as text.
     """
-    rows = with_row_index(df.select(key, tokens), key)
-    rows = rows.withColumn("batch", F.floor(F.col("row_index") / batch_rows)).withColumn("n", F.size(tokens).cast("long"))
+    # only keys and counts are put in order; tokens move once to meet their place and once, in pieces, to their chunk
+    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
+    rows = with_row_index(df.select(key, F.size(tokens).cast("long").alias("n")), key)
+    rows = rows.withColumn("batch", F.floor(F.col("row_index") / batch_rows))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("batch").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = F.sum("n").over(Window.partitionBy("batch"))
-    rows = rows.withColumns({"before": before, "total": total})
-    flat = rows.select("batch", "total", "before", F.posexplode(tokens).alias("at", "token")).withColumn("place", F.col("before") + F.col("at"))
-    kept = flat.where((F.col("total") < length) | (F.col("place") < F.floor(F.col("total") / length) * length))
-    sorted_tokens = F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda x: x["token"])
-    return kept.groupBy("batch", F.floor(F.col("place") / length).alias("chunk")).agg(sorted_tokens.alias("tokens"))
+    rows = stored(rows.withColumns({"before": before, "total": total}).where("n > 0").select(key, "batch", "n", "before", "total"), "places")
+    last = F.floor((F.col("before") + F.col("n") - 1) / length)
+    kept_chunks = F.when(F.col("total") < length, 1).otherwise(F.floor(F.col("total") / length))
+    whole = df.join(rows, key).select("batch", "before", "n", tokens.alias("tokens"), kept_chunks.alias("chunks"), F.sequence(F.floor(F.col("before") / length), last).alias("own"))
+    pieces = whole.select("batch", "before", "n", "tokens", "chunks", F.explode("own").alias("chunk"))  # apart, so that tokens are made once
+    begin = F.greatest(F.col("chunk") * length - F.col("before"), F.lit(0))
+    end = F.least((F.col("chunk") + 1) * length - F.col("before"), F.col("n"))
+    piece = F.slice("tokens", (begin + 1).cast("int"), (end - begin).cast("int"))
+    piece = piece if separator is None else F.array_join(piece, separator)
+    pieces = pieces.where("chunk < chunks").select("batch", "chunk", "before", piece.alias("piece"))
+    joined = F.transform(F.array_sort(F.collect_list(F.struct("before", "piece"))), lambda x: x["piece"])
+    joined = F.flatten(joined) if separator is None else F.split(F.array_join(joined, separator), separator if separator.isspace() or separator.isalnum() else f"\\Q{separator}\\E")
+    return pieces.groupBy("batch", "chunk").agg(joined.alias("tokens"))
 
 
 def masked(tokens: Column, key: Column, rate: int = 15, mask: str = "[MASK]") -> Column:

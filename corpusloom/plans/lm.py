@@ -30,8 +30,8 @@ def split_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT batch, chunk, count(*) AS n, md5(string_agg(token, ' ' ORDER BY place)) AS digest FROM k GROUP BY batch, chunk""",
 )
 def group_texts_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", lm.words(F.col("text")).alias("tokens"))
-    rows = lm.chunked(docs, "doc_id", "tokens", LENGTH, batch_rows=200)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = lm.chunked(docs, "doc_id", lm.words(F.col("text")), LENGTH, batch_rows=200, separator=" ")
     return rows.select("batch", "chunk", F.size("tokens").cast("long").alias("n"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 

@@ -235,8 +235,9 @@ def test_next_page(spark):
 
 def test_chunks(spark):
     df = spark.createDataFrame([(0, list("abc")), (1, []), (2, list("defgh")), (3, list("xy"))], "id long, t array<string>")
-    got = {(r.batch, r.chunk): "".join(r.tokens) for r in lm.chunked(df, "id", "t", 4, batch_rows=3).collect()}
-    assert got == {(0, 0): "abcd", (0, 1): "efgh", (1, 0): "xy"}
+    for separator in (None, ".", "| "):
+        got = {(r.batch, r.chunk): "".join(r.tokens) for r in lm.chunked(df, "id", F.col("t"), 4, batch_rows=3, separator=separator).collect()}
+        assert got == {(0, 0): "abcd", (0, 1): "efgh", (1, 0): "xy"}
 
 
 def test_model_batches_are_filled_up(spark):
