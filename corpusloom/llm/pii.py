@@ -18,6 +18,10 @@ Loopy belief propagation runs over all documents of a batch as one graph of sepa
 settle; one that swings without end keeps the messages of round `rounds`. A token whose marginal for a kind reaches
 `add_at` and that touches no base span adds a span.
 
+What a worker holds follows the candidates, at some 0.3 KB each, not the candidates times the features: tokens and edges
+are flat arrays, keys are compared by 128-bit digests, and features, messages and training steps are worked on in blocks.
+Documents are gathered up to GATHERED candidates; one of more makes a graph of its own.
+
 Defined cases: null texts are empty; a text without candidates has no spans; very long texts are taken whole; spans that
 start together are in the order of their kinds, and equal marginals go to the kind listed first; rows that repeat an id
 are reported each; an empty table gives no rows; other columns are ignored.
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,9 +51,10 @@ OTHER = len(KINDS)  # label of tokens that are none
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EVIDENCE = re.compile(r"[0-9@]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# possessive where nothing follows: the same matches, but no way back is kept for each repeat (100 bytes a character)
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
-_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EDGES = re.compile(r"^[^A-Za-z0-9@+]+|[^A-Za-z0-9]+$")
 
@@ -56,6 +62,9 @@ TAIL = 7  # last digits that make numbers similar
 HASHED = 64  # buckets of the words before and after
 SHAPES = 26
 OBSERVED = 60.0  # log odds of an observed label
+FEATURES = SHAPES + 2 * HASHED + 1
+BLOCK = 1 << 13  # tokens, links or edges that are worked on at once
+GATHERED = 1 << 16  # candidates from which on documents are no longer gathered into one graph
 
 
 def luhn(digits: str) -> bool:
@@ -139,59 +148,100 @@ def broken(span: str, kind: int, rng: np.random.Generator) -> str:
     return (digits[-10:], f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}", digits, f"{digits[-7:-4]}.{digits[-4:]}")[rng.integers(4)]
 
 
+def _blocks(n: int) -> Iterator[slice]:
+    return (slice(a, min(a + BLOCK, n)) for a in range(0, n, BLOCK))
+
+
 class Graph:
-    """Candidate tokens of many documents: features, edges and places."""
+    """Candidate tokens of many documents: features, edges and places, in flat arrays."""
 
     def __init__(self) -> None:
-        self.doc: list[int] = []
-        self.span: list[tuple[int, int]] = []
-        self.label: list[int] = []
-        self.feats: list[list[int]] = []
-        self.edges: list[tuple[int, int, int]] = []  # node, node, 0 chain / 1 same / 2 similar
-        self.links: list[tuple[int, int, int]] = []  # node, hub, 1 same / 2 similar
+        self.doc = array("i")
+        self.start = array("i")
+        self.end = array("i")
+        self.label = array("b")
+        self.flat = array("h")  # features, one token's after another's
+        self.upto = array("q", [0])  # where a token's features begin; the next token's begin where they end
         self.hubs = 0
+        self._edges = array("i")
+        self._links = array("i")
+
+    @property
+    def feats(self) -> list[list[int]]:
+        return [list(self.flat[a:b]) for a, b in zip(self.upto, self.upto[1:])]
+
+    @property
+    def edges(self) -> np.ndarray:
+        """node, node, 0 chain / 1 same / 2 similar."""
+        return np.array(self._edges, np.int32).reshape(-1, 3)
+
+    @property
+    def links(self) -> np.ndarray:
+        """node, hub, 1 same / 2 similar."""
+        return np.array(self._links, np.int32).reshape(-1, 3)
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
-        alike: dict[tuple[int, str], list[int]] = {}
-        words = list(_WORD.finditer(text))
-        before = -2
+        digests, kinds, holders = bytearray(), array("b"), array("i")
         reach = list(accumulate((e for _, _, e in base), max))
-        for i, m in enumerate(words):
-            token = m[0]
-            if not _EVIDENCE.search(token):
-                continue
-            node = len(self.doc)
-            first = bisect_right(reach, m.start())
-            label, whole = OTHER, ""
-            while first < len(base) and base[first][0] < m.end():
-                if base[first][2] > m.start():
-                    label, whole = base[first][1], text[base[first][0] : base[first][2]]
-                    break
-                first += 1
-            around = [words[i - 1][0] if i else "", words[i + 1][0] if i + 1 < len(words) else ""]
-            context = [SHAPES + j * HASHED + int.from_bytes(hashlib.blake2b(w.lower().encode(), digest_size=2).digest()) % HASHED for j, w in enumerate(around) if not _EVIDENCE.search(w)]
-            self.doc.append(doc)
-            self.span.append((m.start(), m.end()))
-            self.label.append(label)
-            self.feats.append(shape(token) + context)
-            if before == i - 1:
-                self.edges.append((node - 1, node, 0))
-            for key in keys_of(token, whole):
-                alike.setdefault(key, []).append(node)
-            before = i
-        for (kind, _), nodes in alike.items():
-            if kind and len({text[slice(*self.span[n])].lower() for n in nodes}) == 1:
-                continue  # the same token again: linked as that
+        words = _WORD.finditer(text)
+        last, m, beside = "", next(words, None), False
+        while m:
+            token, after = m[0], next(words, None)
+            if candidate := bool(_EVIDENCE.search(token)):
+                node = len(self.doc)
+                first = bisect_right(reach, m.start())
+                label, whole = OTHER, ""
+                while first < len(base) and base[first][0] < m.end():
+                    if base[first][2] > m.start():
+                        label, whole = base[first][1], text[base[first][0] : base[first][2]]
+                        break
+                    first += 1
+                around = [last, after[0] if after else ""]
+                context = [SHAPES + j * HASHED + int.from_bytes(hashlib.blake2b(w.lower().encode(), digest_size=2).digest()) % HASHED for j, w in enumerate(around) if not _EVIDENCE.search(w)]
+                self.doc.append(doc)
+                self.start.append(m.start())
+                self.end.append(m.end())
+                self.label.append(label)
+                self.flat.extend(shape(token) + context)
+                self.upto.append(len(self.flat))
+                if beside:
+                    self._edges.extend((node - 1, node, 0))
+                for kind, key in keys_of(token, whole):
+                    digests += hashlib.blake2b(f"{kind}{key}".encode(), digest_size=16).digest()
+                    kinds.append(kind)
+                    holders.append(node)
+            last, m, beside = token, after, candidate
+        if len(holders) > 1:
+            self._link(text, np.frombuffer(digests, np.uint64).reshape(-1, 2), kinds, holders)
+
+    def _link(self, text: str, digests: np.ndarray, kinds: array, holders: array) -> None:
+        """An edge between two holders of a key, a hub for more; keys in the order in which they first came."""
+        order = np.lexsort(digests.T)  # stable
+        sets = digests[order]
+        starts = np.flatnonzero(np.append(True, (sets[1:] != sets[:-1]).any(axis=1)))
+        size = np.diff(starts, append=len(order))
+        many = np.flatnonzero(size > 1)
+        for i in many[np.argsort(order[starts[many]])].tolist():
+            held = order[starts[i] : starts[i] + size[i]].tolist()
+            kind, nodes = kinds[held[0]], [holders[h] for h in held]
+            if kind:
+                tokens = (text[self.start[n] : self.end[n]].lower() for n in nodes)
+                one = next(tokens)
+                if all(t == one for t in tokens):
+                    continue  # the same token again: linked as that
             if len(nodes) == 2:
-                self.edges.append((*nodes, 1 + kind))
-            elif len(nodes) > 2:
-                self.links += [(node, self.hubs, 1 + kind) for node in nodes]
+                self._edges.extend((*nodes, 1 + kind))
+            else:
+                for node in nodes:
+                    self._links.extend((node, self.hubs, 1 + kind))
                 self.hubs += 1
 
-    def matrix(self) -> np.ndarray:
-        x = np.zeros((len(self.feats), SHAPES + 2 * HASHED + 1), np.float32)
-        for i, f in enumerate(self.feats):
-            x[i, f] = 1
+    def matrix(self, part: slice | None = None) -> np.ndarray:
+        """Features of all tokens or of a range; the last one is 1 everywhere."""
+        part = part or slice(0, len(self.doc))
+        upto = np.array(self.upto[part.start : part.stop + 1])
+        x = np.zeros((part.stop - part.start, FEATURES), np.float32)
+        x[np.repeat(np.arange(len(x)), np.diff(upto)), self.flat[upto[0] : upto[-1]]] = 1
         x[:, -1] = 1
         return x
 
@@ -237,47 +287,70 @@ def with_broken(text: str, base: list[tuple[int, int, int]], rng: np.random.Gene
     return out, sorted(spans)
 
 
+def _around(graph: Graph, y: np.ndarray, labels: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often a token's neighbours have each label, by kind of edge (a hub's label is the most common of the others);
+    and the tokens without a label that are like a base span: one may well be its mention, so it is neither taught nor
+    teaches."""
+    edges, links = graph.edges, graph.links
+    known = np.zeros((graph.hubs, labels), np.int32)
+    like = np.zeros(len(y), bool)
+    for part in _blocks(len(links)):
+        node, hub, _ = links[part].T
+        np.add.at(known, (hub, y[node]), 1)
+    for part in _blocks(len(edges)):
+        a, b, kind = edges[part].T
+        for one, two in ((a, b), (b, a)):
+            like[one[(kind > 0) & (y[two] != OTHER)]] = True
+    spanned = known[:, :OTHER].sum(axis=1) > 0
+    for part in _blocks(len(links)):
+        node, hub, _ = links[part].T
+        like[node[spanned[hub]]] = True
+    unsure = like & (y == OTHER)
+    known[:, OTHER] = 0
+    for part in _blocks(len(links)):
+        node, hub, _ = links[part].T
+        np.add.at(known[:, OTHER], hub[(y[node] == OTHER) & ~unsure[node]], 1)
+    near = np.zeros((len(y), 3 * labels), np.uint8)  # a token has at most two neighbours and a handful of keys
+    for part in _blocks(len(edges)):
+        a, b, kind = edges[part][~unsure[edges[part, :2]].any(axis=1)].T
+        for one, two in ((a, b), (b, a)):
+            np.add.at(near, (one, kind * labels + y[two]), 1)
+    for part in _blocks(len(links)):
+        node, hub, kind = links[part].T
+        others = known[hub] - np.eye(labels, dtype=np.int32)[y[node]] * ~unsure[node][:, None]
+        sure = ~unsure[node] & (others.sum(axis=1) > 0)
+        np.add.at(near, (node[sure], (kind * labels + others.argmax(axis=1))[sure]), 1)
+    return near, unsure
+
+
 def train(texts: list[str], config: PiiConfig) -> PiiModel:
-    """Pseudo-likelihood: each label given its neighbours', full-batch AdaGrad."""
+    """Pseudo-likelihood: each label given its neighbours', full-batch AdaGrad whose sums go over blocks of tokens."""
     graph, making = Graph(), np.random.default_rng(7)
     for i, t in enumerate(texts):
         graph.add(i, *with_broken(t, base_spans(t), making, config.made))
     labels = OTHER + 1
-    model = PiiModel(np.zeros((SHAPES + 2 * HASHED + 1, labels)), np.zeros((3, labels, labels)))
+    model = PiiModel(np.zeros((FEATURES, labels)), np.zeros((3, labels, labels)))
     if not graph.doc:
         model.unary[-1, OTHER] = 5.0
         return model
-    x, y = graph.matrix(), np.array(graph.label)
-    a, b, kinds = np.array(graph.edges, np.int64).reshape(-1, 3).T
-    node, hub, hub_kinds = np.array(graph.links, np.int64).reshape(-1, 3).T
-    # a token without a label that is like a base span may well be its mention: it is neither taught nor teaches
-    known = np.zeros((graph.hubs, labels), np.int64)
-    np.add.at(known, (hub, y[node]), 1)
-    like = np.zeros(len(y), bool)
-    for one, two in ((a, b), (b, a)):
-        like[one[(kinds > 0) & (y[two] != OTHER)]] = True
-    like[node[known[hub, :OTHER].sum(axis=1) > 0]] = True
-    unsure = like & (y == OTHER)
-    known[:, OTHER] = np.bincount(hub[(y[node] == OTHER) & ~unsure[node]], minlength=graph.hubs)
-    others = known[hub] - np.eye(labels, dtype=np.int64)[y[node]] * ~unsure[node][:, None]
-    here, there, kind = np.concatenate([a, b, node]), np.concatenate([y[b], y[a], others.argmax(axis=1)]), np.concatenate([kinds, kinds, hub_kinds])
-    sure = ~np.concatenate([unsure[a] | unsure[b], unsure[a] | unsure[b], unsure[node] | (others.sum(axis=1) == 0)])
-    here, there, kind = here[sure], there[sure], kind[sure]
-    one = np.eye(labels)[y]
+    y = np.array(graph.label)
+    near, unsure = _around(graph, y, labels)
     rng = np.random.default_rng(5)
     gu, gp = np.full(model.unary.shape, 1e-6), np.full(model.pair.shape, 1e-6)
     weight = np.where(unsure, 0.0, np.where(y == OTHER, 1.0, 3.0))[:, None] / len(y)
     for _ in range(config.epochs):
-        seen = x * (rng.random(x.shape) >= config.drop)
-        seen[:, -1] = 1
-        score = seen @ model.unary
-        np.add.at(score, here, model.pair[kind, there])
-        wrong = (_softmax(score) - one) * weight
-        du = seen.T @ wrong + config.l2 * model.unary
+        both, total = np.concatenate([model.unary, model.pair.reshape(-1, labels)]), 0.0
+        for part in _blocks(len(y)):
+            seen = graph.matrix(part)
+            seen *= rng.random(seen.shape) >= config.drop
+            seen[:, -1] = 1
+            seen = np.concatenate([seen, near[part]], axis=1, dtype=np.float64)
+            wrong = (_softmax(seen @ both) - np.eye(labels)[y[part]]) * weight[part]
+            total += seen.T @ wrong
+        du = total[:FEATURES] + config.l2 * model.unary
         gu += du * du
         model.unary -= config.rate * du / np.sqrt(gu)
-        dp = np.zeros(model.pair.shape)
-        np.add.at(dp, (kind, there), wrong[here])
+        dp = total[FEATURES:].reshape(model.pair.shape)
         dp = (dp + dp.transpose(0, 2, 1)) / 2 + config.l2 * model.pair
         gp += dp * dp
         model.pair -= config.rate * dp / np.sqrt(gp)
@@ -287,35 +360,44 @@ def train(texts: list[str], config: PiiConfig) -> PiiModel:
 def marginals(graph: Graph, model: PiiModel, rounds: int, settled: float = 1e-4) -> np.ndarray:
     """Loopy belief propagation, damped, all edges of the documents at once whose messages still move."""
     n = len(graph.doc)
-    local = np.concatenate([graph.matrix() @ model.unary, np.zeros((graph.hubs, model.unary.shape[1]))])
+    local = np.zeros((n + graph.hubs, model.unary.shape[1]))
+    for part in _blocks(n):
+        local[part] = graph.matrix(part) @ model.unary
     label = np.array(graph.label)
     known = np.flatnonzero(label != OTHER)  # parts of base spans are observed
     local[known] = -OBSERVED
     local[known, label[known]] = 0.0
-    edges = np.array(graph.edges + [(node, n + hub, kind) for node, hub, kind in graph.links], np.int64).reshape(-1, 3)
-    owner = np.array(graph.doc, np.int64)[edges[:, 0]]
+    edges = np.concatenate([graph.edges, graph.links + np.array([0, n, 0], np.int32)])
+    owner = np.array(graph.doc)[edges[:, 0]]
     message = np.zeros((2, len(edges), local.shape[1]))  # to the second node, to the first
     moving = np.arange(len(edges))
+    belief = np.empty_like(local)
     for _ in range(rounds):
         if not len(moving):
             break
-        a, b, kind = edges[moving].T
-        old, pair = message[:, moving], model.pair[kind]
-        belief = local.copy()
-        np.add.at(belief, b, old[0])
-        np.add.at(belief, a, old[1])
-        full = np.stack([belief[a] - old[1], belief[b] - old[0]])[..., None] + pair
-        top = full.max(axis=2, keepdims=True)
-        new = np.log(np.exp(full - top).sum(axis=2)) + top[:, :, 0]
-        new -= new.mean(axis=2, keepdims=True)
-        message[:, moving] = 0.5 * old + 0.5 * new
+        belief[:] = local
+        for side in (0, 1):
+            for part in _blocks(len(moving)):
+                np.add.at(belief, edges[moving[part], 1 - side], message[side, moving[part]])
         most = np.zeros(owner.max() + 1)
-        np.maximum.at(most, owner[moving], np.abs(new - old).max(axis=(0, 2)))
+        for part in _blocks(len(moving)):
+            now = moving[part]
+            a, b, kind = edges[now].T
+            old, pair = message[:, now], model.pair[kind]
+            full = np.stack([belief[a] - old[1], belief[b] - old[0]])[..., None] + pair
+            top = full.max(axis=2, keepdims=True)
+            new = np.log(np.exp(full - top).sum(axis=2)) + top[:, :, 0]
+            new -= new.mean(axis=2, keepdims=True)
+            message[:, now] = 0.5 * old + 0.5 * new
+            np.maximum.at(most, owner[now], np.abs(new - old).max(axis=(0, 2)))
         moving = moving[most[owner[moving]] > settled]
     belief = local
-    np.add.at(belief, edges[:, 1], message[0])
-    np.add.at(belief, edges[:, 0], message[1])
-    return _softmax(belief[:n])
+    for side in (0, 1):
+        for part in _blocks(len(edges)):
+            np.add.at(belief, edges[part, 1 - side], message[side, part])
+    for part in _blocks(n):
+        belief[part] = _softmax(belief[part])
+    return belief[:n]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -324,25 +406,34 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 def find_in(texts: list[str | None], model: PiiModel, config: PiiConfig) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text."""
-    graph, base = Graph(), []
+    out, graph = [], Graph()
     for i, text in enumerate(texts):
-        base.append(base_spans(text) if text else [])
+        base = base_spans(text) if text else []
+        out.append((base, list(base)))
         if text:
-            graph.add(i, text, base[-1])
-    out = [(b, list(b)) for b in base]
-    if graph.doc:
-        p = marginals(graph, model, config.rounds)
-        best = p[:, :OTHER].argmax(axis=1)
-        for node in np.flatnonzero((p[np.arange(len(p)), best] >= config.add_at) & (np.array(graph.label) == OTHER)):
-            doc, (s, e) = graph.doc[node], graph.span[node]
-            core = _EDGES.sub("", texts[doc][s:e])
-            s += texts[doc][s:e].find(core) if core else 0
-            out[doc][1].append((s, int(best[node]), s + (len(core) or e - s)))
-        for _, every in out:
-            every.sort()
+            graph.add(i, text, base)
+        if len(graph.doc) >= GATHERED:
+            _add_spans(texts, graph, model, config, out)
+            graph = Graph()
+    _add_spans(texts, graph, model, config, out)
     return out
 
 
+def _add_spans(texts: list[str | None], graph: Graph, model: PiiModel, config: PiiConfig, out: list[tuple[list, list]]) -> None:
+    if not graph.doc:
+        return
+    p = marginals(graph, model, config.rounds)
+    best = p[:, :OTHER].argmax(axis=1)
+    added = np.flatnonzero((p[np.arange(len(p)), best] >= config.add_at) & (np.array(graph.label) == OTHER)).tolist()
+    for node in added:
+        doc, s, e = graph.doc[node], graph.start[node], graph.end[node]
+        core = _EDGES.sub("", texts[doc][s:e])
+        s += texts[doc][s:e].find(core) if core else 0
+        out[doc][1].append((s, int(best[node]), s + (len(core) or e - s)))
+    for doc in {graph.doc[node] for node in added}:
+        out[doc][1].sort()
+
+
 def fit(documents: DataFrame, config: PiiConfig | None = None) -> PiiModel:
     config = config or PiiConfig()
     known = documents.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
@@ -362,8 +453,7 @@ def find_personal_data(documents: DataFrame, model: PiiModel, config: PiiConfig
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in tv.chunks(batch, "text"):
-                hits = np.concatenate([[0], np.cumsum(evidence[data])])
-                some = np.flatnonzero(hits[offsets[1:]] > hits[offsets[:-1]])
+                some = [i for i in range(b - a) if evidence[data[offsets[i] : offsets[i + 1]]].any()]
                 counts = np.zeros((len(KINDS), b - a), np.int64)
                 digest, spans = [empty] * (b - a), [""] * (b - a)
                 texts = [data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in some]

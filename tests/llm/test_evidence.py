@@ -1,5 +1,7 @@
 """Evidence that must reach what it concerns, whatever the size of the text or the sample."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -46,3 +48,50 @@ def test_rare_words_count_at_every_size(others):
     data = np.frombuffer(b"vile", np.uint8)
     _, features = toxicity.gram_features(data, np.array([0, 4]), config.bits)
     assert (model.weights[features] > 0).all()
+
+
+def numbers(size, seed=0):
+    """A text of about size characters whose words are all candidates."""
+    rng, out = np.random.default_rng(seed), []
+    while size > 0:
+        out.append(str(rng.integers(10 ** rng.integers(1, 10))))
+        size -= len(out[-1]) + 1
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("case", ["one text", "many texts", "training"])
+def test_personal_data_memory_follows_candidates(case):
+    """Under 1 KB a candidate beside what a block takes, however many features and labels there are."""
+    texts = [numbers(1 << 18)] if case == "one text" else [numbers(1 << 12, i) for i in range(64)]
+    model = pii.PiiModel(np.zeros((pii.SHAPES + 2 * pii.HASHED + 1, 5)), np.zeros((3, 5, 5)))
+    candidates = sum(len(t.split()) for t in texts)
+    tracemalloc.start()
+    try:
+        if case == "training":
+            pii.train(texts, pii.PiiConfig(epochs=1))
+        else:
+            pii.find_in(texts, model, pii.PiiConfig())
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < (16 << 20) + 1000 * candidates
+
+
+def test_blocks_and_gathering_change_no_result(monkeypatch):
+    texts = ["call +1 555 123 4567, 555.123.4567 or 1234567", "5551234 x 5551234 y 5551234 z 99", None, "joe@a.example, joe@a", "1 2 3 a 4 5", numbers(300)]
+    config = pii.PiiConfig(epochs=20, add_at=0.3, made=1.0)
+    sample = [t for t in texts if t] * 5
+
+    def results():
+        graph, model = pii.Graph(), pii.train(sample, config)
+        for i, t in enumerate(texts):
+            graph.add(i, t or "", pii.base_spans(t or ""))
+        return model, pii.marginals(graph, model, 50), pii.find_in(texts, model, config)
+
+    whole = results()
+    monkeypatch.setattr(pii, "BLOCK", 3)
+    monkeypatch.setattr(pii, "GATHERED", 2)
+    cut = results()
+    assert np.allclose(whole[0].unary, cut[0].unary) and np.allclose(whole[0].pair, cut[0].pair) and np.abs(whole[0].pair).max() > 0
+    assert np.allclose(whole[1], cut[1]) and whole[2] == cut[2]
+    assert whole[2][2] == ([], []) and any(len(every) > len(base) for base, every in whole[2])
