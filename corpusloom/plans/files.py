@@ -25,7 +25,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_roundtrip", SAME)
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_csv(_docs(spark, sf_dir), path := shared_path(spark, "csv"))
-    return readers.read_csv(spark, path, SCHEMA)
+    return readers.read_csv(spark, path, SCHEMA, line_end="\n")
 
 
 @query("tsv_roundtrip", "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(9), ' ') AS text, lang FROM documents")

@@ -11,6 +11,7 @@ import io
 import json
 import lzma
 import tarfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +38,15 @@ def read_json_document(spark: SparkSession, path: str, schema: str, field: str)
     return spark.read.schema(schema).option("multiLine", True).json(path).select(F.inline(field))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+def _delimited(line_end: str | None) -> dict[str, object]:
+    """Options of quoted values that may hold anything. A null is nothing between separators: it is read as a word that
+    no value can be, so that a quoted empty text stays one. Without `line_end` it is what ends a file's first line."""
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "nullValue": uuid.uuid4().hex}
+    return options | ({"lineSep": line_end} if line_end else {})
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, line_end: str | None = None) -> DataFrame:
+    return spark.read.schema(schema).csv(path, **_delimited(line_end))
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from ..operators.tables import with_row_index
 
 
+# Blanks at the ends of a value stay, and a null is nothing where an empty text is a pair of quotes.
+QUOTED = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, escape='"', quoteAll=True)
+    df.write.csv(path, **QUOTED)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -16,6 +16,7 @@ from brute import brute_pairs, sequential
 from corpusloom.operators import lm, lsh, transcripts
 from corpusloom.operators.image_text import SourceSpec, UnionConfig, record
 from corpusloom.operators.tables import with_row_index, with_running_sum
+from corpusloom.plans import catalog
 from corpusloom.sources import crawl, readers, sinks
 from corpusloom.streaming import ingest
 from pyspark.sql import functions as F
@@ -346,3 +347,19 @@ def test_streaming_first_seen(spark, folder):
     fresh = ingest.first_seen(ingest.incoming(spark, f"{folder}/in", "id long, t string"), F.md5("t"))
     ingest.append_to(fresh, f"{folder}/out", f"{folder}/state")
     assert sorted(r.t for r in spark.read.parquet(f"{folder}/out").collect()) == [f"t{i}" for i in range(5)]
+
+
+ODD = [None, "", " ", " a ", "\ta\n", "a\r\nb", "a\rb", "\r", "\n", '"', 'a"b', '"a"', "\\", '\\"', "a,b", "\x00", "a\x00", "\x01a", "#x", "\\N", "null"]
+
+
+def odd_documents(spark, folder):
+    """Texts that a format may lose, and ids that are null or below 0; the folder with them as documents."""
+    rows = [(i if i else None, x, "en", "s", 1) for i, x in enumerate(ODD, -3)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return [r[:3] for r in rows]
+
+
+def test_csv_keeps_odd_texts(spark, folder):
+    rows = odd_documents(spark, folder)
+    got = [(r.doc_id, r.text, r.lang) for r in catalog.queries()["csv_roundtrip"](spark, folder).collect()]
+    assert Counter(got) == Counter(rows)
