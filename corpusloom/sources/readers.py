@@ -49,13 +49,14 @@ def read_csv(spark: SparkSession, path: str, schema: str, line_end: str | None =
     return spark.read.schema(schema).csv(path, **_delimited(line_end))
 
 
-def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True, sep="\t", quote="")
+def read_tsv(spark: SparkSession, path: str, schema: str, line_end: str | None = None) -> DataFrame:
+    return spark.read.schema(schema).csv(path, sep="\t", **_delimited(line_end))
 
 
-def read_tsv_column(spark: SparkSession, path: str, position: int, header: bool = True) -> DataFrame:
+def read_tsv_column(spark: SparkSession, path: str, position: int, header: bool = True, line_end: str | None = None) -> DataFrame:
     """One column of TSV files, plain or gzip, by its position from 0, without a schema."""
-    rows = spark.read.csv(path, header=header, sep="\t", quote="", schema=", ".join(f"c{i} string" for i in range(position + 1)), enforceSchema=True)
+    schema = ", ".join(f"c{i} string" for i in range(position + 1))
+    rows = spark.read.csv(path, sep="\t", schema=schema, enforceSchema=True, **_delimited(line_end) | {"header": header})
     return rows.select(F.col(f"c{position}").alias("value"))
 
 

@@ -18,9 +18,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, **QUOTED)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Tab-separated with a header; batches append."""
-    df.write.mode(mode).csv(path, header=True, sep="\t", quote="")
+def write_tsv(df: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
+    """Tab-separated with a header, values that need it in quotes; batches append."""
+    df.write.mode(mode).csv(path, sep="\t", compression=compression or "none", **QUOTED)
 
 
 def write_jsonl(df: DataFrame, path: str, compression: str | None = None, mode: str = "errorifexists") -> None:

@@ -363,3 +363,19 @@ def test_csv_keeps_odd_texts(spark, folder):
     rows = odd_documents(spark, folder)
     got = [(r.doc_id, r.text, r.lang) for r in catalog.queries()["csv_roundtrip"](spark, folder).collect()]
     assert Counter(got) == Counter(rows)
+
+
+@pytest.mark.parametrize("name", ["tsv_roundtrip", "jsonl_roundtrip"])
+def test_appended_batches_keep_odd_rows(spark, folder, name):
+    rows = odd_documents(spark, folder)
+    flat = [(i, x.replace("\n", " ").replace("\t", " ") if x and name == "tsv_roundtrip" else x, lang) for i, x, lang in rows]
+    got = [(r.doc_id, r.text, r.lang) for r in catalog.queries()[name](spark, folder).collect()]
+    assert Counter(got) == Counter(flat)
+
+
+def test_tsv_column_keeps_odd_values(spark, folder):
+    odd_documents(spark, folder)
+    odd = spark.read.parquet(f"{folder}/documents.parquet").withColumn("source", F.col("text"))
+    odd.write.parquet(f"{folder}-b/documents.parquet")
+    got = Counter({r.value: r.n for r in catalog.queries()["tsv_gz_column"](spark, f"{folder}-b").collect()})
+    assert got == Counter(ODD)
