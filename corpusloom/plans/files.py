@@ -209,20 +209,24 @@ def crawl_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
 DISTINCT = r"SELECT DISTINCT md5(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS hash FROM documents"
 
 
+def _arriving(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Documents' files that come one after another, as a stream; a batch takes a file for each core, so no task has more than a file."""
+    ingest.arrivals(_docs(spark, sf_dir), 3, "doc_id", f"{root}/in", files=None)
+    return ingest.incoming(spark, f"{root}/in", SCHEMA, files_per_batch=spark.sparkContext.defaultParallelism)
+
+
 @query("stream_ingest_dedup", DISTINCT)
 def stream_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that come one after another; contents not seen before are appended."""
     root = shared_path(spark, "stream-dedup")
-    ingest.arrivals(_docs(spark, sf_dir), 3, "doc_id", f"{root}/in")
-    fresh = ingest.first_seen(ingest.incoming(spark, f"{root}/in", SCHEMA), s.content_hash(F.col("text")))
-    ingest.append_to(fresh.select("hash"), f"{root}/out", f"{root}/state")
+    hashes = _arriving(spark, sf_dir, root).select(s.content_hash(F.col("text")).alias("hash"))  # texts aren't shuffled
+    ingest.append_to(ingest.first_seen(hashes, F.col("hash")), f"{root}/out", f"{root}/state")
     return spark.read.schema("hash string").parquet(f"{root}/out")
 
 
 @query("stream_batches", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each arriving file is processed as a batch with a number of its own."""
+    """Arriving files are processed in batches with a number each."""
     root = shared_path(spark, "stream-batches")
-    ingest.arrivals(_docs(spark, sf_dir), 3, "doc_id", f"{root}/in")
-    ingest.process_new(ingest.incoming(spark, f"{root}/in", SCHEMA), lambda b: b.groupBy("lang").agg(F.count("*").alias("n")), f"{root}/out", f"{root}/state")
+    ingest.process_new(_arriving(spark, sf_dir, root), lambda b: b.groupBy("lang").agg(F.count("*").alias("n")), f"{root}/out", f"{root}/state")
     return spark.read.parquet(f"{root}/out").groupBy("lang").agg(F.sum("n").alias("n"))

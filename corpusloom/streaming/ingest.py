@@ -47,7 +47,12 @@ def upsert_each(stream: DataFrame, upsert: Callable[[DataFrame, int], None], che
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def arrivals(df: DataFrame, parts: int, key: str, path: str) -> None:
-    """Write df as `parts` files, as if they had come one after another (for tests and demonstrations)."""
+def arrivals(df: DataFrame, parts: int, key: str, path: str, files: int | None = 1) -> None:
+    """Write df in `parts` batches, as if they had come one after another (for tests and demonstrations).
+
+    Each is one file, which one task writes; with files=None each has a file for every partition of df that it has rows of.
+    """
+    part = F.coalesce(F.pmod(F.col(key), F.lit(parts)), F.lit(0))
     for i in range(parts):
-        df.where(F.pmod(F.col(key), F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(path)
+        rows = df.where(part == i)
+        (rows if files is None else rows.coalesce(files)).write.mode("append").parquet(path)

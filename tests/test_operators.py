@@ -379,3 +379,24 @@ def test_tsv_column_keeps_odd_values(spark, folder):
     odd.write.parquet(f"{folder}-b/documents.parquet")
     got = Counter({r.value: r.n for r in catalog.queries()["tsv_gz_column"](spark, f"{folder}-b").collect()})
     assert got == Counter(ODD)
+
+
+def test_arrivals_in_many_files(spark, folder):
+    """Batches of several files, so that no task writes or reads a batch; rows of odd ids arrive too."""
+    df = spark.createDataFrame([(i if i else None, f"t{i}") for i in range(-8, 56)], "id long, t string").repartition(4)
+    ingest.arrivals(df, 2, "id", f"{folder}/in", files=None)
+    assert len(list(Path(f"{folder}/in").glob("*.parquet"))) == 8
+    stream = ingest.incoming(spark, f"{folder}/in", "id long, t string", files_per_batch=3)
+    ingest.process_new(stream, lambda b: b, f"{folder}/out", f"{folder}/state")
+    got = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted(r.t for r in got) == sorted(f"t{i}" for i in range(-8, 56)) and len({r.part for r in got}) == 3
+
+
+def test_stream_queries_write_no_single_files(spark, folder):
+    """Documents of eight files arrive in more than one file for each of three batches."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(8).write.option("parquet.block.size", 1 << 16).parquet(f"{folder}/documents.parquet")
+    rows = catalog.queries()["stream_ingest_dedup"](spark, folder)
+    arrived = Path(rows.inputFiles()[0].removeprefix("file:")).parent.parent / "in"
+    assert len(list(arrived.glob("*.parquet"))) > 3
+    assert rows.count() == docs.select(F.md5(F.trim("text"))).distinct().count() == rows.distinct().count()
