@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.tables import with_row_index
+from ..operators.tables import stored, with_row_index
+
+PART = 16 << 20
 
 
 # Blanks at the ends of a value stay, and a null is nothing where an empty text is a pair of quotes.
@@ -44,8 +46,11 @@ def write_nested(df: DataFrame, path: str) -> None:
 
 
 def write_text(df: DataFrame, path: str, line: str, *order: str) -> None:
-    """Text files in order: the part files one after another are the whole."""
-    df.orderBy(*order).select(line).write.text(path)
+    """Text files in order: the part files one after another are the whole. A file has about PART bytes."""
+    rows = stored(df.select(*dict.fromkeys([*order, line])), "lines")
+    size = rows.agg(F.sum(F.octet_length(line))).first()[0] or 0
+    parts = rows.repartitionByRange(max(1, -(-size // PART)), *order).sortWithinPartitions(*order)
+    parts.select(line).write.text(path)
 
 
 def escaped_csv_line(*columns: str):
