@@ -56,6 +56,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, rows: int, *keys: str, each: int = 200_000) -> DataFrame:
+    """df dealt by keys in parts of about `each` of its `rows` rows. Adaptive execution leaves a number that is given as it
+    is; its own parts are of compressed bytes, so that rows of a few bytes become millions for a task to sort."""
+    return df.repartition(max(1, -(-rows // each)), *keys)
+
+
 SALTS = 16
 
 

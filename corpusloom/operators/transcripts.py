@@ -1,6 +1,7 @@
 """Speaker-aligned transcripts. Streams are partitions; a stream (one recording) is worked through in order.
 
 words: stream, seq, start_ms, end_ms, word. turns: stream, turn, start_ms, end_ms, speaker, with ends that don't decrease.
+Both should be stored tables, as they are counted: a task gets streams of about as many words however many there are.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import timestamp
+from .tables import bounded
 
 SENTENCE_END = ".?!"
 
@@ -29,7 +31,7 @@ def map_speakers(words: DataFrame, turns: DataFrame, option: str = "start") -> D
     ahead = Window.partitionBy("stream").orderBy(F.desc("at"), F.desc("kind"), F.desc("turn")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.max_by("speaker", "turn").over(Window.partitionBy("stream"))
     found = F.coalesce(F.last("speaker", ignorenulls=True).over(ahead), last)
-    both = w.unionByName(t).withColumn("speaker", found)
+    both = bounded(w.unionByName(t), words.count(), "stream").withColumn("speaker", found)
     return both.where("kind = 0").select("stream", "seq", "start_ms", "end_ms", "word", "speaker")
 
 
@@ -40,7 +42,8 @@ def segments(mapped: DataFrame, turns: DataFrame) -> DataFrame:
     another's. Words are followed by a blank each.
     """
     first = turns.groupBy("stream").agg(F.min_by(F.struct("start_ms", "end_ms", "speaker"), "turn").alias("t0"))
-    rows = mapped.join(first, "stream")
+    n = mapped.count()
+    rows = bounded(mapped, n, "stream").join(bounded(first, n, "stream"), "stream")
     order = Window.partitionBy("stream").orderBy("seq")
     before = F.coalesce(F.lag("speaker").over(order), F.col("t0.speaker"))
     rows = rows.withColumn("change", (F.col("speaker") != before).cast("long"))

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import transcripts as t
-from ..operators.tables import load, shared_path, stored
+from ..operators.tables import bounded, load, shared_path, stored
 from ..sources import readers, sinks
 from .registry import query
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("stream"), "turn", F.posexplode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("at", "word"))
+    spoken = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")
+    talks = load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("stream"), "turn", "text")
+    n = talks.agg(F.sum(F.size(spoken))).first()[0] or 0
+    rows = bounded(talks, n, "stream").select("stream", "turn", F.posexplode(spoken).alias("at", "word"))
     seq = F.row_number().over(Window.partitionBy("stream").orderBy("turn", "at")) - 1
     rows = rows.withColumn("seq", seq.cast("long"))
     return rows.select("stream", "turn", "seq", (F.col("seq") * 300).alias("start_ms"), (F.col("seq") * 300 + 250).alias("end_ms"), "word")

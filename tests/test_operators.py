@@ -13,7 +13,7 @@ from pathlib import Path
 import pytest
 import zstandard
 from brute import brute_pairs, sequential
-from corpusloom.operators import lm, lsh, transcripts
+from corpusloom.operators import lm, lsh, tables, transcripts
 from corpusloom.operators.image_text import SourceSpec, UnionConfig, record
 from corpusloom.operators.tables import with_row_index, with_running_sum
 from corpusloom.plans import catalog
@@ -400,3 +400,23 @@ def test_stream_queries_write_no_single_files(spark, folder):
     arrived = Path(rows.inputFiles()[0].removeprefix("file:")).parent.parent / "in"
     assert len(list(arrived.glob("*.parquet"))) > 3
     assert rows.count() == docs.select(F.md5(F.trim("text"))).distinct().count() == rows.distinct().count()
+
+
+def test_streams_are_dealt_by_their_words(spark, monkeypatch):
+    """More words are more tasks, not larger ones; adaptive execution would join small parts again."""
+    words = spark.range(2000).select((F.col("id") % 40).alias("stream"), F.floor(F.col("id") / 40).alias("seq"))
+    words = words.withColumns({"start_ms": F.col("seq") * 300, "end_ms": F.col("seq") * 300 + 250, "word": F.lit("w")})
+    turns = words.where("seq % 10 = 9").select("stream", (F.col("seq") / 10).cast("long").alias("turn"), "start_ms", "end_ms", F.lit("a").alias("speaker"))
+    monkeypatch.setattr(transcripts, "bounded", lambda df, rows, *keys: tables.bounded(df, rows, *keys, each=100))
+    mapped = transcripts.map_speakers(words, turns)
+    assert mapped.rdd.getNumPartitions() == 20 and mapped.where("speaker = 'a'").count() == 2000
+    assert transcripts.realign(mapped).rdd.getNumPartitions() == 20
+    found = transcripts.segments(mapped, turns)
+    assert found.count() == 40 and found.rdd.getNumPartitions() >= 20
+
+
+def test_text_in_order_is_cut_by_bytes(spark, folder, monkeypatch):
+    monkeypatch.setattr(sinks, "PART", 1000)
+    sinks.write_text(spark.range(1000).select("id", F.format_string("%06d", "id").alias("line")), folder, "line", "id")
+    files = sorted(Path(folder).glob("part-*"))
+    assert len(files) > 4 and "".join(f.read_text() for f in files).split() == [f"{i:06d}" for i in range(1000)]
