@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats as s
 from ..operators.image_text import SourceSpec, UnionConfig, padded_id, record, url_column
-from ..operators.tables import load, shared_path, stored, with_row_index, with_running_sum
+from ..operators.tables import bounded, load, shared_path, stored, with_row_index, with_running_sum
 from ..sources import sinks
 from .registry import query
 
@@ -159,10 +159,12 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offset_slice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts put together from line files and (offset, count) records: the interval join as an equi-join on line numbers."""
     places = stored(offsets(spark, sf_dir), "offsets")
+    n = places.agg(F.sum("nb")).first()[0] or 0  # lines; a task gets about as many however many there are
     wanted = places.select("file_id", "doc_id", F.explode(F.sequence("offset", F.col("offset") + F.col("nb") - 1)).alias("line_no"))
-    rows = wanted.join(numbered_lines(spark, sf_dir, places), ["file_id", "line_no"])
+    keys = ["file_id", "line_no"]
+    rows = bounded(wanted, n, *keys).join(bounded(numbered_lines(spark, sf_dir, places), n, *keys), keys)
     lines = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return rows.groupBy("doc_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "").alias("text"))
+    return bounded(rows, n, "doc_id").groupBy("doc_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "").alias("text"))
 
 
 @query(
