@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.batches import pieces
 from .tables import stored, with_row_index
 
 
@@ -51,8 +52,8 @@ def tokeniser(load_model: Callable[[], Callable[[list[str]], list[list[str]]]]):
     @F.pandas_udf("array<string>")
     def tokenise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
-        for texts in batches:
-            yield pd.Series(model(texts.fillna("").tolist()))
+        for part in (part for texts in batches for part in pieces(texts)):
+            yield pd.Series(model(part.fillna("").tolist()))
 
     return tokenise
 
@@ -105,10 +106,25 @@ def translator(load_model: Callable[[], Callable[[list[str]], list[str]]], batch
     def translate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for texts in batches:
-            rows, out = texts.fillna("").tolist(), []
-            for a in range(0, len(rows), batch):
-                part = rows[a : a + batch]
-                out += model(part + [filler] * (batch - len(part)))[: len(part)]
-            yield pd.Series(out)
+            yield from _translated(model, texts, batch, filler)
 
     return translate
+
+
+def row_translator(load_model: Callable[[], Callable[[list[str]], list[str]]], names: list[str], batch: int = 1024, filler: str = "tidak"):
+    """translator() over several columns at once: texts -> struct of `names`, by one Python worker with one model instead of one for each column."""
+
+    @F.pandas_udf(", ".join(f"{name} string" for name in names))
+    def translate(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        model = load_model()
+        for columns in batches:
+            for parts in zip(*(_translated(model, texts, batch, filler) for texts in columns), strict=True):
+                yield pd.DataFrame(dict(zip(names, parts, strict=True)))
+
+    return translate
+
+
+def _translated(model: Callable[[list[str]], list[str]], texts: pd.Series, batch: int, filler: str) -> Iterator[pd.Series]:
+    for a in range(0, len(texts), batch):
+        part = texts.iloc[a : a + batch].fillna("").tolist()
+        yield pd.Series(model(part + [filler] * (batch - len(part)))[: len(part)])

@@ -112,6 +112,6 @@ def _lower() -> object:
 @query("translate_stub", "SELECT conv_id, turn, lower(text) AS translated, lower(role || ': ' || text) AS original FROM conversations")
 def translate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batched model interface with a stand-in model over two columns of whole texts; keys pass through. A limit in tokens is the loaded model's."""
-    translate = lm.translator(_lower, batch=256)
+    translate = lm.row_translator(_lower, ["translated", "original"], batch=256)
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.concat_ws(": ", "role", "text").alias("original"))
-    return rows.select("conv_id", "turn", translate(F.col("text")).alias("translated"), translate(F.col("original")).alias("original"))
+    return rows.select("conv_id", "turn", translate("text", "original").alias("t")).select("conv_id", "turn", "t.translated", "t.original")

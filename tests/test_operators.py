@@ -10,9 +10,11 @@ from collections import Counter, defaultdict
 from datetime import datetime
 from pathlib import Path
 
+import pandas as pd
 import pytest
 import zstandard
 from brute import brute_pairs, sequential
+from corpusloom.functions import batches, cleaning
 from corpusloom.operators import lm, lsh, tables, transcripts
 from corpusloom.operators.image_text import SourceSpec, UnionConfig, record
 from corpusloom.operators.tables import with_row_index, with_running_sum
@@ -420,3 +422,24 @@ def test_text_in_order_is_cut_by_bytes(spark, folder, monkeypatch):
     sinks.write_text(spark.range(1000).select("id", F.format_string("%06d", "id").alias("line")), folder, "line", "id")
     files = sorted(Path(folder).glob("part-*"))
     assert len(files) > 4 and "".join(f.read_text() for f in files).split() == [f"{i:06d}" for i in range(1000)]
+
+
+def test_models_get_pieces_not_batches(spark):
+    """What a Python worker makes of a batch is bounded by characters and the model's rows, however long the batch."""
+    texts = pd.Series(["x" * 400, None, "y" * 700, "", "z" * 5000, "a"])
+    assert [len(p) for p in batches.pieces(texts, characters=1000)] == [3, 2, 1]
+    assert [len(p) for p in batches.pieces(texts, rows=4)] == [4, 2] and not list(batches.pieces(texts[:0]))
+    made = lm._translated(lambda rows: [f"{len(rows)}{t}" for t in rows], pd.Series(["a", None, "c"]), 2, "f")
+    assert [p.tolist() for p in made] == [["2a", "2"], ["2c"]]
+    long = spark.createDataFrame([(i, None if i == 2 else f"&amp; {i} " * 60000) for i in range(7)], "id long, text string").coalesce(1)
+    tokens = lm.tokeniser(lambda: lambda rows: [t.split() for t in rows])(F.col("text"))
+    got = {r.id: (r.n, r.t) for r in long.select("id", F.size(tokens).alias("n"), F.left(cleaning.unescape(F.col("text")), F.lit(4)).alias("t")).collect()}
+    assert got == {i: (0, None) if i == 2 else (120000, f"& {i} ") for i in range(7)}
+    both = lm.row_translator(lambda: lambda rows: [t.upper() for t in rows], ["a", "b"], batch=2)
+    pairs = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(5)], "x string, y string").coalesce(1)
+    assert [tuple(r.t) for r in pairs.select(both("x", "y").alias("t")).collect()] == [(f"A{i}", f"B{i}") for i in range(5)]
+
+
+def test_translate_stub_is_one_python_step(spark):
+    text = catalog.queries()["translate_stub"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1
