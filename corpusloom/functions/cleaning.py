@@ -7,7 +7,7 @@ with a user handle is spaced out letter by letter; `intended` does what these st
 from __future__ import annotations
 
 import html
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .batches import pieces
 from .patterns import listed
 
 # Replacements of markup remnants, in order.
@@ -52,8 +53,9 @@ URL_AT_RUN = rf"(?<![{listed(URL_CHARACTERS)}])(?:https?://)?[{listed(URL_CHARAC
 
 
 @F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else html.unescape(t))
+def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for part in (part for texts in batches for part in pieces(texts)):
+        yield part.map(lambda t: None if t is None else html.unescape(t))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
