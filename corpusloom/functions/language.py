@@ -27,7 +27,8 @@ def language_profile(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def confidences(text: Column) -> Column:
     """Share of each language among the profile words of a text, as a struct with a field for each; null without any."""
-    tokens = F.split(F.lower(text), r"[^\p{L}]+")
+    known = tuple(dict.fromkeys(w for words in PROFILES.values() for w in words))
+    tokens = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), _in(known))  # once, the languages then look at these few
     hits = F.transform(F.array(tokens), lambda t: F.struct(*(F.size(F.filter(t, _in(words))).alias(lang) for lang, words in PROFILES.items())))
     hits = F.element_at(hits, 1)
 

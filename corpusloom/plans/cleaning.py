@@ -196,9 +196,9 @@ def lang_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cleaned() with lang and lang_confidence of the cleaned text; a detector of any model may give them instead."""
-    rows = cleaned(spark, sf_dir).select("*", F.inline(F.array(top_language(F.col("clean_text")))).alias("lang", "lang_confidence"))
-    return rows
+    """cleaned() with lang and lang_confidence of the cleaned text, null where the gate fails before; a detector of any model may give them instead."""
+    found = F.when(s.Gate().reason() == "kept", top_language(F.col("clean_text")))
+    return cleaned(spark, sf_dir).select("*", F.inline(F.array(found)).alias("lang", "lang_confidence"))
 
 
 @query("language_gate", f"{STATS}, l AS ({PROFILED}) SELECT doc_id, label AS lang, round(confidence, 6) AS lang_confidence, clean_words FROM g JOIN l USING (doc_id) WHERE reason = 'kept' AND label = 'en' AND confidence > 0.65")

@@ -144,3 +144,16 @@ def test_line_rules_by_shape(spark, text, reason, kept):
     """Titles, listings, cut lines, keywords and unwanted words, and how many sentences must be left."""
     got = column(spark, [text], *lines.clean_lines(F.col("text"), lines.LineRules(bad_words=("vloek",))))
     assert got == [(reason, kept and "\n".join(kept))]
+
+
+def test_language_is_told_only_of_texts_that_pass(spark, tmp_path):
+    """Rows that fail the gate before have no language to tell, and the reasons stay the same."""
+    from corpusloom.plans import cleaning as plans
+
+    good = "the house of the man that was in the town and the road is long for all of them with a view to the sea"
+    rows = [(1, good), (2, "kurz"), (3, "1 2 3 " * 30), (4, "der mann und das haus ist nicht von hier und die frau mit dem kind ist zu hause und der weg ist ein langer"), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.lang for r in plans._identified(spark, str(tmp_path)).collect()}
+    assert got == {1: "en", 2: None, 3: None, 4: "de", 5: got[5]}
+    reasons = {r.reason: r.n for r in plans.language_reject_reasons(spark, str(tmp_path)).collect()}
+    assert reasons["kept"] == 1 and reasons["language"] == 1
