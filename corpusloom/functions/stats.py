@@ -72,8 +72,20 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(c, f"[^{listed(TOKEN_BREAK[2:-1])}]"), lambda x: F.length(x) > 0)
 
 
+def _token_runs(c: Column) -> Column:
+    """tokens() with an empty one more where the text begins or ends with other characters."""
+    return F.split(c, f"[^{listed(TOKEN_BREAK[2:-1])}]+")
+
+
 def token_set(c: Column) -> Column:
-    return F.array_distinct(tokens(c))
+    return F.array_remove(F.array_distinct(_token_runs(c)), "")
+
+
+def token_count(c: Column) -> Column:
+    """size(tokens(c)), by the same split as token_set()."""
+    runs = _token_runs(c)
+    empty = [F.when(F.element_at(runs, 1) == "", 1).otherwise(0), F.when((F.size(runs) > 1) & (F.element_at(runs, -1) == ""), 1).otherwise(0)]
+    return F.size(runs) - empty[0] - empty[1]
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -5,11 +5,13 @@ import io
 import json
 import lzma
 import random
+import re
 import tarfile
 from collections import Counter, defaultdict
 from datetime import datetime
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pytest
 import zstandard
@@ -112,6 +114,25 @@ def test_short_documents_are_no_candidates(spark):
     assert lsh.candidate_pairs(index).count() == lsh.copies(index).count() == lsh.clusters(df, lsh.LshConfig()).count() == 0
 
 
+def test_tokens_come_of_one_split(spark):
+    """Token sets, their sizes and digests, without a function called for each token."""
+    texts = ["", " ", "a", "a b a", " a--b\n", "b a", "x_1 y!", "é", "é a é", "..", "a.", ".a", "A a", None]
+    df = lsh.tokenised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    rows = {texts[r.id]: r for r in df.collect()}
+    for text in texts[:-1]:
+        words = re.findall("[A-Za-z_0-9]+", text)
+        assert (rows[text].tokens, rows[text].n_tokens) == (list(dict.fromkeys(words)), len(words))
+    assert rows[None].tokens is None and (rows[None].n_tokens or 0) <= 0
+    assert rows["a b a"].digest == rows["b a"].digest == rows[" a--b\n"].digest != rows["a"].digest
+
+
+def test_hashes_are_permuted_modulo_the_prime():
+    h = np.array([0, 1, 5, 6, 2**28 - 1, *random.Random(1).sample(range(2**28), 300)])
+    a, b = (np.array([*edge, *(lsh.permutation(i)[j] for i in range(252))]) for j, edge in enumerate(([1, lsh.PRIME - 1, 1], [lsh.PRIME - 5, 5, lsh.PRIME - 1])))
+    assert (lsh.permuted(h, a, b) == (h[:, None] * a + b) % lsh.PRIME).all()
+
+
 WORD = "stream long, seq long, start_ms long, end_ms long, word string"
 TURN = "stream long, turn long, start_ms long, end_ms long, speaker string"
 
