@@ -88,10 +88,6 @@ def token_count(c: Column) -> Column:
     return F.size(runs) - empty[0] - empty[1]
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    return ratio(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
-
-
 def not_missing(c: Column, kind: str = "double") -> Column:
     """Neither null nor, for numbers, NaN."""
     return c.isNotNull() & ~F.isnan(c) if kind in ("double", "float") else c.isNotNull()

@@ -102,7 +102,7 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Representatives that reach the threshold, and copies, which are as similar as can be."""
     docs = _tokens(spark, sf_dir)
     index = lsh.build_index(docs, LOW)
-    similar = lsh.similar_pairs(lsh.candidate_pairs(index), docs, 0.75).select("a", "b", F.lit("candidate").alias("kind"), F.round("similarity", 6).alias("similarity"))
+    similar = lsh.similar_pairs(index, docs, 0.75).select("a", "b", F.lit("candidate").alias("kind"), F.round("similarity", 6).alias("similarity"))
     return similar.unionByName(lsh.copies(index).select("a", "b", F.lit("copy").alias("kind"), F.lit(1.0).alias("similarity")))
 
 

@@ -127,6 +127,24 @@ def test_tokens_come_of_one_split(spark):
     assert rows["a b a"].digest == rows["b a"].digest == rows[" a--b\n"].digest != rows["a"].digest
 
 
+@pytest.mark.parametrize(("tokens", "texts"), [(1 << 20, 1 << 10), (200, 1 << 10), (1 << 20, 3)])
+def test_pairs_are_compared_in_blocks(spark, monkeypatch, tokens, texts):
+    """The same pairs once, however many blocks a component has; empty blocks too."""
+    monkeypatch.setattr(lsh, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(lsh, "BLOCK_TEXTS", texts)
+    config = lsh.LshConfig(bands=40, rows=4)
+    df = lsh.tokenised(spark.createDataFrame(varied_copies(3), "doc_id long, text string")).cache()
+    sets, index = {r.id: set(r.tokens or ()) for r in df.collect()}, lsh.build_index(df, config)
+    alike = {(r.a, r.b): len(sets[r.a] & sets[r.b]) / len(sets[r.a] | sets[r.b]) for r in lsh.candidate_pairs(index).collect()}
+    got = [tuple(r) for r in lsh.similar_pairs(index, df, 0.75).collect()]
+    assert sorted(got) == sorted((a, b, x) for (a, b), x in alike.items() if x >= 0.75) and len(got) > 50
+
+
+def test_pairs_without_candidates(spark):
+    df = lsh.tokenised(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"))
+    assert lsh.similar_pairs(lsh.build_index(df, lsh.LshConfig()), df, 0.75).count() == 0
+
+
 def test_hashes_are_permuted_modulo_the_prime():
     h = np.array([0, 1, 5, 6, 2**28 - 1, *random.Random(1).sample(range(2**28), 300)])
     a, b = (np.array([*edge, *(lsh.permutation(i)[j] for i in range(252))]) for j, edge in enumerate(([1, lsh.PRIME - 1, 1], [lsh.PRIME - 5, 5, lsh.PRIME - 1])))
